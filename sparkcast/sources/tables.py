@@ -105,15 +105,13 @@ FROM lineitem GROUP BY 1, 2, 3, 4
 """
 
 
-def raw_with_defects(demand: DataFrame) -> DataFrame:
-    """The panel with the defects the cleaning operators exist for.
+def with_nulls(demand: DataFrame) -> DataFrame:
+    """The panel with NULLs where the cleaning operators need them.
 
-    Every row stays; on top of that rows with both flags set appear twice
-    (exact duplicates), ``price`` is NULL where target_demand < 3 and
-    ``economic_index`` is NULL where historical_sales < 20. Same rules as
-    ``RAW_DEFECTS_SQL``.
+    ``price`` is NULL where target_demand < 3 and ``economic_index`` where
+    historical_sales < 20 (same rules as ``NULLS_SQL``). Key stays unique.
     """
-    base = demand.select(
+    return demand.select(
         "date",
         "product_id",
         "category_id",
@@ -129,19 +127,26 @@ def raw_with_defects(demand: DataFrame) -> DataFrame:
         .alias("economic_index"),
         "target_demand",
     )
+
+
+def raw_with_defects(demand: DataFrame) -> DataFrame:
+    """``with_nulls`` plus exact duplicates of the rows with both flags set."""
+    base = with_nulls(demand)
     dup = base.where((F.col("promotion_flag") == 1) & (F.col("holiday_flag") == 1))
     return base.unionByName(dup)
 
 
+NULLS_SQL = f"""
+SELECT date, product_id, category_id, store_id, historical_sales,
+       CASE WHEN target_demand < 3 THEN NULL ELSE price END AS price,
+       promotion_flag, holiday_flag,
+       CASE WHEN historical_sales < 20 THEN NULL ELSE economic_index END AS economic_index,
+       target_demand
+FROM ({DEMAND_SQL})
+"""
+
 RAW_DEFECTS_SQL = f"""
-WITH d AS ({DEMAND_SQL}),
-b AS (
-  SELECT date, product_id, category_id, store_id, historical_sales,
-         CASE WHEN target_demand < 3 THEN NULL ELSE price END AS price,
-         promotion_flag, holiday_flag,
-         CASE WHEN historical_sales < 20 THEN NULL ELSE economic_index END AS economic_index,
-         target_demand
-  FROM d)
+WITH b AS ({NULLS_SQL})
 SELECT * FROM b
 UNION ALL
 SELECT * FROM b WHERE promotion_flag = 1 AND holiday_flag = 1
