@@ -1 +1,186 @@
-"""Catalogue module (filled in below)."""
+"""Catalogue: drift between the train (reference) and test (current) parts
+of the panel, and between the first and the last half of the events month."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkcast.operators import drift as D
+from sparkcast.operators import split as S
+from sparkcast.plans.catalog import register
+from sparkcast.plans.common import r, round_doubles
+from sparkcast.sources.tables import DEMAND_SQL, demand_view, read_table
+
+NUMERIC = ["product_id", "category_id", "store_id", "historical_sales", "price", "economic_index"]
+CATEGORICAL = ["promotion_flag", "holiday_flag"]
+EVENTS_CUT = "2024-01-16"
+
+
+def demand_sides(spark, sf):
+    d = demand_view(spark, sf)
+    mask = S.temporal_train_mask(d, 0.2)
+    return d.where(mask), d.where(~mask)
+
+
+def events_sides(spark, sf):
+    ev = read_table(spark, sf, "events")
+    cut = F.lit(EVENTS_CUT).cast("timestamp")
+    return ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
+
+
+DEMAND_SIDES_SQL = f"""
+SELECT *, CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'ref' ELSE 'cur' END AS side
+FROM (SELECT *, row_number() OVER (ORDER BY date, product_id, store_id) AS rn, count(*) OVER () AS n
+      FROM ({DEMAND_SQL}))
+"""
+EVENTS_SIDES_SQL = f"""
+SELECT *, CASE WHEN ts < TIMESTAMP '{EVENTS_CUT}' THEN 'ref' ELSE 'cur' END AS side FROM events
+"""
+
+
+def _unpivot(src: str, cols: list[str], cast: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS col, side, CAST({c} AS {cast}) AS value FROM ({src}) WHERE {c} IS NOT NULL"
+        for c in cols
+    )
+
+
+def _counts(src: str, cols: list[str], cast: str) -> str:
+    return f"""u AS ({_unpivot(src, cols, cast)}),
+cnt AS (SELECT col, value, count(*) FILTER (WHERE side = 'ref') AS cr, count(*) FILTER (WHERE side = 'cur') AS cc
+        FROM u GROUP BY col, value),
+tot AS (SELECT col, sum(cr) AS nr, sum(cc) AS nc FROM cnt GROUP BY col)"""
+
+
+def numeric_sql(src: str, cols: list[str]) -> str:
+    """CTEs ending in ``nd`` (col, ks, wasserstein, ref_std, wasserstein_normed)."""
+    return f"""WITH {_counts(src, cols, "DOUBLE")},
+run AS (SELECT cnt.col, value,
+          sum(cr) OVER (PARTITION BY cnt.col ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / nr AS fr,
+          sum(cc) OVER (PARTITION BY cnt.col ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / nc AS fc,
+          lead(value) OVER (PARTITION BY cnt.col ORDER BY value) AS nxt
+        FROM cnt JOIN tot USING (col)),
+st AS (SELECT col, max(abs(fr - fc)) AS ks, sum(COALESCE(abs(fr - fc) * (nxt - value), 0)) AS w FROM run GROUP BY col),
+sd AS (SELECT col, stddev_pop(value) AS ref_std FROM u WHERE side = 'ref' GROUP BY col),
+nd AS (SELECT col, ks, w AS wasserstein, ref_std, w / NULLIF(ref_std, 0) AS wasserstein_normed
+       FROM st LEFT JOIN sd USING (col))"""
+
+
+def categorical_sql(src: str, cols: list[str]) -> str:
+    """CTEs ending in ``cd`` (col, jensenshannon, chisquare)."""
+    return f"""WITH {_counts(src, cols, "VARCHAR")},
+pq AS (SELECT col, cc, nc, cr / nr AS p, cc / nc AS q FROM cnt JOIN tot USING (col)),
+cd AS (SELECT col,
+  sqrt(greatest(0, 0.5 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END)
+                 + 0.5 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END))) AS jensenshannon,
+  sum(CASE WHEN nc * p > 0 THEN (cc - nc * p) * (cc - nc * p) / (nc * p) END) AS chisquare
+  FROM pq GROUP BY col)"""
+
+
+@register(
+    "d1_ks",
+    numeric_sql(DEMAND_SIDES_SQL, NUMERIC) + f" SELECT col AS column, {r('ks')} AS ks FROM nd",
+)
+def d1_ks(spark, sf):
+    ref, cur = demand_sides(spark, sf)
+    return round_doubles(D.numeric_drift(ref, cur, NUMERIC).select("column", "ks"))
+
+
+@register(
+    "d1_wasserstein",
+    numeric_sql(DEMAND_SIDES_SQL, NUMERIC)
+    + f""" SELECT col AS column, {r('wasserstein')} AS wasserstein, {r('ref_std')} AS ref_std,
+  {r('wasserstein_normed')} AS wasserstein_normed FROM nd""",
+)
+def d1_wasserstein(spark, sf):
+    ref, cur = demand_sides(spark, sf)
+    return round_doubles(
+        D.numeric_drift(ref, cur, NUMERIC).select("column", "wasserstein", "ref_std", "wasserstein_normed")
+    )
+
+
+@register(
+    "d1_ks_events",
+    numeric_sql(EVENTS_SIDES_SQL, ["value"])
+    + f" SELECT col AS column, {r('ks')} AS ks, {r('wasserstein_normed')} AS wasserstein_normed FROM nd",
+)
+def d1_ks_events(spark, sf):
+    ref, cur = events_sides(spark, sf)
+    return round_doubles(D.numeric_drift(ref, cur, ["value"]).select("column", "ks", "wasserstein_normed"))
+
+
+@register(
+    "d1_js",
+    categorical_sql(EVENTS_SIDES_SQL, ["event_type"])
+    + f" SELECT col AS column, {r('jensenshannon')} AS jensenshannon, {r('chisquare')} AS chisquare FROM cd",
+)
+def d1_js(spark, sf):
+    ref, cur = events_sides(spark, sf)
+    return round_doubles(D.categorical_drift(ref, cur, ["event_type"]).select("column", "jensenshannon", "chisquare"))
+
+
+def _columns_sql() -> str:
+    num = numeric_sql(DEMAND_SIDES_SQL, NUMERIC)
+    cat = categorical_sql(DEMAND_SIDES_SQL, CATEGORICAL).replace("WITH ", "", 1)
+    cat = cat.replace("u AS (", "u2 AS (", 1).replace("FROM u ", "FROM u2 ").replace("cnt AS (", "cnt2 AS (", 1)
+    cat = cat.replace("FROM cnt ", "FROM cnt2 ").replace("tot AS (", "tot2 AS (", 1).replace("JOIN tot ", "JOIN tot2 ")
+    cat = cat.replace("FROM cnt GROUP", "FROM cnt2 GROUP")
+    return f"""{num}, {cat},
+cols AS (
+  SELECT col AS column, 'numeric' AS kind, 'wasserstein_normed' AS stattest_name,
+         wasserstein_normed AS drift_score, COALESCE(wasserstein_normed >= {D.DEFAULT_THRESHOLD}, false) AS drift_detected FROM nd
+  UNION ALL
+  SELECT col, 'categorical', 'jensenshannon', jensenshannon, COALESCE(jensenshannon >= {D.DEFAULT_THRESHOLD}, false) FROM cd)"""
+
+
+@register(
+    "d2_columns",
+    _columns_sql()
+    + f""" SELECT "column", kind, stattest_name, {r('drift_score')} AS drift_score, drift_detected FROM cols""",
+)
+def d2_columns(spark, sf):
+    ref, cur = demand_sides(spark, sf)
+    return round_doubles(D.column_drift(ref, cur, NUMERIC, CATEGORICAL))
+
+
+@register(
+    "d3_dataset",
+    _columns_sql()
+    + f""" SELECT CAST(count(*) AS BIGINT) AS number_of_columns,
+  CAST(count(*) FILTER (WHERE drift_detected) AS BIGINT) AS number_of_drifted_columns,
+  {r("count(*) FILTER (WHERE drift_detected) / count(*)")} AS share_of_drifted_columns,
+  count(*) FILTER (WHERE drift_detected) / count(*) >= {D.DATASET_SHARE} AS dataset_drift,
+  COALESCE(string_agg("column", ',' ORDER BY "column") FILTER (WHERE drift_detected), '') AS drifted_features
+FROM cols""",
+)
+def d3_dataset(spark, sf):
+    ref, cur = demand_sides(spark, sf)
+    return round_doubles(D.dataset_drift(D.column_drift(ref, cur, NUMERIC, CATEGORICAL)))
+
+
+QUALITY_COLS = NUMERIC + CATEGORICAL + ["target_demand"]
+
+
+@register(
+    "a20_quality",
+    f"""WITH s AS ({DEMAND_SIDES_SQL}),
+u AS ({" UNION ALL ".join(f"SELECT CASE WHEN side = 'ref' THEN 'reference' ELSE 'current' END AS side, '{c}' AS col, CAST({c} AS DOUBLE) AS value FROM s" for c in QUALITY_COLS)})
+SELECT side, col AS column, CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (WHERE value IS NULL) AS BIGINT) AS missing,
+  CAST(count(DISTINCT value) AS BIGINT) AS distinct, {r("min(value)")} AS min, {r("max(value)")} AS max,
+  {r("avg(value)")} AS mean, {r("stddev_samp(value)")} AS std
+FROM u GROUP BY side, col""",
+)
+def a20_quality(spark, sf):
+    ref, cur = demand_sides(spark, sf)
+    return round_doubles(D.quality_by_side(ref, cur, QUALITY_COLS))
+
+
+@register("d6_monitoring")
+def d6_monitoring(spark, sf):
+    """Status row of a full run (row count only): drift summary + quality rows."""
+    ref, cur = demand_sides(spark, sf)
+    run = D.monitoring_run(ref, cur)
+    q = run["quality"].agg(F.count(F.lit(1)).cast("bigint").alias("quality_rows"))
+    status = run["dataset"].withColumn("quality_rows", q.scalar())
+    return round_doubles(status)
