@@ -1 +1,143 @@
-"""Catalogue module (filled in below)."""
+"""Catalogue: models, scoring and scenarios.
+
+Model scores cannot equal another engine's tree library, so these entries
+are rows-only, except the scenario table (M9), which is plain data. The
+catalogue fits with 20 boosting rounds to keep the check fast; the library
+default is the configured 100.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkcast.operators import features as fe
+from sparkcast.operators import models as M
+from sparkcast.operators import split as S
+from sparkcast.plans.catalog import register
+from sparkcast.plans.common import round_doubles
+from sparkcast.plans.q_rules import requests_table
+from sparkcast.session import scratch_dir
+from sparkcast.sources.tables import DEMAND_SQL, demand_view
+
+CATALOG_PARAMS = {"maxIter": 20}
+HORIZON = 14
+
+
+def model_frames(spark, sf):
+    """(train, test, feature columns): per-series features, temporal 80/20."""
+    d = demand_view(spark, sf)
+    mask = S.temporal_train_mask(d, 0.2)
+    feats = fe.create_features(d.withColumn("_train", mask), group_cols=fe.SERIES)
+    cols = [c for c in fe.training_columns(feats) if c != "_train"]
+    return feats.where("_train").drop("_train"), feats.where(~F.col("_train")).drop("_train"), cols
+
+
+def fitted(spark, sf, kind="gbt"):
+    train, test, cols = model_frames(spark, sf)
+    m = M.DemandModel(cols, kind, dict(CATALOG_PARAMS) if kind == "gbt" else {"numTrees": 20})
+    return m.fit(train), train, test
+
+
+@register("m1_fit_score")
+def m1_fit_score(spark, sf):
+    m, _, test = fitted(spark, sf)
+    return round_doubles(m.predict(test).select("date", "product_id", "store_id", "target_demand", "prediction"))
+
+
+@register("m1_fit_score_forest")
+def m1_fit_score_forest(spark, sf):
+    m, _, test = fitted(spark, sf, "forest")
+    return round_doubles(m.predict(test).select("date", "product_id", "store_id", "target_demand", "prediction"))
+
+
+@register("m2_early_stopping")
+def m2_early_stopping(spark, sf):
+    """Boosting with a validation slice (the last 10 % of the train part)."""
+    train, test, cols = model_frames(spark, sf)
+    fit_part, val_part = S.temporal_split(train, 0.1)
+    m = M.DemandModel(cols, "gbt", {"maxIter": 60}).fit(fit_part, val_part, tol=0.01)
+    trees = m.model.stages[-1].getNumTrees
+    return round_doubles(M.evaluate_model(m, test).withColumn("trees", F.lit(trees).cast("bigint")))
+
+
+@register("m4_importance")
+def m4_importance(spark, sf):
+    m, _, _ = fitted(spark, sf)
+    return round_doubles(m.feature_importance(spark))
+
+
+@register("m5_save_load")
+def m5_save_load(spark, sf):
+    m, _, test = fitted(spark, sf)
+    path = scratch_dir(spark, "model")
+    m.save(path)
+    loaded = M.DemandModel.load(spark, path)
+    a = m.predict(test).select("date", "product_id", "store_id", F.col("prediction").alias("p1"))
+    b = loaded.predict(test).select("date", "product_id", "store_id", F.col("prediction").alias("p2"))
+    return a.join(b, ["date", "product_id", "store_id"]).select(
+        "date", "product_id", "store_id", (F.abs(F.col("p1") - F.col("p2")) < 1e-9).alias("same")
+    )
+
+
+@register("m6_evaluate")
+def m6_evaluate(spark, sf):
+    m, _, test = fitted(spark, sf)
+    return round_doubles(M.evaluate_model(m, test))
+
+
+SMALL_SPACE = {
+    "maxDepth": ("int", 3, 6),
+    "stepSize": ("log", 0.05, 0.3),
+    "maxIter": ("int", 5, 15),
+    "subsamplingRate": ("float", 0.6, 1.0),
+    "featureSubsetStrategy": ("frac", 0.6, 1.0),
+    "minInstancesPerNode": ("int", 1, 10),
+}
+
+
+@register("m7_search")
+def m7_search(spark, sf):
+    train, test, cols = model_frames(spark, sf)
+    fit_part, val_part = S.temporal_split(train, 0.2)
+    return M.random_search(fit_part, val_part, cols, n_trials=3, seed=42, space=SMALL_SPACE, parallelism=3)
+
+
+@register("m8_batch_score")
+def m8_batch_score(spark, sf):
+    m, _, _ = fitted(spark, sf)
+    scored, rejected = M.batch_score(
+        requests_table(spark, sf), m, keep=["prediction_date", "product_id", "store_id"]
+    )
+    return scored
+
+
+SCENARIO_SQL = f"""
+WITH d AS ({DEMAND_SQL}),
+l AS (SELECT product_id, store_id, max(date) AS last, arg_max(price, date) AS price,
+             arg_max(category_id, date) AS category_id FROM d GROUP BY product_id, store_id)
+SELECT CAST(last + CAST(k AS INTEGER) AS DATE) AS prediction_date, product_id, category_id, store_id,
+       CAST(100 AS DOUBLE) AS historical_sales, price, CAST(0 AS BIGINT) AS promotion_flag,
+       CAST(0 AS BIGINT) AS holiday_flag, CAST(100 AS DOUBLE) AS economic_index
+FROM l, (SELECT unnest(range(1, {HORIZON + 1})) AS k)
+"""
+
+
+@register("m9_scenarios", SCENARIO_SQL)
+def m9_scenarios(spark, sf):
+    return M.scenario_requests(demand_view(spark, sf), HORIZON)
+
+
+@register("m9_scenario_scores")
+def m9_scenario_scores(spark, sf):
+    m, _, _ = fitted(spark, sf)
+    req = M.scenario_requests(demand_view(spark, sf), HORIZON)
+    scored, _ = M.batch_score(req, m, keep=["prediction_date", "product_id", "store_id"])
+    return scored
+
+
+@register("a19_forecast_summary")
+def a19_forecast_summary(spark, sf):
+    m, _, _ = fitted(spark, sf)
+    req = M.scenario_requests(demand_view(spark, sf), HORIZON)
+    scored, _ = M.batch_score(req, m, keep=["prediction_date", "product_id", "store_id"])
+    return round_doubles(M.forecast_summary(scored))
