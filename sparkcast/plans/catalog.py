@@ -41,6 +41,7 @@ MODULES = (
     "q_drift",
     "q_store",
     "q_models",
+    "q_stream",
 )
 
 
