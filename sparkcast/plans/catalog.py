@@ -42,6 +42,7 @@ MODULES = (
     "q_store",
     "q_models",
     "q_stream",
+    "q_io",
 )
 
 
