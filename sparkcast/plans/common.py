@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 DP = 6
 
 
-_OFFSET = (F.sqrt(F.lit(5.0)) - F.lit(2.0)) / F.lit(2.0)
+def _offset():
+    return (F.sqrt(F.lit(5.0)) - F.lit(2.0)) / F.lit(2.0)
 
 
 def round_doubles(df: DataFrame, dp: int = DP) -> DataFrame:
@@ -34,7 +35,7 @@ def round_doubles(df: DataFrame, dp: int = DP) -> DataFrame:
             scale = float(10**dp)
             cols.append(
                 (
-                    F.round(F.col(f.name) * scale - _OFFSET, 0) / scale
+                    F.round(F.col(f.name) * scale - _offset(), 0) / scale
                     + F.lit(0.0)
                 ).alias(f.name)
             )
