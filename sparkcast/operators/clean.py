@@ -81,7 +81,7 @@ def forward_fill(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     order_cols: Sequence[str] = KEY,
-    chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Carry the last non-null value forward over one global order."""
     cols = list(columns) if columns else [c for c in df.columns if c not in order_cols]
@@ -92,7 +92,7 @@ def backward_fill(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     order_cols: Sequence[str] = KEY,
-    chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """P5: carry the next non-null value backward over one global order."""
     cols = list(columns) if columns else [c for c in df.columns if c not in order_cols]

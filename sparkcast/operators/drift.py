@@ -83,8 +83,9 @@ def _running_counts(counts: DataFrame, strategy: str = "auto") -> DataFrame:
         )
     # chunked prefix sums: ordinal over (column, value), sums inside chunks,
     # running sum of chunk totals per column, next value by a join on ord + 1
-    chunk_rows = ordered.DEFAULT_CHUNK_ROWS
-    d = ordered.with_ordinal(counts, ["column", "value"]).withColumn(
+    d, n = ordered.with_ordinal_n(counts, ["column", "value"])
+    chunk_rows = ordered.adaptive_chunk_rows(counts, n, 1)
+    d = d.withColumn(
         "_chunk", F.floor(F.col(ordered.ORD) / F.lit(chunk_rows)).cast("bigint")
     )
     inner = Window.partitionBy("_chunk", "column").orderBy(ordered.ORD).rowsBetween(

@@ -86,7 +86,7 @@ def create_lag_features(
     group_cols: Sequence[str] | None = SERIES,
     date_col: str = "date",
     strategy: str = "auto",
-    chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """W1 (per group) / W2 (global when ``group_cols`` is empty or None)."""
     g = list(group_cols or [])
@@ -109,7 +109,7 @@ def create_rolling_features(
     group_cols: Sequence[str] | None = SERIES,
     date_col: str = "date",
     strategy: str = "auto",
-    chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """W3 (per group) / W4 (global)."""
     g = list(group_cols or [])
@@ -124,6 +124,19 @@ def create_rolling_features(
     )
 
 
+def group_stats_table(df: DataFrame, value_col: str, group_cols: Sequence[str], prefix: str | None = None) -> DataFrame:
+    """One row per group: row count and mean/std/min/max of ``value_col``."""
+    p = prefix or value_col
+    g = list(group_cols)
+    return df.where(_keys_present(g)).groupBy(*g).agg(
+        F.count(F.lit(1)).alias("_group_rows"),
+        F.avg(value_col).alias(f"{p}_mean"),
+        F.stddev_samp(value_col).alias(f"{p}_std"),
+        F.min(value_col).alias(f"{p}_min"),
+        F.max(value_col).alias(f"{p}_max"),
+    )
+
+
 def group_statistics(
     df: DataFrame, value_col: str, group_cols: Sequence[str], prefix: str | None = None
 ) -> DataFrame:
@@ -168,7 +181,7 @@ def create_price_features(
     group_cols: Sequence[str] | None = SERIES,
     date_col: str = "date",
     strategy: str = "auto",
-    chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """7 columns per group, 5 globally."""
     g = list(group_cols or [])
@@ -200,14 +213,18 @@ def _with_price_changes(df, price_col, g, date_col, strategy, chunk_rows):
 
 
 def _minmax_norm(df: DataFrame, c: str) -> Column:
-    """(x - min) / (max - min) with global min/max as scalar subqueries."""
-    lo = df.agg(F.min(c)).scalar()
-    hi = df.agg(F.max(c)).scalar()
-    return safe_div(F.col(c) - lo, hi - lo)
+    """(x - min) / (max - min) with global min/max as one scalar subquery."""
+    mm = df.agg(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"))).scalar()
+    return safe_div(F.col(c) - mm["lo"], mm["hi"] - mm["lo"])
 
 
-def create_interaction_features(df: DataFrame) -> DataFrame:
-    """C2 = F6-F9, each only if its inputs exist."""
+def create_interaction_features(df: DataFrame, stats_source: DataFrame | None = None) -> DataFrame:
+    """C2 = F6-F9, each only if its inputs exist.
+
+    Global min/max come from ``stats_source`` (default ``df``): pass the
+    un-windowed input so the scalar subqueries do not re-plan window work.
+    """
+    src = stats_source if stats_source is not None else df
     cols = set(df.columns)
     new: dict[str, Column] = {}
     if "promotion_flag" in cols:
@@ -217,10 +234,10 @@ def create_interaction_features(df: DataFrame) -> DataFrame:
         if "holiday_flag" in cols:
             new["promo_holiday"] = promo * F.col("holiday_flag")
         if "price" in cols:
-            new["promo_discount_effect"] = promo * (F.lit(1.0) - _minmax_norm(df, "price"))
+            new["promo_discount_effect"] = promo * (F.lit(1.0) - _minmax_norm(src, "price"))
     if "economic_index" in cols and "price" in cols:
         new["price_economy_ratio"] = safe_div(
-            _minmax_norm(df, "price"), _minmax_norm(df, "economic_index") + F.lit(0.01)
+            _minmax_norm(src, "price"), _minmax_norm(src, "economic_index") + F.lit(0.01)
         )
     if "historical_sales" in cols and "target_demand" in cols:
         new["demand_vs_historical"] = safe_div(
@@ -243,7 +260,7 @@ def create_features(
     windows: Sequence[int] = DEFAULT_WINDOWS,
     stats: Sequence[str] = DEFAULT_STATS,
     strategy: str = "auto",
-    chunk_rows: int = ordered.DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
     median_method: str = "auto",
 ) -> DataFrame:
     """Time, lag, rolling, price and interaction features, then NULL fills.
@@ -254,6 +271,15 @@ def create_features(
     so the window stage runs once.
     """
     g = list(group_cols or [])
+    price_stats = None
+    if include_price and g:
+        # the per-series price table also tells the largest series size, so
+        # the strategy check costs no extra pass; it is small (one row per
+        # series) and cached for the join below
+        price_stats = group_stats_table(df, "price", g, prefix="price").cache()
+        if strategy == "auto":
+            biggest = price_stats.agg(F.max("_group_rows")).first()[0] or 0
+            strategy = "partition" if biggest <= 5_000_000 else "chunked"
     strategy = ordered.resolve_strategy(df, g, strategy)
     out = df
     if include_time:
@@ -287,19 +313,18 @@ def create_features(
     if include_price:
         changes = ["price_change", "price_change_pct"]
         if g:
-            out = group_statistics(out, "price", g, prefix="price")
+            out = out.join(price_stats.drop("_group_rows"), g, "left")
             stat_cols = ["price_mean", "price_std", "price_min", "price_max"]
         else:
-            agg = out.agg(F.avg("price").alias("m"), F.stddev_samp("price").alias("s"))
-            out = out.withColumns(
-                {"price_mean": agg.select("m").scalar(), "price_std": agg.select("s").scalar()}
-            )
+            # global scalars from the input (price is untouched by the windows)
+            agg = df.agg(F.struct(F.avg("price").alias("m"), F.stddev_samp("price").alias("s"))).scalar()
+            out = out.withColumns({"price_mean": agg["m"], "price_std": agg["s"]})
             stat_cols = ["price_mean", "price_std"]
         out = out.withColumn("price_vs_mean", safe_div(F.col("price"), F.col("price_mean")))
         rest = [c for c in out.columns if c not in changes + stat_cols + ["price_vs_mean"]]
         out = out.select(*rest, *stat_cols, "price_vs_mean", *changes)
     if include_interactions:
-        out = create_interaction_features(out)
+        out = create_interaction_features(out, stats_source=df)
     lag_cols = [c for c in out.columns if c.startswith("lag_")]
     roll_cols = [c for c in out.columns if c.startswith("rolling_")]
     if not lag_cols and not roll_cols:
@@ -310,6 +335,8 @@ def create_features(
 
         checkpoint_dir(out.sparkSession)
         out = out.checkpoint(eager=True)
+        if price_stats is not None:
+            price_stats.unpersist()
         med = ordered.quantile_columns(
             out, roll_cols, [0.5], method=median_method, name=lambda c, q: c
         ).first()

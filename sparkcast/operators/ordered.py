@@ -51,14 +51,15 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_ordinal(
+def with_ordinal_n(
     df: DataFrame,
     order_cols: Sequence[str],
     ord_col: str = ORD,
     num_partitions: int | None = None,
     tiebreak: Column | None = None,
-) -> DataFrame:
-    """Add a dense 0-based ordinal over ``order_cols`` (ascending, nulls first).
+) -> tuple[DataFrame, int]:
+    """Add a dense 0-based ordinal over ``order_cols`` (ascending, nulls first);
+    also returns the row count.
 
     The order must be total for the ordinal to be deterministic; ``tiebreak``
     adds an extra sort column used only to spread equal keys over range
@@ -77,23 +78,36 @@ def with_ordinal(
     # Range bounds come from sampling; recomputation could cut differently,
     # so the sorted frame is written to the shared checkpoint folder once.
     staged = staged.checkpoint(eager=True)
-    offsets = (
-        staged.groupBy("_pid")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_pid",
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("_off"),
-        )
-    )
-    # at most one row per range partition: a proven bound for the broadcast
-    return staged.join(F.broadcast(offsets), "_pid").select(
-        *[F.col(c) for c in df.columns], (F.col("_off") + F.col("_pos")).alias(ord_col)
-    )
+    # one row per range partition (bounded by the partition count)
+    counts = dict(staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    parts = max(counts) + 1 if counts else 0
+    offsets, acc = [], 0
+    for pid in range(parts):
+        offsets.append(acc)
+        acc += counts.get(pid, 0)
+    if not offsets:
+        return staged.select(*[F.col(c) for c in df.columns], F.lit(0).cast("bigint").alias(ord_col)), 0
+    off = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_pid") + 1)
+    out = staged.select(*[F.col(c) for c in df.columns], (off + F.col("_pos")).alias(ord_col))
+    return out, acc
+
+
+def with_ordinal(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    ord_col: str = ORD,
+    num_partitions: int | None = None,
+    tiebreak: Column | None = None,
+) -> DataFrame:
+    """``with_ordinal_n`` without the count."""
+    return with_ordinal_n(df, order_cols, ord_col, num_partitions, tiebreak)[0]
+
+
+def adaptive_chunk_rows(df: DataFrame, n_rows: int, halo: int) -> int:
+    """About one chunk per shuffle partition, never below 64 halos (so the
+    copied tail stays under 2 % of the rows)."""
+    parts = _num_partitions(df, None)
+    return max(-(-n_rows // parts) if n_rows else 1, 64 * max(halo, 1), 1024)
 
 
 def halo_window(
@@ -130,7 +144,7 @@ def ordered_window_columns(
     halo: int,
     make_columns,
     strategy: str = "auto",
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
     max_group_rows: int = 5_000_000,
 ) -> DataFrame:
     """Add window columns whose frames look back at most ``halo`` rows.
@@ -145,7 +159,8 @@ def ordered_window_columns(
         one shuffle, but a group is one task.
       * ``chunked``  ordinal + chunk + halo: task size bounded by
         ``chunk_rows + halo`` whatever the skew; also the only parallel
-        form when there are no groups.
+        form when there are no groups. ``chunk_rows=None`` sizes chunks
+        from the row count (about one per shuffle partition).
       * ``auto``     ``partition`` when groups exist and the largest group is
         at most ``max_group_rows`` rows (one small aggregate checks it),
         else ``chunked``.
@@ -157,8 +172,8 @@ def ordered_window_columns(
         return df.withColumns(make_columns(w, None))
     if strategy != "chunked":
         raise ValueError(f"unknown strategy {strategy!r}")
-    ordered = with_ordinal(df, [*group_cols, *order_cols])
-    framed = halo_window(ordered, halo, chunk_rows)
+    ordered, n = with_ordinal_n(df, [*group_cols, *order_cols])
+    framed = halo_window(ordered, halo, chunk_rows or adaptive_chunk_rows(df, n, halo))
     w = Window.partitionBy("_chunk", *group_cols).orderBy(ORD)
     out = framed.withColumns(make_columns(w, halo)).where(F.col("_home"))
     return out.drop("_chunk", "_home", ORD)
@@ -182,21 +197,28 @@ def fill_nulls_ordered(
     columns: Sequence[str],
     order_cols: Sequence[str],
     backward: bool = False,
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Forward (or backward) fill over one global order, in parallel."""
     columns = list(columns)
-    d = with_ordinal(df, order_cols).withColumn(
+    d, n = with_ordinal_n(df, order_cols)
+    chunk_rows = chunk_rows or adaptive_chunk_rows(df, n, 1)
+    d = d.withColumn(
         "_chunk", F.floor(F.col(ORD) / F.lit(chunk_rows)).cast("bigint")
     )
+    # Both directions use running frames (unbounded preceding .. current),
+    # which Spark evaluates in one pass; a backward fill runs over the
+    # descending order instead of an "unbounded following" frame, which
+    # Spark would re-aggregate for every row (quadratic in the chunk size).
     if backward:
-        inner = Window.partitionBy("_chunk").orderBy(ORD).rowsBetween(0, Window.unboundedFollowing)
-        outer = Window.orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+        inner = Window.partitionBy("_chunk").orderBy(F.desc(ORD)).rowsBetween(
+            Window.unboundedPreceding, 0
+        )
+        outer = Window.orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
         edge = [
             F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ORD))).alias(f"_e_{c}")
             for c in columns
         ]
-        pick = F.first
     else:
         inner = Window.partitionBy("_chunk").orderBy(ORD).rowsBetween(
             Window.unboundedPreceding, 0
@@ -206,7 +228,7 @@ def fill_nulls_ordered(
             F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ORD))).alias(f"_e_{c}")
             for c in columns
         ]
-        pick = F.last
+    pick = F.last
     filled = d.withColumns({f"_f_{c}": pick(F.col(c), ignorenulls=True).over(inner) for c in columns})
     # one row per chunk; the running carry is a single small task
     carry = (
@@ -257,49 +279,72 @@ def lex_greater_equal(cols: Sequence[str], values: Sequence) -> Column:
     return _lex_cmp(cols, values, ">=")
 
 
-def keys_at_ranks(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int]) -> list[tuple]:
+def keys_at_ranks(
+    df: DataFrame, order_cols: Sequence[str], ranks
+) -> list[tuple] | tuple[int, list[tuple]]:
     """Key tuples of the rows at 1-based ``ranks`` of a total order.
 
     Level by level: count rows per value of the next key column within the
     prefixes found so far, take a running sum over those (small) count
-    tables, pick the value whose cumulative count crosses the rank. One scan
-    per key column for all ranks together; no sort, no single-task window
-    over data rows. Key columns must not be NULL and must be unique together.
+    tables, pick the value whose cumulative count crosses each rank. One
+    scan per key column for all ranks together and one bounded collect (at
+    most one row per rank) per level; no sort, no single-task window over
+    data rows. Key columns must not be NULL and must be unique together.
+
+    ``ranks`` may be a callable ``n -> ranks``; the row count then comes
+    from the first level's count table and ``(n, keys)`` is returned.
     """
     order_cols = list(order_cols)
-    pending = [(int(r), ()) for r in ranks]  # (remaining rank, prefix values)
+    want_n = callable(ranks)
+    n_total = None
+    pending: list[tuple[int, tuple]] | None = None if want_n else [(int(r), ()) for r in ranks]
     for level, c in enumerate(order_cols):
         prefix_cols = order_cols[:level]
-        prefixes = sorted({p for _, p in pending})
-        if prefix_cols:
+        if level == 0:
+            src = df
+        else:
+            prefixes = sorted({p for _, p in pending})
             cond = F.lit(False)
             for p in prefixes:
                 cond = cond | _and_all([F.col(pc) == F.lit(pv) for pc, pv in zip(prefix_cols, p)])
             src = df.where(cond)
-        else:
-            src = df
         counts = src.groupBy(*prefix_cols, c).agg(F.count(F.lit(1)).alias("_n"))
         w = (
             Window.partitionBy(*prefix_cols).orderBy(c)
             if prefix_cols
             else Window.orderBy(c)
         ).rowsBetween(Window.unboundedPreceding, 0)
-        cum = counts.withColumn("_cum", F.sum("_n").over(w)).cache()
-        nxt = []
+        cum = counts.withColumn("_cum", F.sum("_n").over(w))
+        if pending is None:
+            cum = cum.cache()
+            n_total = int(cum.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+            pending = [(int(r), ()) for r in ranks(n_total)]
+        if not pending:
+            cum.unpersist()
+            break
+        hit = F.lit(False)
         for rem, p in pending:
             cond = (F.col("_cum") >= rem) & (F.col("_cum") - F.col("_n") < rem)
             for pc, pv in zip(prefix_cols, p):
                 cond = cond & (F.col(pc) == F.lit(pv))
-            row = cum.where(cond).select(c, "_cum", "_n").first()
-            if row is None:
+            hit = hit | cond
+        rows = cum.where(hit).select(*prefix_cols, c, "_cum", "_n").collect()  # <= one row per rank
+        cum.unpersist()
+        nxt = []
+        for rem, p in pending:
+            match = [
+                r for r in rows
+                if tuple(r[pc] for pc in prefix_cols) == p and r["_cum"] >= rem and r["_cum"] - r["_n"] < rem
+            ]
+            if not match:
                 raise ValueError(f"rank {rem} is outside the table")
-            before = row["_cum"] - row["_n"]
+            row = match[0]
             if level == len(order_cols) - 1 and row["_n"] != 1:
                 raise ValueError(f"order key {order_cols} is not unique")
-            nxt.append((rem - before, (*p, row[c])))
-        cum.unpersist()
+            nxt.append((rem - (row["_cum"] - row["_n"]), (*p, row[c])))
         pending = nxt
-    return [p for _, p in pending]
+    keys = [p for _, p in (pending or [])]
+    return (n_total, keys) if want_n else keys
 
 
 def _and_all(conds: list[Column]) -> Column:

@@ -22,15 +22,23 @@ def train_size(n: int, test_size: float) -> int:
 
 
 def temporal_train_mask(df: DataFrame, test_size: float = 0.2, order_cols: Sequence[str] = KEY) -> Column:
-    """Boolean column: true on the first ``int(n * (1 - test_size))`` rows."""
-    n = df.count()
+    """Boolean column: true on the first ``int(n * (1 - test_size))`` rows.
+
+    The row count comes from the first level of the key search, so the
+    whole cut costs one small aggregate per key column.
+    """
+
+    def ranks(n):
+        k = train_size(n, test_size)
+        return [k] if 0 < k < n else []
+
+    n, keys = ordered.keys_at_ranks(df, order_cols, ranks)
     k = train_size(n, test_size)
     if k <= 0:
         return F.lit(False)
     if k >= n:
         return F.lit(True)
-    (boundary,) = ordered.keys_at_ranks(df, order_cols, [k])
-    return ordered.lex_less_equal(order_cols, boundary)
+    return ordered.lex_less_equal(order_cols, keys[0])
 
 
 def temporal_split(
@@ -74,11 +82,13 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, order_cols: Sequence[str
     Fold i trains on every row before its block and validates on the block.
     A row with val_fold = j is in the training set of every fold > j.
     """
-    n = df.count()
-    block, starts = fold_starts(n, n_splits)
-    if block == 0:
+    def ranks(n):
+        block, starts = fold_starts(n, n_splits)
+        return [s + 1 for s in starts] if block > 0 else []
+
+    n, bounds = ordered.keys_at_ranks(df, order_cols, ranks)
+    if not bounds:
         return df.withColumn("val_fold", F.lit(None).cast("bigint"))
-    bounds = ordered.keys_at_ranks(df, order_cols, [s + 1 for s in starts])
     fold = sum(
         (F.when(ordered.lex_greater_equal(order_cols, b), 1).otherwise(0) for b in bounds),
         F.lit(0),

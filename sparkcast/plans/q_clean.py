@@ -109,7 +109,7 @@ FROM ({NULLS_SQL})""",
 )
 def p4_ffill(spark, sf):
     d = with_nulls(demand_view(spark, sf))
-    return clean.forward_fill(d, ["price", "economic_index"], chunk_rows=4096)
+    return clean.forward_fill(d, ["price", "economic_index"])
 
 
 @register(
@@ -123,7 +123,7 @@ FROM ({NULLS_SQL})""",
 )
 def p5_bfill(spark, sf):
     d = with_nulls(demand_view(spark, sf))
-    return clean.backward_fill(d, ["price", "economic_index"], chunk_rows=4096)
+    return clean.backward_fill(d, ["price", "economic_index"])
 
 
 # raw text-ish input: string dates, fractional ids/counts (truncated on cast)

@@ -232,7 +232,7 @@ def w1_lag(spark, sf):
 @register("w2_lag_global", _window_sql(_sql_lags(GLOBAL_SQL)))
 def w2_lag_global(spark, sf):
     d = demand_view(spark, sf).select("date", "product_id", "store_id", "target_demand")
-    return fe.create_lag_features(d, group_cols=None, chunk_rows=4096)
+    return fe.create_lag_features(d, group_cols=None)
 
 
 def _rolling_sql(over: str) -> str:
@@ -250,7 +250,7 @@ def w3_rolling(spark, sf):
 @register("w4_rolling_global", _rolling_sql(GLOBAL_SQL))
 def w4_rolling_global(spark, sf):
     d = demand_view(spark, sf).select("date", "product_id", "store_id", "target_demand")
-    return round_doubles(fe.create_rolling_features(d, group_cols=None, chunk_rows=4096))
+    return round_doubles(fe.create_rolling_features(d, group_cols=None))
 
 
 @register(
@@ -280,7 +280,7 @@ FROM demand"""
 
 def _price_change_query(spark, sf, groups):
     d = demand_view(spark, sf).select("date", "product_id", "store_id", "price")
-    out = fe._with_price_changes(d, "price", list(groups), "date", "auto", 4096)
+    out = fe._with_price_changes(d, "price", list(groups), "date", "auto", None)
     return round_doubles(out)
 
 
@@ -321,7 +321,7 @@ FROM demand, g""",
 )
 def f5_price_global(spark, sf):
     d = demand_view(spark, sf).select("date", "product_id", "store_id", "price")
-    return round_doubles(fe.create_price_features(d, group_cols=None, chunk_rows=4096))
+    return round_doubles(fe.create_price_features(d, group_cols=None))
 
 
 @register(
