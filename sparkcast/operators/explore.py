@@ -16,39 +16,36 @@ from sparkcast.sources.tables import KEY
 def group_means(df: DataFrame, target_col: str = "target_demand") -> DataFrame:
     """Mean target by date, category, store and weekday (with day name).
 
-    Long form (dimension, key, label, mean_target); four small aggregates
-    unioned -- each partially aggregated before its shuffle.
+    Long form (dimension, key, label, mean_target) from ONE grouping-sets
+    aggregate: the source is scanned once, rows are expanded once per set and
+    partially aggregated before the single shuffle.
     """
     t = F.col(target_col)
-    by_date = df.groupBy("date").agg(F.avg(t).alias("mean_target")).select(
-        F.lit("date").alias("dimension"),
-        F.col("date").cast("string").alias("key"),
-        F.lit(None).cast("string").alias("label"),
-        "mean_target",
+    base = df.select(
+        F.col("date").cast("string").alias("date"),
+        F.col("category_id").cast("string").alias("category_id"),
+        F.col("store_id").cast("string").alias("store_id"),
+        F.weekday(F.col("date")).alias("day_of_week"),
+        t.alias("_t"),
     )
-    parts = [by_date]
-    for dim in ("category_id", "store_id"):
-        parts.append(
-            df.groupBy(dim).agg(F.avg(t).alias("mean_target")).select(
-                F.lit(dim).alias("dimension"),
-                F.col(dim).cast("string").alias("key"),
-                F.lit(None).cast("string").alias("label"),
-                "mean_target",
-            )
-        )
-    dow = F.weekday(F.col("date"))
-    parts.append(
-        df.groupBy(dow.alias("day_of_week")).agg(F.avg(t).alias("mean_target")).select(
-            F.lit("day_of_week").alias("dimension"),
-            F.col("day_of_week").cast("string").alias("key"),
-            day_name(F.col("day_of_week")).alias("label"),
-            "mean_target",
-        )
+    dims = ["date", "category_id", "store_id", "day_of_week"]
+    agg = base.groupingSets([[d] for d in dims], *dims).agg(
+        F.avg("_t").alias("mean_target"), F.grouping_id().alias("_gid")
+    )
+    # grouping_id has one bit per grouping column (first column = highest
+    # bit); a set that keeps only column i has every other bit set
+    full = (1 << len(dims)) - 1
+    gid_of = {d: full ^ (1 << (len(dims) - 1 - i)) for i, d in enumerate(dims)}
+    dimension = F.lit(None).cast("string")
+    key = F.lit(None).cast("string")
+    for d in dims:
+        hit = F.col("_gid") == gid_of[d]
+        dimension = F.when(hit, F.lit(d)).otherwise(dimension)
+        key = F.when(hit, F.col(d).cast("string")).otherwise(key)
+    label = F.when(F.col("_gid") == gid_of["day_of_week"], day_name(F.col("day_of_week")))
+    return agg.select(
+        dimension.alias("dimension"), key.alias("key"), label.alias("label"), "mean_target"
     )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
 
 
 def overview_counts(df: DataFrame) -> DataFrame:

@@ -314,13 +314,19 @@ def keys_at_ranks(
             if prefix_cols
             else Window.orderBy(c)
         ).rowsBetween(Window.unboundedPreceding, 0)
+        counts = counts.cache()
+        size = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+        if size[0] > KEY_LEVEL_LIMIT:
+            # the running sum over this count table would be one big task:
+            # fall back to the distributed sort + ordinal lookup
+            counts.unpersist()
+            return _keys_at_ranks_by_ordinal(df, order_cols, ranks)
         cum = counts.withColumn("_cum", F.sum("_n").over(w))
         if pending is None:
-            cum = cum.cache()
-            n_total = int(cum.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+            n_total = int(size[1])
             pending = [(int(r), ()) for r in ranks(n_total)]
         if not pending:
-            cum.unpersist()
+            counts.unpersist()
             break
         hit = F.lit(False)
         for rem, p in pending:
@@ -329,7 +335,7 @@ def keys_at_ranks(
                 cond = cond & (F.col(pc) == F.lit(pv))
             hit = hit | cond
         rows = cum.where(hit).select(*prefix_cols, c, "_cum", "_n").collect()  # <= one row per rank
-        cum.unpersist()
+        counts.unpersist()
         nxt = []
         for rem, p in pending:
             match = [
@@ -347,6 +353,28 @@ def keys_at_ranks(
     return (n_total, keys) if want_n else keys
 
 
+KEY_LEVEL_LIMIT = 5_000_000
+
+
+def _keys_at_ranks_by_ordinal(df, order_cols, ranks_arg):
+    """Same answer as ``keys_at_ranks`` through ``with_ordinal_n``: one
+    range-partitioned sort (checkpointed), then a filter on the wanted
+    ordinals; only the (few) wanted rows reach the driver."""
+    want_n = callable(ranks_arg)
+    ordered_df, n = with_ordinal_n(df, order_cols)
+    ranks = ranks_arg(n) if want_n else list(ranks_arg)
+    if not ranks:
+        return (n, []) if want_n else []
+    rows = (
+        ordered_df.where(F.col(ORD).isin([int(r) - 1 for r in ranks]))
+        .select(ORD, *order_cols)
+        .collect()
+    )
+    by_ord = {r[ORD]: tuple(r[c] for c in order_cols) for r in rows}
+    keys = [by_ord[int(r) - 1] for r in ranks]
+    return (n, keys) if want_n else keys
+
+
 def _and_all(conds: list[Column]) -> Column:
     acc = F.lit(True)
     for c in conds:

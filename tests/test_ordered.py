@@ -77,3 +77,13 @@ def test_partition_count_does_not_change_results(spark, demand):
     a = fe.create_rolling_features(base.repartition(1), strategy="partition")
     b = fe.create_rolling_features(base.repartition(7), strategy="partition")
     _features_equal(a, b, ["rolling_7_mean", "rolling_30_std"])
+
+
+def test_keys_at_ranks_ordinal_fallback(demand, monkeypatch):
+    ranks = [1, 100, demand.count()]
+    normal = ordered.keys_at_ranks(demand, KEY, ranks)
+    monkeypatch.setattr(ordered, "KEY_LEVEL_LIMIT", 3)
+    assert ordered.keys_at_ranks(demand, KEY, ranks) == normal
+    n, keys = ordered.keys_at_ranks(demand, KEY, lambda n: [n // 2])
+    monkeypatch.setattr(ordered, "KEY_LEVEL_LIMIT", 10**9)
+    assert (n, keys) == ordered.keys_at_ranks(demand, KEY, lambda n: [n // 2])
