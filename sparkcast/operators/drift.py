@@ -122,10 +122,16 @@ def numeric_drift(
     threshold: float = DEFAULT_THRESHOLD,
     strategy: str = "auto",
 ) -> DataFrame:
-    """D1 numeric: per column ks (D), wasserstein, ref_std, wasserstein_normed, drift."""
+    """D1 numeric: per column ks (D), wasserstein, ref_std, wasserstein_normed, drift.
+
+    The data is read once: the (column, value) count table is cached (one row
+    per distinct value), and the CDFs, the next-value gaps and the reference
+    moments all come from it.
+    """
     tagged = _tagged(reference, current, columns, as_string=False)
-    counts = _value_counts(tagged)
-    run = _running_counts(counts, strategy).join(_side_totals(counts), "column")
+    counts = _value_counts(tagged).cache()
+    totals = _side_totals(counts)
+    run = _running_counts(counts, strategy).join(totals, "column")
     fr = F.try_divide(F.col("ccr"), F.col("nr"))
     fc = F.try_divide(F.col("ccc"), F.col("nc"))
     gap = F.abs(fr - fc)
@@ -133,7 +139,23 @@ def numeric_drift(
         F.max(gap).alias("ks"),
         F.sum(F.coalesce(gap * (F.col("next_value") - F.col("value")), F.lit(0.0))).alias("wasserstein"),
     )
-    ref_std = tagged.where(F.col("_ref")).groupBy("column").agg(F.stddev_pop("value").alias("ref_std"))
+    # reference population std from the weighted value table, two passes
+    # (mean, then squared deviations) to stay as stable as a streaming std
+    means = counts.groupBy("column").agg(
+        F.try_divide(F.sum(F.col("cr") * F.col("value")), F.sum("cr")).alias("_mu")
+    )
+    ref_std = (
+        counts.join(means, "column")
+        .groupBy("column")
+        .agg(
+            F.sqrt(
+                F.try_divide(
+                    F.sum(F.col("cr") * (F.col("value") - F.col("_mu")) * (F.col("value") - F.col("_mu"))),
+                    F.sum("cr"),
+                )
+            ).alias("ref_std")
+        )
+    )
     out = stats.join(ref_std, "column", "left").withColumn(
         "wasserstein_normed", F.try_divide(F.col("wasserstein"), F.col("ref_std"))
     )

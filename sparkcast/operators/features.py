@@ -25,8 +25,8 @@ DEFAULT_LAGS = (1, 3, 7, 14, 30)
 DEFAULT_WINDOWS = (7, 14, 30)
 DEFAULT_STATS = ("mean", "std", "min", "max")
 SERIES = ("product_id", "store_id")
-# chunked form only: how far back a NULL price is carried for pct change
-PRICE_CARRY_ROWS = 30
+# halo for the price-change columns (they look back one row)
+PRICE_CARRY_ROWS = 1
 
 # Rolling statistic given by name (pandas aggregate names)
 ROLLING_AGGS = {
@@ -157,16 +157,23 @@ def group_statistics(
     return df.join(stats, g, "left")
 
 
-def price_change_columns(w, price_col: str, group_cols: Sequence[str], look_back: int | None) -> dict:
+def price_change_columns(
+    w, price_col: str, group_cols: Sequence[str], look_back: int | None, filled_col: str | None = None
+) -> dict:
     """W6 diff and W7 pct change (nulls carried forward first, as pandas 2 does).
 
-    ``look_back`` None means an unbounded carry (partitioned windows); the
-    chunked form carries at most ``look_back`` rows back.
+    With ``filled_col`` (the price already forward-filled per series) the
+    pct change only needs the previous row. Without it the fill is a running
+    frame, which is exact on partitioned windows (``look_back`` None).
     """
     p = F.col(price_col)
-    lower = Window.unboundedPreceding if look_back is None else -int(look_back)
-    filled = F.last(p, ignorenulls=True).over(w.rowsBetween(lower, 0))
-    prev_filled = F.last(p, ignorenulls=True).over(w.rowsBetween(lower, -1))
+    if filled_col is not None:
+        filled = F.col(filled_col)
+        prev_filled = F.lag(filled, 1).over(w)
+    else:
+        lower = Window.unboundedPreceding if look_back is None else -int(look_back)
+        filled = F.last(p, ignorenulls=True).over(w.rowsBetween(lower, 0))
+        prev_filled = F.last(p, ignorenulls=True).over(w.rowsBetween(lower, -1))
     change = p - F.lag(p, 1).over(w)
     pct = safe_div(filled, prev_filled) - F.lit(1.0)
     return {
@@ -175,6 +182,22 @@ def price_change_columns(w, price_col: str, group_cols: Sequence[str], look_back
     }
 
 
+FILLED_PRICE = "_price_ffill"
+
+
+def _with_filled_price(df: DataFrame, price_col: str, g: list[str], date_col: str, strategy: str) -> DataFrame:
+    """For the chunked form: the price forward-filled per series, exactly
+    (chunked fill with a carry per chunk and series), so pct change needs
+    no unbounded frame."""
+    if strategy != "chunked":
+        return df
+    order = _order_cols(date_col, g, df)
+    filled = ordered.fill_nulls_ordered(
+        df.withColumn(FILLED_PRICE, F.col(price_col)), [FILLED_PRICE], order, group_cols=g
+    )
+    return filled.drop(ordered.ORD)
+
+
 def create_price_features(
     df: DataFrame,
     price_col: str = "price",
@@ -201,15 +224,19 @@ def create_price_features(
 
 
 def _with_price_changes(df, price_col, g, date_col, strategy, chunk_rows):
-    return ordered.ordered_window_columns(
-        df,
-        _order_cols(date_col, g, df),
+    strategy = ordered.resolve_strategy(df, g, strategy)
+    src = _with_filled_price(df, price_col, g, date_col, strategy)
+    filled = FILLED_PRICE if strategy == "chunked" else None
+    out = ordered.ordered_window_columns(
+        src,
+        _order_cols(date_col, g, src),
         g,
         halo=PRICE_CARRY_ROWS,
-        make_columns=lambda w, look_back: price_change_columns(w, price_col, g, look_back),
+        make_columns=lambda w, look_back: price_change_columns(w, price_col, g, look_back, filled),
         strategy=strategy,
         chunk_rows=chunk_rows,
     )
+    return out.drop(FILLED_PRICE)
 
 
 def _minmax_norm(df: DataFrame, c: str) -> Column:
@@ -282,6 +309,9 @@ def create_features(
             strategy = "partition" if biggest <= 5_000_000 else "chunked"
     strategy = ordered.resolve_strategy(df, g, strategy)
     out = df
+    if include_price:
+        out = _with_filled_price(out, "price", g, date_col, strategy)
+    filled = FILLED_PRICE if include_price and strategy == "chunked" else None
     if include_time:
         out = out.withColumns(time_features(date_col))
     # lags, rolling stats and price changes share one window pass
@@ -298,7 +328,7 @@ def create_features(
             if include_rolling:
                 cols.update(rolling_columns(w, target_col, windows, stats, g))
             if include_price:
-                cols.update(price_change_columns(w, "price", g, look_back))
+                cols.update(price_change_columns(w, "price", g, look_back, filled))
             return cols
 
         out = ordered.ordered_window_columns(
@@ -310,6 +340,8 @@ def create_features(
             strategy=strategy,
             chunk_rows=chunk_rows,
         )
+        if filled:
+            out = out.drop(FILLED_PRICE)
     if include_price:
         changes = ["price_change", "price_change_pct"]
         if g:

@@ -198,48 +198,59 @@ def fill_nulls_ordered(
     order_cols: Sequence[str],
     backward: bool = False,
     chunk_rows: int | None = None,
+    group_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Forward (or backward) fill over one global order, in parallel."""
-    columns = list(columns)
-    d, n = with_ordinal_n(df, order_cols)
+    """Forward (or backward) fill over an order, in parallel; within
+    each group of ``group_cols`` when given.
+
+    Rows are numbered over (groups, order) and cut into chunks; each
+    (chunk, group) is filled with a running frame, and the value to carry
+    into it comes from a window over the (chunk, group) edge table -- one row
+    per chunk and group, so a hot group spread over many chunks is never one
+    task. Adds the ordinal column ``_ord``.
+    """
+    columns, groups = list(columns), list(group_cols)
+    d, n = with_ordinal_n(df, [*groups, *order_cols])
     chunk_rows = chunk_rows or adaptive_chunk_rows(df, n, 1)
-    d = d.withColumn(
-        "_chunk", F.floor(F.col(ORD) / F.lit(chunk_rows)).cast("bigint")
-    )
+    d = d.withColumn("_chunk", F.floor(F.col(ORD) / F.lit(chunk_rows)).cast("bigint"))
     # Both directions use running frames (unbounded preceding .. current),
     # which Spark evaluates in one pass; a backward fill runs over the
     # descending order instead of an "unbounded following" frame, which
     # Spark would re-aggregate for every row (quadratic in the chunk size).
     if backward:
-        inner = Window.partitionBy("_chunk").orderBy(F.desc(ORD)).rowsBetween(
+        inner = Window.partitionBy("_chunk", *groups).orderBy(F.desc(ORD)).rowsBetween(
             Window.unboundedPreceding, 0
         )
-        outer = Window.orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+        outer_order = F.desc("_chunk")
         edge = [
             F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ORD))).alias(f"_e_{c}")
             for c in columns
         ]
     else:
-        inner = Window.partitionBy("_chunk").orderBy(ORD).rowsBetween(
+        inner = Window.partitionBy("_chunk", *groups).orderBy(ORD).rowsBetween(
             Window.unboundedPreceding, 0
         )
-        outer = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        outer_order = F.asc("_chunk")
         edge = [
             F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ORD))).alias(f"_e_{c}")
             for c in columns
         ]
-    pick = F.last
-    filled = d.withColumns({f"_f_{c}": pick(F.col(c), ignorenulls=True).over(inner) for c in columns})
-    # one row per chunk; the running carry is a single small task
+    outer = (
+        (Window.partitionBy(*groups) if groups else Window)
+        .orderBy(outer_order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    filled = d.withColumns({f"_f_{c}": F.last(F.col(c), ignorenulls=True).over(inner) for c in columns})
     carry = (
-        d.groupBy("_chunk")
+        d.groupBy("_chunk", *groups)
         .agg(*edge)
         .select(
             "_chunk",
-            *[pick(F.col(f"_e_{c}"), ignorenulls=True).over(outer).alias(f"_c_{c}") for c in columns],
+            *groups,
+            *[F.last(F.col(f"_e_{c}"), ignorenulls=True).over(outer).alias(f"_c_{c}") for c in columns],
         )
     )
-    joined = filled.join(carry, "_chunk", "left")
+    joined = filled.join(carry, ["_chunk", *groups], "left")
     out_cols = []
     for f in df.columns:
         if f in columns:

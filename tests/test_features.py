@@ -66,3 +66,19 @@ def test_serving_features_and_align(spark):
     assert math.isclose(f.price_per_category, 29.99 / 2)
     aligned = fe.align_columns(fe.serving_features(df), ["price", "lag_1", "store_id"])
     assert aligned.columns == ["price", "lag_1", "store_id"] and aligned.first().lag_1 == 0
+
+
+def test_pct_change_chunked_carries_long_null_runs(spark):
+    """A NULL run longer than any halo must still carry the last price."""
+    import pandas as pd
+
+    prices = [10.0] + [None] * 80 + [12.0, 6.0] + [None] * 5
+    rows = [(i, 1, 1, p) for i, p in enumerate(prices)]
+    df = spark.createDataFrame(rows, "d long, product_id long, store_id long, price double").withColumn(
+        "date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d").cast("int"))
+    ).drop("d")
+    exp = pd.Series(prices).ffill().pct_change().fillna(0).to_numpy()
+    for strategy in ("partition", "chunked"):
+        got = fe._with_price_changes(df, "price", ["product_id", "store_id"], "date", strategy, 16)
+        got = got.orderBy("date").select("price_change_pct").toPandas()["price_change_pct"].to_numpy()
+        assert np.allclose(got, exp), strategy

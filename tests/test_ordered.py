@@ -87,3 +87,14 @@ def test_keys_at_ranks_ordinal_fallback(demand, monkeypatch):
     n, keys = ordered.keys_at_ranks(demand, KEY, lambda n: [n // 2])
     monkeypatch.setattr(ordered, "KEY_LEVEL_LIMIT", 10**9)
     assert (n, keys) == ordered.keys_at_ranks(demand, KEY, lambda n: [n // 2])
+
+
+def test_create_features_chunked_equals_partitioned(demand):
+    from sparkcast.sources.tables import with_nulls
+
+    src = with_nulls(demand)
+    a = fe.create_features(src, strategy="partition")
+    b = fe.create_features(src, strategy="chunked", chunk_rows=500)
+    assert sorted(a.columns) == sorted(b.columns)
+    num = [c for c, t in a.dtypes if t in ("double", "bigint", "int")]
+    _features_equal(a, b, num)
