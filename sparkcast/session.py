@@ -68,10 +68,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def use_local_checkpoint_dir(spark: SparkSession, base: str | None = None) -> str:
-    """For local runs and tests only: set a /tmp checkpoint folder if unset."""
+    """For local runs and tests only: set a /tmp checkpoint folder if unset.
+
+    On a cluster master this never invents a machine-local folder; a missing
+    ``spark.checkpoint.dir`` stays an error there.
+    """
     try:
         return checkpoint_dir(spark)
     except RuntimeError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
         path = tempfile.mkdtemp(prefix="sparkcast-ckpt-", dir=base or "/tmp")
         spark.sparkContext.setCheckpointDir(path)
         return path
