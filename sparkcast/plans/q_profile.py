@@ -195,9 +195,89 @@ def p12_value_ranges(spark, sf):
     return P.value_ranges(demand_view(spark, sf))
 
 
-@register("a10_profile")
+def _profile_sql() -> str:
+    """A10 as one long table over the defect panel (same parts as A1-A9)."""
+    src = "t"
+    nums = NUMERIC
+
+    def row(section, column, metric, value, text="CAST(NULL AS VARCHAR)"):
+        col = f"'{column}'" if column is not None else "CAST(NULL AS VARCHAR)"
+        return (
+            f"SELECT '{section}' AS section, {col} AS \"column\", '{metric}' AS metric, "
+            f"{r(value)} AS value, {text} AS text FROM {src}"
+        )
+
+    parts = [
+        row("overview", None, "rows", "count(*)"),
+        row("overview", None, "columns", f"max({len(RAW_COLUMNS)})"),
+        row("overview", None, "duplicate_rows", "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM t))"),
+        row("overview", None, "total_missing", " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in RAW_COLUMNS)),
+    ]
+    for c in RAW_COLUMNS:
+        parts += [
+            row("columns", c, "missing", f"count(*) FILTER (WHERE {c} IS NULL)"),
+            row("columns", c, "missing_pct", f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 2)"),
+            row("columns", c, "unique", f"count(DISTINCT {c})"),
+            row("columns", c, "unique_pct", f"round(count(DISTINCT {c}) * 100.0 / count(*), 2)"),
+        ]
+    for c in nums:
+        parts += [
+            row("numeric", c, "min", f"min({c})"),
+            row("numeric", c, "max", f"max({c})"),
+            row("numeric", c, "mean", f"round(avg({c}), 2)"),
+            row("numeric", c, "median", f"quantile_cont({c}, 0.5)"),
+            row("numeric", c, "std", f"round(stddev_samp({c}), 2)"),
+            row("numeric", c, "zeros", f"count(*) FILTER (WHERE {c} = 0)"),
+            row("numeric", c, "zeros_pct", f"round(count(*) FILTER (WHERE {c} = 0) * 100.0 / count(*), 2)"),
+            row("numeric", c, "q1", f"quantile_cont({c}, 0.25)"),
+            row("numeric", c, "q3", f"quantile_cont({c}, 0.75)"),
+            row("numeric", c, "iqr", f"quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)"),
+        ]
+    parts += [
+        row("datetime", "date", "range_days", "date_diff('day', min(date), max(date))"),
+        row("datetime", "date", "min", "NULL", "CAST(CAST(min(date) AS TIMESTAMP) AS VARCHAR)"),
+        row("datetime", "date", "max", "NULL", "CAST(CAST(max(date) AS TIMESTAMP) AS VARCHAR)"),
+    ]
+    for a in nums:
+        for b in nums:
+            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+            corr = (
+                f"covar_pop({a}, {b}) / (stddev_pop(CASE WHEN {both} THEN {a} END)"
+                f" * stddev_pop(CASE WHEN {both} THEN {b} END))"
+            )
+            if a == b:
+                corr = f"CASE WHEN stddev_pop({a}) > 0 THEN 1.0 END"
+            parts.append(row("correlation", a, b, f"round({corr}, 3)"))
+    tgt = "target_demand"
+    for m, e in [
+        ("mean", f"round(avg({tgt}), 2)"),
+        ("median", f"quantile_cont({tgt}, 0.5)"),
+        ("std", f"round(stddev_samp({tgt}), 2)"),
+        ("min", f"min({tgt})"),
+        ("max", f"max({tgt})"),
+        ("skewness", f"round(skewness({tgt}), 2)"),
+        ("kurtosis", f"round(kurtosis({tgt}), 2)"),
+        ("q10", f"quantile_cont({tgt}, 0.1)"),
+        ("q25", f"quantile_cont({tgt}, 0.25)"),
+        ("q50", f"quantile_cont({tgt}, 0.5)"),
+        ("q75", f"quantile_cont({tgt}, 0.75)"),
+        ("q90", f"quantile_cont({tgt}, 0.9)"),
+    ]:
+        parts.append(row("target", tgt, m, e))
+    for name, pred in [
+        ("0-10", f"{tgt} <= 10"),
+        ("11-20", f"{tgt} > 10 AND {tgt} <= 20"),
+        ("21-30", f"{tgt} > 20 AND {tgt} <= 30"),
+        ("31-40", f"{tgt} > 30 AND {tgt} <= 40"),
+        ("40+", f"{tgt} > 40"),
+    ]:
+        parts.append(row("value_ranges", tgt, name, f"count(*) FILTER (WHERE {pred})"))
+    return f"WITH t AS ({RAW_DEFECTS_SQL}) " + " UNION ALL ".join(parts)
+
+
+@register("a10_profile", _profile_sql())
 def a10_profile(spark, sf):
-    """A1-A9 as one long table; each part has its own oracle above."""
+    """A1-A9 as one long table over the defect panel."""
     return round_doubles(P.profile_report(raw_with_defects(demand_view(spark, sf))))
 
 
