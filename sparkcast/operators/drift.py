@@ -273,11 +273,18 @@ def quality_by_side(reference: DataFrame, current: DataFrame, columns: Sequence[
     )
 
 
-def monitoring_run(reference: DataFrame, current: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> dict:
+def monitoring_run(
+    reference: DataFrame,
+    current: DataFrame,
+    threshold: float = DEFAULT_THRESHOLD,
+    numeric: Sequence[str] | None = None,
+    categorical: Sequence[str] | None = None,
+    quality_cols: Sequence[str] | None = None,
+) -> dict:
     """The tables a monitoring run writes (drift per column, dataset row, quality)."""
-    cols = column_drift(reference, current, threshold=threshold)
+    cols = column_drift(reference, current, numeric, categorical, threshold=threshold)
     return {
         "columns": cols,
         "dataset": dataset_drift(cols),
-        "quality": quality_by_side(reference, current),
+        "quality": quality_by_side(reference, current, quality_cols),
     }

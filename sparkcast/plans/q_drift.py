@@ -176,11 +176,23 @@ def a20_quality(spark, sf):
     return round_doubles(D.quality_by_side(ref, cur, QUALITY_COLS))
 
 
-@register("d6_monitoring")
+@register(
+    "d6_monitoring",
+    _columns_sql()
+    + f""", qs AS ({DEMAND_SIDES_SQL}),
+qu AS ({" UNION ALL ".join(f"SELECT side, '{c}' AS col FROM qs" for c in QUALITY_COLS)})
+SELECT CAST(count(*) AS BIGINT) AS number_of_columns,
+  CAST(count(*) FILTER (WHERE drift_detected) AS BIGINT) AS number_of_drifted_columns,
+  {r("count(*) FILTER (WHERE drift_detected) / count(*)")} AS share_of_drifted_columns,
+  count(*) FILTER (WHERE drift_detected) / count(*) >= {D.DATASET_SHARE} AS dataset_drift,
+  COALESCE(string_agg("column", ',' ORDER BY "column") FILTER (WHERE drift_detected), '') AS drifted_features,
+  (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT side, col FROM qu)) AS quality_rows
+FROM cols""",
+)
 def d6_monitoring(spark, sf):
-    """Status row of a full run (row count only): drift summary + quality rows."""
+    """Status row of a full run: dataset drift summary + number of quality rows."""
     ref, cur = demand_sides(spark, sf)
-    run = D.monitoring_run(ref, cur)
+    run = D.monitoring_run(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, quality_cols=QUALITY_COLS)
     q = run["quality"].agg(F.count(F.lit(1)).cast("bigint").alias("quality_rows"))
     status = run["dataset"].withColumn("quality_rows", q.scalar())
     return round_doubles(status)

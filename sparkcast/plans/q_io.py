@@ -14,7 +14,7 @@ from sparkcast.operators import validate as V
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
 from sparkcast.plans.q_features import MINMAX, _sql_calendar_basic
-from sparkcast.plans.q_rules import REQUESTS_SQL, _reasons_sql, requests_table
+from sparkcast.plans.q_rules import REQUESTS_SQL, _reasons_sql, _report_sql, requests_table
 from sparkcast.session import scratch_dir
 from sparkcast.sources import tables as T
 from sparkcast.sources.tables import DEMAND_SQL, RAW_COLUMNS, demand_view
@@ -39,12 +39,13 @@ def s3_parquet_roundtrip(spark, sf):
     return back.select(*RAW_COLUMNS, *basic_calendar().keys())
 
 
-@register("s4_json_report")
+@register("s4_json_report", _report_sql(DEMAND_SQL))
 def s4_json_report(spark, sf):
-    """The validation report written as JSON lines and read back (rows only)."""
+    """The validation report written as JSON lines and read back with its schema."""
     path = scratch_dir(spark, "json") + "/report"
-    T.save_report_json(V.validation_report(demand_view(spark, sf)), path)
-    return spark.read.json(path)
+    report = V.validation_report(demand_view(spark, sf))
+    T.save_report_json(report, path)
+    return round_doubles(spark.read.schema(report.schema).json(path))
 
 
 @register(

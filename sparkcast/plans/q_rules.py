@@ -129,7 +129,7 @@ def v7_validate(spark, sf):
     return V.violations(_raw(spark, sf), "raw")
 
 
-def _report_sql() -> str:
+def _report_sql(src: str = RAW_DEFECTS_SQL) -> str:
     dtypes = {
         "date": "date",
         "price": "double",
@@ -148,7 +148,7 @@ def _report_sql() -> str:
   {r(f"max({c})") if num else "CAST(NULL AS DOUBLE)"} AS max,
   {r(f"avg({c})") if num else "CAST(NULL AS DOUBLE)"} AS mean,
   {r(f"stddev_samp({c})") if num else "CAST(NULL AS DOUBLE)"} AS std
-FROM ({RAW_DEFECTS_SQL})"""
+FROM ({src})"""
         )
     return " UNION ALL ".join(rows)
 
