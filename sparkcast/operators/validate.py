@@ -213,7 +213,8 @@ def validate_to_result(df: DataFrame, schema_type: str = "raw", raise_error: boo
         if raise_error:
             raise ValidationError(msg)
         return False, msg
-    bad = violations(df, schema_type).where(F.col("violations") > 0).collect()
+    # one row per failing rule (bounded by the rule count), in a fixed order
+    bad = violations(df, schema_type).where(F.col("violations") > 0).orderBy("rule", "column").collect()
     if bad:
         msg = "; ".join(f"{r['rule']}({r['column']}): {r['violations']}" for r in bad)
         if raise_error:

@@ -176,7 +176,19 @@ def t4_top_values(spark, sf):
     return X.top_n(demand_view(spark, sf), "target_demand", 20)
 
 
-@register("v8_validate_result")
+def _v8_sql() -> str:
+    from sparkcast.plans.q_rules import NOT_NULL, RANGES, SETS, UNIQUE_SQL, _union
+
+    viol = f"SELECT * FROM ({_union(NOT_NULL + RANGES + SETS, T.RAW_DEFECTS_SQL)}) UNION ALL SELECT * FROM ({UNIQUE_SQL})"
+    return f"""WITH v AS ({viol})
+SELECT 'raw' AS schema, count(*) FILTER (WHERE violations > 0) = 0 AS ok,
+  COALESCE(string_agg(rule || '(' || "column" || '): ' || CAST(violations AS VARCHAR), '; '
+           ORDER BY rule, "column") FILTER (WHERE violations > 0), 'Validation passed') AS message
+FROM v
+UNION ALL SELECT 'processed', true, 'Validation passed'"""
+
+
+@register("v8_validate_result", _v8_sql())
 def v8_validate_result(spark, sf):
     """(ok, message) for the raw and processed schemas on the defect table."""
     d = T.raw_with_defects(demand_view(spark, sf))

@@ -68,9 +68,23 @@ def k5_trim(spark, sf):
     )
 
 
-@register("k3_metadata")
+def _k3_sql() -> str:
+    import json
+
+    from sparkcast.functions.calendar import basic_calendar
+    from sparkcast.sources.tables import RAW_COLUMNS
+
+    names = json.dumps(RAW_COLUMNS + list(basic_calendar().keys()))
+    return f"""SELECT 'demand' AS name, 'v3' AS version, CAST(count(*) AS BIGINT) AS rows,
+  CAST(17 AS BIGINT) AS columns, '{names}' AS column_names, '{{}}' AS metadata
+FROM ({DEMAND_SQL})"""
+
+
+@register("k3_metadata", _k3_sql())
 def k3_metadata(spark, sf):
-    """Metadata row of the newest version (timestamps make it rows-only)."""
+    """Metadata row of the newest version (its timestamp and sequence left out)."""
     st = _store(spark)
     _three_versions(spark, sf, st)
-    return st.get_feature_metadata("demand")
+    return st.get_feature_metadata("demand").select(
+        "name", "version", "rows", "columns", "column_names", "metadata"
+    )
