@@ -68,9 +68,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     number. Empty bins are listed with count 0 (bins come from ``range``).
     """
     x = F.col(column).cast("double")
-    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    mm = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = mm["lo"], mm["hi"]
     b = F.least(
         F.coalesce(F.floor(F.try_divide(x - lo, hi - lo) * bins), F.lit(0)),
         F.lit(bins - 1),

@@ -45,10 +45,29 @@ def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+TARGET_PARTITION_BYTES = 128 << 20
+MAX_RANGE_PARTITIONS = 200_000
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (file sizes for scans)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimates are best effort
+        return None
+
+
 def _num_partitions(df: DataFrame, n: int | None) -> int:
+    """Range partitions for a sort: at least the shuffle partition count, and
+    enough that each holds about 128 MB by the optimizer's estimate (so the
+    count grows with the data instead of staying at a fixed setting)."""
     if n:
         return n
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    base = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = _estimated_bytes(df)
+    if size is None:
+        return base
+    return int(min(MAX_RANGE_PARTITIONS, max(base, -(-size // TARGET_PARTITION_BYTES))))
 
 
 def with_ordinal_n(
