@@ -289,6 +289,7 @@ def create_features(
     strategy: str = "auto",
     chunk_rows: int | None = None,
     median_method: str = "auto",
+    max_group_rows: int = 5_000_000,
 ) -> DataFrame:
     """Time, lag, rolling, price and interaction features, then NULL fills.
 
@@ -306,8 +307,8 @@ def create_features(
         price_stats = group_stats_table(df, "price", g, prefix="price").cache()
         if strategy == "auto":
             biggest = price_stats.agg(F.max("_group_rows")).first()[0] or 0
-            strategy = "partition" if biggest <= 5_000_000 else "chunked"
-    strategy = ordered.resolve_strategy(df, g, strategy)
+            strategy = "partition" if biggest <= max_group_rows else "chunked"
+    strategy = ordered.resolve_strategy(df, g, strategy, max_group_rows)
     out = df
     if include_price:
         out = _with_filled_price(out, "price", g, date_col, strategy)

@@ -98,3 +98,21 @@ def test_create_features_chunked_equals_partitioned(demand):
     assert sorted(a.columns) == sorted(b.columns)
     num = [c for c, t in a.dtypes if t in ("double", "bigint", "int")]
     _features_equal(a, b, num)
+
+
+def test_hot_series_switches_to_chunked_and_matches(demand):
+    """One series holding about a third of all rows: 'auto' must leave the
+    one-task-per-series plan and still give the same features."""
+    n = demand.count()
+    hot = (
+        demand.limit(n // 2)
+        .withColumn("date", F.date_add(F.lit("1990-01-01").cast("date"), F.monotonically_increasing_id().cast("int")))
+        .withColumn("product_id", F.lit(999))
+        .withColumn("store_id", F.lit(99).cast("bigint"))
+    )
+    skewed = demand.unionByName(hot).cache()
+    assert ordered.resolve_strategy(skewed, ["product_id", "store_id"], "auto", max_group_rows=1000) == "chunked"
+    a = fe.create_features(skewed, strategy="partition")
+    b = fe.create_features(skewed, max_group_rows=1000)
+    num = [c for c, t in a.dtypes if t in ("double", "bigint", "int")]
+    _features_equal(a, b, num)
