@@ -12,6 +12,9 @@ def _flag(cond: Column) -> Column:
     return cond.cast("bigint")
 
 
+BASIC_CALENDAR_COLUMNS = ["year", "month", "day", "day_of_week", "is_weekend", "week_of_year", "quarter"]
+
+
 def basic_calendar(date_col: str = "date") -> dict[str, Column]:
     """year, month, day, day_of_week (0=Mon), is_weekend, ISO week, quarter."""
     d = F.col(date_col)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import functions as F
 
 from sparkcast.operators import explore as X
 from sparkcast.operators import profile as P

@@ -71,10 +71,10 @@ def k5_trim(spark, sf):
 def _k3_sql() -> str:
     import json
 
-    from sparkcast.functions.calendar import basic_calendar
+    from sparkcast.functions.calendar import BASIC_CALENDAR_COLUMNS
     from sparkcast.sources.tables import RAW_COLUMNS
 
-    names = json.dumps(RAW_COLUMNS + list(basic_calendar().keys()))
+    names = json.dumps(RAW_COLUMNS + BASIC_CALENDAR_COLUMNS)
     return f"""SELECT 'demand' AS name, 'v3' AS version, CAST(count(*) AS BIGINT) AS rows,
   CAST(17 AS BIGINT) AS columns, '{names}' AS column_names, '{{}}' AS metadata
 FROM ({DEMAND_SQL})"""

@@ -46,3 +46,13 @@ def test_query_equals_duckdb(spark, name):
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert digest(sdf.columns, [tuple(r) for r in sdf.collect()])[0] == digest(dcols, res.fetchall())[0]
+
+
+def test_oracle_sql_needs_no_spark():
+    """The driver may read oracle_sql() before any session exists."""
+    import subprocess
+
+    code = "import sys; sys.path.insert(0, %r); import __spark_entry__ as E; print(len(E.oracle_sql()))" % ROOT
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout.strip().splitlines()[-1]) >= 90
