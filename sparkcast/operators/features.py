@@ -239,20 +239,29 @@ def _with_price_changes(df, price_col, g, date_col, strategy, chunk_rows):
     return out.drop(FILLED_PRICE)
 
 
-def _minmax_norm(df: DataFrame, c: str) -> Column:
-    """(x - min) / (max - min) with global min/max as one scalar subquery."""
-    mm = df.agg(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"))).scalar()
-    return safe_div(F.col(c) - mm["lo"], mm["hi"] - mm["lo"])
+def _minmax(src: DataFrame, cols: Sequence[str]) -> Column:
+    """Global min/max of several columns as ONE scalar subquery (a struct)."""
+    fields = []
+    for c in cols:
+        fields += [F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi")]
+    return src.agg(F.struct(*fields)).scalar()
+
+
+def _norm(mm: Column, c: str) -> Column:
+    """(x - min) / (max - min); NULL when max = min."""
+    return safe_div(F.col(c) - mm[f"{c}_lo"], mm[f"{c}_hi"] - mm[f"{c}_lo"])
 
 
 def create_interaction_features(df: DataFrame, stats_source: DataFrame | None = None) -> DataFrame:
     """C2 = F6-F9, each only if its inputs exist.
 
     Global min/max come from ``stats_source`` (default ``df``): pass the
-    un-windowed input so the scalar subqueries do not re-plan window work.
+    un-windowed input so the scalar subquery does not re-plan window work.
     """
     src = stats_source if stats_source is not None else df
     cols = set(df.columns)
+    scaled = [c for c in ("price", "economic_index") if c in cols]
+    mm = _minmax(src, scaled) if scaled else None
     new: dict[str, Column] = {}
     if "promotion_flag" in cols:
         promo = F.col("promotion_flag")
@@ -261,10 +270,10 @@ def create_interaction_features(df: DataFrame, stats_source: DataFrame | None =
         if "holiday_flag" in cols:
             new["promo_holiday"] = promo * F.col("holiday_flag")
         if "price" in cols:
-            new["promo_discount_effect"] = promo * (F.lit(1.0) - _minmax_norm(src, "price"))
+            new["promo_discount_effect"] = promo * (F.lit(1.0) - _norm(mm, "price"))
     if "economic_index" in cols and "price" in cols:
         new["price_economy_ratio"] = safe_div(
-            _minmax_norm(src, "price"), _minmax_norm(src, "economic_index") + F.lit(0.01)
+            _norm(mm, "price"), _norm(mm, "economic_index") + F.lit(0.01)
         )
     if "historical_sales" in cols and "target_demand" in cols:
         new["demand_vs_historical"] = safe_div(
@@ -313,8 +322,6 @@ def create_features(
     if include_price:
         out = _with_filled_price(out, "price", g, date_col, strategy)
     filled = FILLED_PRICE if include_price and strategy == "chunked" else None
-    if include_time:
-        out = out.withColumns(time_features(date_col))
     # lags, rolling stats and price changes share one window pass
     halo = max(
         [*(lags if include_lags else [0]), *(windows if include_rolling else [0])]
@@ -343,33 +350,18 @@ def create_features(
         )
         if filled:
             out = out.drop(FILLED_PRICE)
-    if include_price:
-        changes = ["price_change", "price_change_pct"]
-        if g:
-            out = out.join(price_stats.drop("_group_rows"), g, "left")
-            stat_cols = ["price_mean", "price_std", "price_min", "price_max"]
-        else:
-            # global scalars from the input (price is untouched by the windows)
-            agg = df.agg(F.struct(F.avg("price").alias("m"), F.stddev_samp("price").alias("s"))).scalar()
-            out = out.withColumns({"price_mean": agg["m"], "price_std": agg["s"]})
-            stat_cols = ["price_mean", "price_std"]
-        out = out.withColumn("price_vs_mean", safe_div(F.col("price"), F.col("price_mean")))
-        rest = [c for c in out.columns if c not in changes + stat_cols + ["price_vs_mean"]]
-        out = out.select(*rest, *stat_cols, "price_vs_mean", *changes)
-    if include_interactions:
-        out = create_interaction_features(out, stats_source=df)
-    lag_cols = [c for c in out.columns if c.startswith("lag_")]
-    roll_cols = [c for c in out.columns if c.startswith("rolling_")]
-    if not lag_cols and not roll_cols:
-        return out
+    window_cols = [c for c in out.columns if c not in df.columns]
+    lag_cols = [c for c in window_cols if c.startswith("lag_")]
+    roll_cols = [c for c in window_cols if c.startswith("rolling_")]
     med = None
     if roll_cols:
+        # Materialise only the base and window columns (the row-local
+        # features below are cheap to derive again) in the shared checkpoint
+        # folder, so the window stage runs once for the medians and the output.
         from sparkcast.session import checkpoint_dir
 
         checkpoint_dir(out.sparkSession)
         out = out.checkpoint(eager=True)
-        if price_stats is not None:
-            price_stats.unpersist()
         med = ordered.quantile_columns(
             out, roll_cols, [0.5], method=median_method, name=lambda c, q: c
         ).first()
@@ -377,7 +369,36 @@ def create_features(
     for c in roll_cols:
         m = med[c] if med is not None else None
         fills[c] = F.coalesce(F.col(c), F.lit(m).cast("double")) if m is not None else F.col(c)
-    return out.withColumns(fills)
+    if fills:
+        out = out.withColumns(fills)
+    time_cols: list[str] = []
+    if include_time:
+        tf = time_features(date_col)
+        time_cols = list(tf)
+        out = out.withColumns(tf)
+    price_cols: list[str] = []
+    if include_price:
+        if g:
+            out = out.join(price_stats.drop("_group_rows"), g, "left")
+            stat_cols = ["price_mean", "price_std", "price_min", "price_max"]
+        else:
+            # global scalars from the input (price is untouched by the windows)
+            agg = df.agg(F.struct(F.avg("price").alias("m"), F.stddev_samp("price").alias("s"))).scalar()
+            out = out.withColumns({"price_mean": agg["m"], "price_std": agg["s"]})
+            stat_cols = ["price_mean", "price_std"]
+        out = out.withColumn("price_vs_mean", safe_div(F.col("price"), F.col("price_mean")))
+        price_cols = [*stat_cols, "price_vs_mean", "price_change", "price_change_pct"]
+    ordered_cols = (
+        list(df.columns)
+        + time_cols
+        + lag_cols
+        + roll_cols
+        + price_cols
+    )
+    out = out.select(*ordered_cols)
+    if include_interactions:
+        out = create_interaction_features(out, stats_source=df)
+    return out
 
 
 # --------------------------------------------------------------------------
