@@ -185,17 +185,21 @@ def price_change_columns(
 FILLED_PRICE = "_price_ffill"
 
 
-def _with_filled_price(df: DataFrame, price_col: str, g: list[str], date_col: str, strategy: str) -> DataFrame:
+def _with_filled_price(df: DataFrame, price_col: str, g: list[str], date_col: str, strategy: str):
     """For the chunked form: the price forward-filled per series, exactly
     (chunked fill with a carry per chunk and series), so pct change needs
-    no unbounded frame."""
+    no unbounded frame. Returns (frame, rows); in the chunked form the frame
+    keeps the ordinal so the window pass need not sort again."""
     if strategy != "chunked":
-        return df
+        return df, None
     order = _order_cols(date_col, g, df)
-    filled = ordered.fill_nulls_ordered(
-        df.withColumn(FILLED_PRICE, F.col(price_col)), [FILLED_PRICE], order, group_cols=g
+    return ordered.fill_nulls_ordered(
+        df.withColumn(FILLED_PRICE, F.col(price_col)),
+        [FILLED_PRICE],
+        order,
+        group_cols=g,
+        return_rows=True,
     )
-    return filled.drop(ordered.ORD)
 
 
 def create_price_features(
@@ -225,18 +229,19 @@ def create_price_features(
 
 def _with_price_changes(df, price_col, g, date_col, strategy, chunk_rows):
     strategy = ordered.resolve_strategy(df, g, strategy)
-    src = _with_filled_price(df, price_col, g, date_col, strategy)
+    src, rows = _with_filled_price(df, price_col, g, date_col, strategy)
     filled = FILLED_PRICE if strategy == "chunked" else None
     out = ordered.ordered_window_columns(
         src,
-        _order_cols(date_col, g, src),
+        _order_cols(date_col, g, df),
         g,
         halo=PRICE_CARRY_ROWS,
         make_columns=lambda w, look_back: price_change_columns(w, price_col, g, look_back, filled),
         strategy=strategy,
         chunk_rows=chunk_rows,
+        ordinal_rows=rows,
     )
-    return out.drop(FILLED_PRICE)
+    return out.drop(FILLED_PRICE, ordered.ORD)
 
 
 def _minmax(src: DataFrame, cols: Sequence[str]) -> Column:
@@ -318,9 +323,9 @@ def create_features(
             biggest = price_stats.agg(F.max("_group_rows")).first()[0] or 0
             strategy = "partition" if biggest <= max_group_rows else "chunked"
     strategy = ordered.resolve_strategy(df, g, strategy, max_group_rows)
-    out = df
+    out, ord_rows = df, None
     if include_price:
-        out = _with_filled_price(out, "price", g, date_col, strategy)
+        out, ord_rows = _with_filled_price(out, "price", g, date_col, strategy)
     filled = FILLED_PRICE if include_price and strategy == "chunked" else None
     # lags, rolling stats and price changes share one window pass
     halo = max(
@@ -341,15 +346,15 @@ def create_features(
 
         out = ordered.ordered_window_columns(
             out,
-            _order_cols(date_col, g, out),
+            _order_cols(date_col, g, df),
             g,
             halo=halo,
             make_columns=make,
             strategy=strategy,
             chunk_rows=chunk_rows,
+            ordinal_rows=ord_rows,
         )
-        if filled:
-            out = out.drop(FILLED_PRICE)
+        out = out.drop(FILLED_PRICE, ordered.ORD)
     window_cols = [c for c in out.columns if c not in df.columns]
     lag_cols = [c for c in window_cols if c.startswith("lag_")]
     roll_cols = [c for c in window_cols if c.startswith("rolling_")]

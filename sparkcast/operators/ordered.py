@@ -165,9 +165,14 @@ def ordered_window_columns(
     strategy: str = "auto",
     chunk_rows: int | None = None,
     max_group_rows: int = 5_000_000,
+    ordinal_rows: int | None = None,
 ) -> DataFrame:
     """Add window columns whose frames look back at most ``halo`` rows.
 
+    ``ordinal_rows``: ``df`` already carries ``_ord`` over (groups, order)
+    for that many rows (e.g. from ``fill_nulls_ordered``); the chunked form
+    then reuses it instead of sorting again.
+
     ``make_columns(window_spec, look_back) -> dict[name, Column]`` builds the
     columns for a ``WindowSpec`` (already partitioned and ordered);
     ``look_back`` is None for partitioned windows (unbounded frames are
@@ -191,7 +196,10 @@ def ordered_window_columns(
         return df.withColumns(make_columns(w, None))
     if strategy != "chunked":
         raise ValueError(f"unknown strategy {strategy!r}")
-    ordered, n = with_ordinal_n(df, [*group_cols, *order_cols])
+    if ordinal_rows is not None and ORD in df.columns:
+        ordered, n = df, ordinal_rows
+    else:
+        ordered, n = with_ordinal_n(df, [*group_cols, *order_cols])
     framed = halo_window(ordered, halo, chunk_rows or adaptive_chunk_rows(df, n, halo))
     w = Window.partitionBy("_chunk", *group_cols).orderBy(ORD)
     out = framed.withColumns(make_columns(w, halo)).where(F.col("_home"))
@@ -218,7 +226,8 @@ def fill_nulls_ordered(
     backward: bool = False,
     chunk_rows: int | None = None,
     group_cols: Sequence[str] = (),
-) -> DataFrame:
+    return_rows: bool = False,
+):
     """Forward (or backward) fill over an order, in parallel; within
     each group of ``group_cols`` when given.
 
@@ -226,7 +235,8 @@ def fill_nulls_ordered(
     (chunk, group) is filled with a running frame, and the value to carry
     into it comes from a window over the (chunk, group) edge table -- one row
     per chunk and group, so a hot group spread over many chunks is never one
-    task. Adds the ordinal column ``_ord``.
+    task. Adds the ordinal column ``_ord`` (and returns the row count too
+    when ``return_rows``).
     """
     columns, groups = list(columns), list(group_cols)
     d, n = with_ordinal_n(df, [*groups, *order_cols])
@@ -276,7 +286,8 @@ def fill_nulls_ordered(
             out_cols.append(F.coalesce(F.col(f"_f_{f}"), F.col(f"_c_{f}")).alias(f))
         else:
             out_cols.append(F.col(f))
-    return joined.select(*out_cols, F.col(ORD))
+    result = joined.select(*out_cols, F.col(ORD))
+    return (result, n) if return_rows else result
 
 
 def _lex_cmp(cols: Sequence[str], values: Sequence, op: str) -> Column:
