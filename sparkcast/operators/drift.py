@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from sparkcast.functions.stats import int_float_columns
 from sparkcast.operators import ordered
+from sparkcast.session import checkpoint_dir
 
 DEFAULT_THRESHOLD = 0.1
 DATASET_SHARE = 0.5
@@ -129,7 +130,10 @@ def numeric_drift(
     moments all come from it.
     """
     tagged = _tagged(reference, current, columns, as_string=False)
-    counts = _value_counts(tagged).cache()
+    # one row per (column, distinct value), written once to the checkpoint
+    # folder: every statistic below reads it instead of the data
+    checkpoint_dir(reference.sparkSession)
+    counts = _value_counts(tagged).checkpoint(eager=True)
     totals = _side_totals(counts)
     run = _running_counts(counts, strategy).join(totals, "column")
     fr = F.try_divide(F.col("ccr"), F.col("nr"))

@@ -317,8 +317,11 @@ def create_features(
     if include_price and g:
         # the per-series price table also tells the largest series size, so
         # the strategy check costs no extra pass; it is small (one row per
-        # series) and cached for the join below
-        price_stats = group_stats_table(df, "price", g, prefix="price").cache()
+        # series) and written once to the checkpoint folder for the join below
+        from sparkcast.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        price_stats = group_stats_table(df, "price", g, prefix="price").checkpoint(eager=True)
         if strategy == "auto":
             biggest = price_stats.agg(F.max("_group_rows")).first()[0] or 0
             strategy = "partition" if biggest <= max_group_rows else "chunked"
