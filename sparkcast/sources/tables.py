@@ -68,9 +68,10 @@ def demand_from_lineitem(lineitem: DataFrame) -> DataFrame:
     ).agg(
         (F.sum("l_linenumber") * 10).cast("bigint").alias("historical_sales"),
         # cents cut with floor: ROUND on doubles breaks ties differently
-        # across engines (decimal text vs binary value), floor does not
+        # across engines (decimal text vs binary value), floor does not; a
+        # zero quantity gives a NULL unit price (skipped by MIN), not an error
         F.min(
-            F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 20 * 100) / 100
+            F.floor(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")) / 20 * 100) / 100
         ).alias("price"),
         F.max(F.when(F.col("l_discount") >= 0.05, 1).otherwise(0)).cast("bigint").alias(
             "promotion_flag"
