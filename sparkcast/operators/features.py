@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkcast.functions.calendar import time_features
 from sparkcast.functions.stats import safe_div
@@ -73,10 +74,29 @@ def rolling_columns(
     return out
 
 
+_SORTABLE = (
+    T.NumericType,
+    T.StringType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.BooleanType,
+)
+
+
 def _order_cols(date_col: str, group_cols: Sequence[str], df: DataFrame) -> list[str]:
-    """Total order inside a series: date, then the remaining key columns (Q3)."""
-    ties = [c for c in ("product_id", "store_id") if c in df.columns and c not in group_cols]
-    return [date_col, *ties]
+    """Total order inside a series (T2, Q3): date, the remaining key columns,
+    then every other plain column, so rows that repeat a key still get one
+    fixed order. Later keys are only compared on ties, so they cost little."""
+    skip = set(group_cols) | {date_col}
+    ties = [c for c in ("product_id", "store_id") if c in df.columns and c not in skip]
+    rest = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in skip and f.name not in ties and not f.name.startswith("_")
+        and isinstance(f.dataType, _SORTABLE)
+    ]
+    return [date_col, *ties, *rest]
 
 
 def create_lag_features(
