@@ -144,16 +144,31 @@ def create_rolling_features(
     )
 
 
-def group_stats_table(df: DataFrame, value_col: str, group_cols: Sequence[str], prefix: str | None = None) -> DataFrame:
-    """One row per group: row count and mean/std/min/max of ``value_col``."""
+def group_stats_table(
+    df: DataFrame,
+    value_col: str,
+    group_cols: Sequence[str],
+    prefix: str | None = None,
+    extremes_of: Sequence[str] = (),
+) -> DataFrame:
+    """One row per group: row count and mean/std/min/max of ``value_col``;
+    ``extremes_of`` adds ``_lo_<c>`` / ``_hi_<c>`` per group, from which
+    global extremes are a min/max over the (small) group table."""
     p = prefix or value_col
     g = list(group_cols)
-    return df.where(_keys_present(g)).groupBy(*g).agg(
+    extra = []
+    for c in extremes_of:
+        extra += [F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}")]
+    # No row filter: a group with a NULL key gets a row too, which no
+    # equi-join matches (those rows keep NULL statistics, as pandas' groupby
+    # drops NULL keys), while the extremes still cover every row.
+    return df.groupBy(*g).agg(
         F.count(F.lit(1)).alias("_group_rows"),
         F.avg(value_col).alias(f"{p}_mean"),
         F.stddev_samp(value_col).alias(f"{p}_std"),
         F.min(value_col).alias(f"{p}_min"),
         F.max(value_col).alias(f"{p}_max"),
+        *extra,
     )
 
 
@@ -277,16 +292,19 @@ def _norm(mm: Column, c: str) -> Column:
     return safe_div(F.col(c) - mm[f"{c}_lo"], mm[f"{c}_hi"] - mm[f"{c}_lo"])
 
 
-def create_interaction_features(df: DataFrame, stats_source: DataFrame | None = None) -> DataFrame:
+def create_interaction_features(
+    df: DataFrame, stats_source: DataFrame | None = None, minmax: Column | None = None
+) -> DataFrame:
     """C2 = F6-F9, each only if its inputs exist.
 
-    Global min/max come from ``stats_source`` (default ``df``): pass the
+    Global min/max come from ``minmax`` (a struct with ``<c>_lo``/``<c>_hi``)
+    when given, else from ``stats_source`` (default ``df``): pass the
     un-windowed input so the scalar subquery does not re-plan window work.
     """
     src = stats_source if stats_source is not None else df
     cols = set(df.columns)
     scaled = [c for c in ("price", "economic_index") if c in cols]
-    mm = _minmax(src, scaled) if scaled else None
+    mm = minmax if minmax is not None else (_minmax(src, scaled) if scaled else None)
     new: dict[str, Column] = {}
     if "promotion_flag" in cols:
         promo = F.col("promotion_flag")
@@ -341,7 +359,10 @@ def create_features(
         from sparkcast.session import checkpoint_dir
 
         checkpoint_dir(df.sparkSession)
-        price_stats = group_stats_table(df, "price", g, prefix="price").checkpoint(eager=True)
+        extremes = [c for c in ("price", "economic_index") if c in df.columns]
+        price_stats = group_stats_table(
+            df, "price", g, prefix="price", extremes_of=extremes
+        ).checkpoint(eager=True)
         if strategy == "auto":
             biggest = price_stats.agg(F.max("_group_rows")).first()[0] or 0
             strategy = "partition" if biggest <= max_group_rows else "chunked"
@@ -407,7 +428,9 @@ def create_features(
     price_cols: list[str] = []
     if include_price:
         if g:
-            out = out.join(price_stats.drop("_group_rows"), g, "left")
+            out = out.join(
+                price_stats.select(*g, "price_mean", "price_std", "price_min", "price_max"), g, "left"
+            )
             stat_cols = ["price_mean", "price_std", "price_min", "price_max"]
         else:
             # global scalars from the input (price is untouched by the windows)
@@ -425,7 +448,16 @@ def create_features(
     )
     out = out.select(*ordered_cols)
     if include_interactions:
-        out = create_interaction_features(out, stats_source=df)
+        minmax = None
+        if price_stats is not None:
+            # global extremes from the per-series table (one row per series,
+            # NULL-key group included) instead of another pass over the data
+            cs = [c for c in ("price", "economic_index") if f"_lo_{c}" in price_stats.columns]
+            fields = []
+            for c in cs:
+                fields += [F.min(f"_lo_{c}").alias(f"{c}_lo"), F.max(f"_hi_{c}").alias(f"{c}_hi")]
+            minmax = price_stats.agg(F.struct(*fields)).scalar() if fields else None
+        out = create_interaction_features(out, stats_source=df, minmax=minmax)
     return out
 
 

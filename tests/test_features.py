@@ -82,3 +82,18 @@ def test_pct_change_chunked_carries_long_null_runs(spark):
         got = fe._with_price_changes(df, "price", ["product_id", "store_id"], "date", strategy, 16)
         got = got.orderBy("date").select("price_change_pct").toPandas()["price_change_pct"].to_numpy()
         assert np.allclose(got, exp), strategy
+
+
+def test_null_series_key_rows(spark, demand):
+    """Rows with a NULL series key keep NULL group features (pandas drops
+    NULL groups) but still count for global min/max."""
+    odd = demand.limit(3).withColumn("store_id", F.lit(None).cast("bigint")).withColumn("price", F.lit(1e6))
+    out = fe.create_features(demand.unionByName(odd)).where(F.col("store_id").isNull()).collect()
+    assert len(out) == 3
+    assert all(r.price_mean is None and r.lag_1 == 0 for r in out)
+    top = fe.create_features(demand.unionByName(odd)).agg(F.min("promo_discount_effect")).first()[0]
+    assert top is None or top <= 1.0
+    eff = fe.create_features(demand.unionByName(odd)).where(F.col("store_id").isNull()).select(
+        "promotion_flag", "promo_discount_effect"
+    ).collect()
+    assert all(r.promo_discount_effect == 0.0 for r in eff)  # price at the global max -> scaled 1
