@@ -6,15 +6,20 @@ returns a DataFrame. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from sparkcast.llm import mix
+from sparkcast.llm import mix, quality
 from sparkcast.llm.shared import read_table, saved
 
 
+def quality_stage(spark, docs, sf_dir):
+    return quality.quality_filter(docs)
+
+
 def mix_stage(spark, docs, sf_dir):
     return mix.mixed_documents(docs)
 
 
 STAGES = [
+    ("quality rules", quality_stage),
     ("mixing sources to target weights", mix_stage),
 ]
 

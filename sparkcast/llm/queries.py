@@ -14,6 +14,7 @@ ORACLE: dict[str, str] = {}
 
 MODULES = (
     "mix",
+    "quality",
 )
 
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 _U64 = np.uint64
 
@@ -138,3 +139,19 @@ def gram_starts(first: np.ndarray, n: int) -> np.ndarray:
     total = int(counts.sum())
     base = np.repeat(first[:-1] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
     return base + np.arange(total)
+
+
+def blocks(arr: pa.Array, limit: int = 1 << 20):
+    """Row ranges (i, j) holding about ``limit`` bytes of text, one row at least.
+
+    Work on a block at a time: its arrays stay in the CPU's caches, and memory
+    is bounded by the limit or the longest text.
+    """
+    lengths = pa.compute.binary_length(arr).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    i, n = 0, len(lengths)
+    while i < n:
+        base = ends[i] - lengths[i]
+        j = max(i + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield i, j
+        i = j
