@@ -15,6 +15,8 @@ ORACLE: dict[str, str] = {}
 MODULES = (
     "mix",
     "quality",
+    "chat",
+    "packing",
 )
 
 
