@@ -17,6 +17,7 @@ MODULES = (
     "quality",
     "chat",
     "packing",
+    "simhash",
 )
 
 
