@@ -18,6 +18,8 @@ MODULES = (
     "chat",
     "packing",
     "simhash",
+    "warc",
+    "topk",
 )
 
 
