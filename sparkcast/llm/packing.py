@@ -13,6 +13,7 @@ lengths are powers of two, which need no padding either.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from sparkcast.llm.queries import register
 from sparkcast.llm.shared import read_table
-from sparkcast.llm.words import blocks, split_words, text_bytes
+from sparkcast.llm.words import Words, blocks, split_words, text_bytes
 
 CAPACITY = 2048
 #: Id after each document's own ids.
@@ -36,6 +37,29 @@ TASK_BITS = 36
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
+def _plain_words(data: np.ndarray, rows: np.ndarray) -> Words:
+    """Words, cut and lowered further where that changes no id.
+
+    The tokenizer lowers letters and keeps a run of letters apart from the
+    marks after it, so a final stop or comma after an ASCII letter is a word
+    of its own and ASCII capitals are lowered, which leaves fewer distinct
+    words to encode. A capital before a byte of a longer character stays: the
+    two may compose. So do all of a block that may hold special tokens.
+    """
+    w = split_words(data, rows)
+    if data.tobytes().find(b"<|") < 0:
+        after = np.append(data[1:], np.uint8(0))
+        data = data + np.uint8(32) * ((data >= 65) & (data <= 90) & (after < 0x80))
+    last, prev = data[w.end - 1], data[np.maximum(w.end - 2, 0)] | np.uint8(32)
+    cut_off = ((last == ord(".")) | (last == ord(","))) & (w.end - w.start > 1)
+    cut_off &= (prev >= ord("a")) & (prev <= ord("z"))
+    start, end = np.repeat(w.start, 1 + cut_off), np.repeat(w.end, 1 + cut_off)
+    mark = (np.cumsum(1 + cut_off) - 1)[cut_off]
+    start[mark] = end[mark - 1] = w.end[cut_off] - 1
+    first = w.first + np.concatenate(([0], np.cumsum(cut_off)))[w.first]
+    return Words(data, rows, start, end, first)
+
+
 class WordTokenizer:
     """Ids of whole texts from a tokenizer that never joins across white space.
 
@@ -77,7 +101,7 @@ class WordTokenizer:
             at[missing] = number = np.arange(len(self.known), len(self.known) + len(new))
             self.known.update(zip(new, number.tolist()))
             size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            ids = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=size.sum())
+            ids = np.array(list(chain.from_iterable(found)), dtype=np.uint32)
             self.flat = np.concatenate((self.flat, ids))
             self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(size)))
         return at
@@ -85,8 +109,8 @@ class WordTokenizer:
     def encode(self, text: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, first id of each row and the total); rows end in ``end_id``."""
         data, rows = text_bytes(text)
-        w = split_words(data, rows)
-        size = w.end - w.start
+        w = _plain_words(data, rows)
+        data, size = w.data, w.end - w.start
         ends = np.concatenate(([0], np.cumsum(size)))
         at = np.repeat(w.start - ends[:-1], size) + np.arange(ends[-1])
         coded = pa.LargeStringArray.from_buffers(
