@@ -96,28 +96,30 @@ def node_paths(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         .withColumn("parent", F.col("up"))
         .checkpoint()
     )
-    levels = [ptr.select("tree", "node", "up")]
+    levels: list[DataFrame] = []
     size = None
     while True:
-        left = ptr.where(F.col("up").isNotNull()).count()
+        active = ptr.where(F.col("up").isNotNull())
+        left = active.count()
         if left in (0, size):  # all at their root, or only cycles left
             break
         size = left
+        levels.append(active.select("tree", "node", "up"))
         above = ptr.select("tree", "node", "up", "total", "dist")
-        ptr = (
-            ptr.alias("a")
-            .join(above.alias("b"), _same("a", "b", "tree") & (F.col("a.up") == F.col("b.node")), "left")
+        # only nodes still below their root are joined again
+        moved = (
+            active.alias("a")
+            .join(above.alias("b"), _same("a", "b", "tree") & (F.col("a.up") == F.col("b.node")))
             .select(
                 "a.tree",
                 "a.node",
                 "a.parent",
                 F.col("b.up").alias("up"),
-                (F.col("a.total") + F.coalesce(F.col("b.total"), F.lit(0.0))).alias("total"),
-                (F.col("a.dist") + F.coalesce(F.col("b.dist"), F.lit(0))).alias("dist"),
+                (F.col("a.total") + F.col("b.total")).alias("total"),
+                (F.col("a.dist") + F.col("b.dist")).alias("dist"),
             )
-            .checkpoint()
         )
-        levels.append(ptr.select("tree", "node", "up"))
+        ptr = moved.unionByName(ptr.where(F.col("up").isNull()).select(*moved.columns)).checkpoint()
     inner = ptr.select("tree", F.col("parent").alias("node")).where("node is not null").distinct()
     out = (
         ptr.where(F.col("up").isNull())
@@ -148,10 +150,9 @@ def chosen_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
     # From 2^k-step pointers, largest first: every node found so far adds the
     # one 2^k above it, and so each ancestor is met exactly once.
     for level in reversed(levels):
-        up = level.where(F.col("up").isNotNull())
         more = (
             on_path.alias("a")
-            .join(up.alias("b"), _same("a", "b", "tree") & (F.col("a.node") == F.col("b.node")))
+            .join(level.alias("b"), _same("a", "b", "tree") & (F.col("a.node") == F.col("b.node")))
             .select("a.tree", "a.leaf", "a.rank", F.col("b.up").alias("node"))
         )
         on_path = on_path.unionByName(more).checkpoint()
