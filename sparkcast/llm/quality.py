@@ -32,6 +32,7 @@ from sparkcast.llm.words import (
     gram_starts,
     mix64,
     slice_hashes,
+    split_lines,
     split_words,
     text_bytes,
     word_hashes,
@@ -82,15 +83,7 @@ def _features(text: pa.Array) -> dict[str, np.ndarray]:
     inside = ~IS_SPACE[data]
     word_chars = _per_row(inside & ((data & 0xC0) != 0x80), rows)
 
-    # Lines: one begins with each row and after each line break.
-    breaks = np.flatnonzero(data == 0x0A)
-    starts = np.concatenate((rows[:-1], breaks + 1))
-    row = np.concatenate((np.arange(n_rows), np.searchsorted(rows, breaks, side="right") - 1))
-    order = np.lexsort((row, starts))
-    starts, row = starts[order], row[order]
-    ends = rows[row + 1].copy()
-    same = row[1:] == row[:-1]
-    ends[:-1][same] = starts[1:][same] - 1
+    starts, ends, row = split_lines(data, rows)
     ink = np.concatenate(([0], np.cumsum(inside, dtype=np.int64)))
     real = ink[ends] > ink[starts]
     starts, ends, row = starts[real], ends[real], row[real]

@@ -20,6 +20,7 @@ MODULES = (
     "simhash",
     "warc",
     "topk",
+    "linedup",
 )
 
 

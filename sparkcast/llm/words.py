@@ -99,6 +99,21 @@ def split_words(data: np.ndarray, rows: np.ndarray) -> Words:
     return Words(data, rows, start, end, np.searchsorted(start, rows))
 
 
+def split_lines(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every line: one begins with each row and after each break."""
+    breaks = np.flatnonzero(data == 0x0A)
+    start = np.concatenate((rows[:-1], breaks + 1))
+    row = np.concatenate(
+        (np.arange(len(rows) - 1), np.searchsorted(rows, breaks, side="right") - 1)
+    )
+    order = np.lexsort((row, start))
+    start, row = start[order], row[order]
+    end = rows[row + 1].copy()
+    same = row[1:] == row[:-1]
+    end[:-1][same] = start[1:][same] - 1
+    return start, end, row
+
+
 def slice_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range, equal for equal bytes everywhere."""
     if not len(start):
