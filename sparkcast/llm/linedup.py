@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from sparkcast.llm.queries import register
 from sparkcast.llm.shared import read_table, saved
+from sparkcast.llm.sparse import SCHEMA, marked, sparse_rows, summed
 from sparkcast.llm.words import (
     blocks,
     mix64,
@@ -39,7 +40,6 @@ from sparkcast.llm.words import (
 THRESHOLD = 0.8
 #: Cells of the word-count table and of the table of lines to fetch, in bits.
 COUNT_BITS, FETCH_BITS = 23, 25
-CHUNKS = 64
 #: Words of the corpus for each bucket of prefix entries.
 WORDS_PER_BUCKET = 4_000_000
 
@@ -73,75 +73,27 @@ def _code(count: np.ndarray) -> np.ndarray:
     return np.where(count < 128, count, np.minimum(big, 255)).astype(np.uint8)
 
 
-def _summed(sparse: DataFrame, bits: int, finish) -> np.ndarray:
-    """Add up sparse vectors of 2^bits cells in chunks; returns bytes per chunk.
-
-    ``sparse`` has chunk, cells (u4) and counts (u4). Chunks are added as they
-    stream in, so a task holds its chunks' cells and no more; the driver gets
-    one fixed-size table, whatever the input.
-    """
-    width = (1 << bits) // CHUNKS
-
-    def run(batches):
-        held: dict[int, np.ndarray] = {}
-        for b in batches:
-            for c, cells, counts in zip(*b.columns):
-                at = held.setdefault(c.as_py(), np.zeros(width, np.int64))
-                at[np.frombuffer(cells.as_py(), "<u4")] += np.frombuffer(counts.as_py(), "<u4")
-        for c, at in held.items():
-            yield pa.RecordBatch.from_pydict(
-                {"chunk": pa.array([c], pa.int32()), "cells": [finish(at).tobytes()]}
-            )
-
-    rows = (
-        sparse.repartition(CHUNKS // 4, "chunk").mapInArrow(run, "chunk int, cells binary").collect()
-    )
-    blank = finish(np.zeros(width, np.int64))
-    found = {r["chunk"]: np.frombuffer(r["cells"], blank.dtype) for r in rows}
-    return np.concatenate([found.get(c, blank) for c in range(CHUNKS)])
-
-
-def _sparse_rows(total: np.ndarray):
-    width = len(total) // CHUNKS
-    for c in range(CHUNKS):
-        part = total[c * width : (c + 1) * width]
-        cells = np.flatnonzero(part)
-        if len(cells):
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": pa.array([c], pa.int32()),
-                    "cells": [cells.astype("<u4").tobytes()],
-                    "counts": [part[cells].astype("<u4").tobytes()],
-                }
-            )
-
-
-_SPARSE = "chunk int, cells binary, counts binary"
-
-
 def word_counts(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     """(count codes by hashed word, words in all)."""
 
     def run(batches):
-        total = np.zeros(1 << COUNT_BITS, np.int64)
+        total = np.zeros(1 << COUNT_BITS, np.uint32)
         for b in batches:
             for i, j in blocks(b.column(0), 4 << 20):
                 data, rows = text_bytes(b.column(0).slice(i, j - i))
                 h = word_hashes(split_words(data, rows)) >> _U64(64 - COUNT_BITS)
                 cells, n = np.unique(h.astype(np.uint32), return_counts=True)
-                total[cells] += n
-        yield from _sparse_rows(total)
+                total[cells] += n.astype(np.uint32)
+        cells = np.flatnonzero(total)
+        yield from sparse_rows(cells, total[cells], COUNT_BITS)
 
-    sums = docs.select(F.col(f"`{text_col}`")).mapInArrow(run, _SPARSE)
-    pairs = _summed(
-        sums,
+    table = summed(
+        docs.select(F.col(f"`{text_col}`")).mapInArrow(run, SCHEMA),
         COUNT_BITS,
         lambda at: np.concatenate((_code(at), np.array([at.sum()], "<i8").view(np.uint8))),
     )
-    width = (1 << COUNT_BITS) // CHUNKS
-    pairs = pairs.reshape(CHUNKS, width + 8)
-    n_words = int(np.ascontiguousarray(pairs[:, width:]).view("<i8").sum())
-    return np.ascontiguousarray(pairs[:, :width]).ravel(), n_words
+    n_words = int(np.ascontiguousarray(table[:, -8:]).view("<i8").sum())
+    return np.ascontiguousarray(table[:, :-8]).ravel(), n_words
 
 
 def _lines(text: pa.Array):
@@ -315,8 +267,7 @@ def fetch_sets(docs: DataFrame, text_col: str, wanted) -> DataFrame:
             for i, j in blocks(b.column(0)):
                 data, start, end, _, _, key = _lines(b.column(0).slice(i, j - i))
                 _, one = np.unique(key, return_index=True)
-                cell = key[one] >> _U64(64 - FETCH_BITS)
-                one = one[(marks[cell >> _U64(3)] >> (cell & _U64(7)).astype(np.uint8)) & 1 == 1]
+                one = one[marked(marks, key[one] >> _U64(64 - FETCH_BITS))]
                 h, off = _word_sets(data, start[one], end[one])
                 if len(one):
                     yield pa.RecordBatch.from_arrays(
@@ -336,14 +287,14 @@ def fetch_sets(docs: DataFrame, text_col: str, wanted) -> DataFrame:
 
 def _marks(lines: DataFrame) -> np.ndarray:
     def run(batches):
-        total = np.zeros(1 << FETCH_BITS, np.uint8)
         for b in batches:
-            total[b.column(0).to_numpy().view(np.uint64) >> _U64(64 - FETCH_BITS)] = 1
-        yield from _sparse_rows(total)
+            cells = np.unique(b.column(0).to_numpy().view(np.uint64) >> _U64(64 - FETCH_BITS))
+            cells = cells.astype(np.int64)
+            yield from sparse_rows(cells, np.ones(len(cells)), FETCH_BITS)
 
-    return _summed(
-        lines.mapInArrow(run, _SPARSE), FETCH_BITS, lambda at: np.packbits(at > 0, bitorder="little")
-    )
+    return summed(
+        lines.mapInArrow(run, SCHEMA), FETCH_BITS, lambda at: np.packbits(at > 0, bitorder="little")
+    ).ravel()
 
 
 def _order(words: np.ndarray, table: np.ndarray):
