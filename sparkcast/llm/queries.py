@@ -21,6 +21,7 @@ MODULES = (
     "warc",
     "topk",
     "linedup",
+    "suffix",
 )
 
 
