@@ -22,6 +22,7 @@ MODULES = (
     "topk",
     "linedup",
     "suffix",
+    "backoff",
 )
 
 
