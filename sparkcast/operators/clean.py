@@ -71,7 +71,10 @@ def fill_median_mode(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         med = ordered.quantile_columns(df, numeric, [0.5], name=lambda c, q: c).first()
         for c in numeric:
             if med[c] is not None:
-                fills[c] = F.coalesce(F.col(c), F.lit(med[c]).cast(df.schema[c].dataType))
+                kind = df.schema[c].dataType
+                if med[c] != int(med[c]) and isinstance(kind, T.IntegralType):
+                    kind = T.DoubleType()  # a fractional median widens the column
+                fills[c] = F.coalesce(F.col(c).cast(kind), F.lit(med[c]).cast(kind))
     for c in other:
         fills[c] = F.coalesce(F.col(c), mode_value(df, c))
     return df.withColumns(fills) if fills else df
@@ -122,7 +125,7 @@ def convert_data_types(df: DataFrame, quarantine: bool = False) -> DataFrame:
 
     Double -> bigint truncates toward zero as pandas does. With ANSI on, a
     bad string fails the job; ``quarantine=True`` uses ``try_cast`` instead
-    (failed values become NULL, see ``validate.coercion_failures``).
+    (failed values become NULL).
     """
     cast = (lambda c, t: F.col(c).try_cast(t)) if quarantine else (lambda c, t: F.col(c).cast(t))
     out = []

@@ -33,7 +33,6 @@ from sparkcast.session import checkpoint_dir
 DEFAULT_THRESHOLD = 0.1
 DATASET_SHARE = 0.5
 FLAGS = ("promotion_flag", "holiday_flag")
-MAX_DISTINCT_PER_TASK = 5_000_000
 
 
 def column_roles(df: DataFrame, exclude: Sequence[str] = ("date", "target_demand")) -> tuple[list[str], list[str]]:
@@ -65,25 +64,14 @@ def _side_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(F.sum("cr").alias("nr"), F.sum("cc").alias("nc"))
 
 
-def _running_counts(counts: DataFrame, strategy: str = "auto") -> DataFrame:
-    """Adds cumulative cr/cc (``ccr``, ``ccc``) and the next value per column."""
-    if strategy == "auto":
-        biggest = counts.groupBy("column").count().agg(F.max("count")).first()[0] or 0
-        strategy = "partition" if biggest <= MAX_DISTINCT_PER_TASK else "chunked"
-    if strategy == "partition":
-        w = Window.partitionBy("column").orderBy("value")
-        cum = w.rowsBetween(Window.unboundedPreceding, 0)
-        return counts.select(
-            "column",
-            "value",
-            "cr",
-            "cc",
-            F.sum("cr").over(cum).alias("ccr"),
-            F.sum("cc").over(cum).alias("ccc"),
-            F.lead("value").over(w).alias("next_value"),
-        )
-    # chunked prefix sums: ordinal over (column, value), sums inside chunks,
-    # running sum of chunk totals per column, next value by a join on ord + 1
+def _running_counts(counts: DataFrame) -> DataFrame:
+    """Adds cumulative cr/cc (``ccr``, ``ccc``) and the next value per column.
+
+    Prefix sums over (column, value) in chunks of consecutive values: sums
+    inside chunks, running sums of chunk totals per column, next value by a
+    join on ordinal + 1; a column with any number of distinct values is never
+    one task.
+    """
     d, n = ordered.with_ordinal_n(counts, ["column", "value"])
     chunk_rows = ordered.adaptive_chunk_rows(counts, n, 1)
     d = d.withColumn(
@@ -121,7 +109,6 @@ def numeric_drift(
     current: DataFrame,
     columns: Sequence[str],
     threshold: float = DEFAULT_THRESHOLD,
-    strategy: str = "auto",
 ) -> DataFrame:
     """D1 numeric: per column ks (D), wasserstein, ref_std, wasserstein_normed, drift.
 
@@ -135,7 +122,7 @@ def numeric_drift(
     checkpoint_dir(reference.sparkSession)
     counts = _value_counts(tagged).checkpoint(eager=True)
     totals = _side_totals(counts)
-    run = _running_counts(counts, strategy).join(totals, "column")
+    run = _running_counts(counts).join(totals, "column")
     fr = F.try_divide(F.col("ccr"), F.col("nr"))
     fc = F.try_divide(F.col("ccc"), F.col("nc"))
     gap = F.abs(fr - fc)

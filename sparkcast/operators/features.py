@@ -38,6 +38,7 @@ ROLLING_AGGS = {
     "sum": F.sum,
     "count": F.count,
     "var": F.var_samp,
+    "median": F.median,
 }
 
 
@@ -105,7 +106,7 @@ def create_lag_features(
     lags: Sequence[int] = DEFAULT_LAGS,
     group_cols: Sequence[str] | None = SERIES,
     date_col: str = "date",
-    strategy: str = "auto",
+    strategy: str = "chunked",
     chunk_rows: int | None = None,
 ) -> DataFrame:
     """W1 (per group) / W2 (global when ``group_cols`` is empty or None)."""
@@ -128,7 +129,7 @@ def create_rolling_features(
     stats: Sequence[str] = DEFAULT_STATS,
     group_cols: Sequence[str] | None = SERIES,
     date_col: str = "date",
-    strategy: str = "auto",
+    strategy: str = "chunked",
     chunk_rows: int | None = None,
 ) -> DataFrame:
     """W3 (per group) / W4 (global)."""
@@ -242,7 +243,7 @@ def create_price_features(
     price_col: str = "price",
     group_cols: Sequence[str] | None = SERIES,
     date_col: str = "date",
-    strategy: str = "auto",
+    strategy: str = "chunked",
     chunk_rows: int | None = None,
 ) -> DataFrame:
     """7 columns per group, 5 globally."""
@@ -263,7 +264,8 @@ def create_price_features(
 
 
 def _with_price_changes(df, price_col, g, date_col, strategy, chunk_rows):
-    strategy = ordered.resolve_strategy(df, g, strategy)
+    if not g:
+        strategy = "chunked"
     src, rows = _with_filled_price(df, price_col, g, date_col, strategy)
     filled = FILLED_PRICE if strategy == "chunked" else None
     out = ordered.ordered_window_columns(
@@ -338,10 +340,8 @@ def create_features(
     lags: Sequence[int] = DEFAULT_LAGS,
     windows: Sequence[int] = DEFAULT_WINDOWS,
     stats: Sequence[str] = DEFAULT_STATS,
-    strategy: str = "auto",
+    strategy: str = "chunked",
     chunk_rows: int | None = None,
-    median_method: str = "auto",
-    max_group_rows: int = 5_000_000,
 ) -> DataFrame:
     """Time, lag, rolling, price and interaction features, then NULL fills.
 
@@ -353,9 +353,8 @@ def create_features(
     g = list(group_cols or [])
     price_stats = None
     if include_price and g:
-        # the per-series price table also tells the largest series size, so
-        # the strategy check costs no extra pass; it is small (one row per
-        # series) and written once to the checkpoint folder for the join below
+        # one row per series, written once to the checkpoint folder for the
+        # join and the global extremes below
         from sparkcast.session import checkpoint_dir
 
         checkpoint_dir(df.sparkSession)
@@ -363,10 +362,8 @@ def create_features(
         price_stats = group_stats_table(
             df, "price", g, prefix="price", extremes_of=extremes
         ).checkpoint(eager=True)
-        if strategy == "auto":
-            biggest = price_stats.agg(F.max("_group_rows")).first()[0] or 0
-            strategy = "partition" if biggest <= max_group_rows else "chunked"
-    strategy = ordered.resolve_strategy(df, g, strategy, max_group_rows)
+    if not g:
+        strategy = "chunked"
     out, ord_rows = df, None
     if include_price:
         out, ord_rows = _with_filled_price(out, "price", g, date_col, strategy)
@@ -411,9 +408,7 @@ def create_features(
 
         checkpoint_dir(out.sparkSession)
         out = out.checkpoint(eager=True)
-        med = ordered.quantile_columns(
-            out, roll_cols, [0.5], method=median_method, name=lambda c, q: c
-        ).first()
+        med = ordered.quantile_columns(out, roll_cols, [0.5], name=lambda c, q: c).first()
     fills = {c: F.coalesce(F.col(c), F.lit(0).cast(out.schema[c].dataType)) for c in lag_cols}
     for c in roll_cols:
         m = med[c] if med is not None else None

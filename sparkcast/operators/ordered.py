@@ -17,12 +17,12 @@ of that in one task. The methods here keep every step distributed:
                         bounded by C + halo whatever the key skew.
 * ``fill_nulls_ordered`` forward/backward fill: fill inside chunks, then carry the
                         last (first) non-null value of each chunk to the next.
-* ``keys_at_ranks``     the key of the k-th row in a total order, found level by
-                        level with small count aggregates (no sort, no
-                        checkpoint); used for temporal cuts.
-* ``quantiles``         exact linear-interpolated quantiles; hash-aggregate
-                        path when the distinct count is bounded, otherwise a
-                        distributed sort + ordinal lookup.
+* ``rank_boundaries``   the key of the k-th row in a total order, found level by
+                        level with small count aggregates and running totals
+                        (no sort of the rows); used for temporal cuts.
+* ``running_totals``    running sums over a range-partitioned table.
+* ``quantiles``         exact linear-interpolated quantiles: a sketch brackets
+                        them, exact counts inside the brackets settle them.
 """
 
 from __future__ import annotations
@@ -36,9 +36,6 @@ from sparkcast.session import checkpoint_dir
 
 ORD = "_ord"
 DEFAULT_CHUNK_ROWS = 1 << 20
-# Above this many distinct values per column a hash-based exact percentile
-# would hold too much state in its final task; switch to the sort path.
-EXACT_PERCENTILE_DISTINCT_LIMIT = 1_000_000
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -46,13 +43,15 @@ def _cols(cs: Sequence[str | Column]) -> list[Column]:
 
 
 TARGET_PARTITION_BYTES = 128 << 20
-MAX_RANGE_PARTITIONS = 200_000
 
 
 def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (file sizes for scans)."""
+    """Size of the tables a plan reads (joins would multiply their estimates;
+    checkpoints, whose size Spark does not know, count for nothing)."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        return sum(x for x in sizes if x < 1 << 60)
     except Exception:  # noqa: BLE001 - estimates are best effort
         return None
 
@@ -67,7 +66,7 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     size = _estimated_bytes(df)
     if size is None:
         return base
-    return int(min(MAX_RANGE_PARTITIONS, max(base, -(-size // TARGET_PARTITION_BYTES))))
+    return int(max(base, -(-size // TARGET_PARTITION_BYTES)))
 
 
 def with_ordinal_n(
@@ -97,18 +96,43 @@ def with_ordinal_n(
     # Range bounds come from sampling; recomputation could cut differently,
     # so the sorted frame is written to the shared checkpoint folder once.
     staged = staged.checkpoint(eager=True)
-    # one row per range partition (bounded by the partition count)
-    counts = dict(staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
-    parts = max(counts) + 1 if counts else 0
-    offsets, acc = [], 0
-    for pid in range(parts):
-        offsets.append(acc)
-        acc += counts.get(pid, 0)
-    if not offsets:
-        return staged.select(*[F.col(c) for c in df.columns], F.lit(0).cast("bigint").alias(ord_col)), 0
-    off = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_pid") + 1)
-    out = staged.select(*[F.col(c) for c in df.columns], (off + F.col("_pos")).alias(ord_col))
-    return out, acc
+    offsets, total = _offsets(staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_s")))
+    out = staged.join(F.broadcast(offsets), "_pid").select(
+        *[F.col(c) for c in df.columns], (F.col("_off") + F.col("_pos")).alias(ord_col)
+    )
+    return out, total
+
+
+def _offsets(sizes: DataFrame) -> tuple[DataFrame, int]:
+    """(_pid, _off) running offsets of (_pid, _s), and the sum of ``_s``.
+
+    One row per range partition reaches the driver and goes back as a table.
+    """
+    rows = sorted((r["_pid"], int(r["_s"])) for r in sizes.collect())
+    table, acc = [], 0
+    for pid, size in rows:
+        table.append((pid, acc))
+        acc += size
+    return sizes.sparkSession.createDataFrame(table, "_pid int, _off bigint"), acc
+
+
+def running_totals(
+    df: DataFrame, order: Sequence[str | Column], value: str, out: str, num_partitions: int | None = None
+) -> tuple[DataFrame, int]:
+    """Running sum of an integer column over a total order, without a single
+    task: a range-partitioned table (checkpointed), sums inside partitions,
+    and one offset per partition. Also returns the sum of everything."""
+    checkpoint_dir(df.sparkSession)
+    order = _cols(order)
+    staged = (
+        df.repartitionByRange(_num_partitions(df, num_partitions), *order)
+        .withColumn("_pid", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    offsets, total = _offsets(staged.groupBy("_pid").agg(F.sum(value).alias("_s")))
+    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = staged.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.sum(value).over(w))
+    return totals.drop("_pid", "_off"), total
 
 
 def with_ordinal(
@@ -162,9 +186,8 @@ def ordered_window_columns(
     group_cols: Sequence[str],
     halo: int,
     make_columns,
-    strategy: str = "auto",
+    strategy: str = "chunked",
     chunk_rows: int | None = None,
-    max_group_rows: int = 5_000_000,
     ordinal_rows: int | None = None,
 ) -> DataFrame:
     """Add window columns whose frames look back at most ``halo`` rows.
@@ -179,19 +202,15 @@ def ordered_window_columns(
     exact) and ``halo`` for the chunked form (frames must stay within it).
 
     strategy:
-      * ``partition`` plain ``Window.partitionBy(groups).orderBy(order)``;
-        one shuffle, but a group is one task.
       * ``chunked``  ordinal + chunk + halo: task size bounded by
-        ``chunk_rows + halo`` whatever the skew; also the only parallel
-        form when there are no groups. ``chunk_rows=None`` sizes chunks
-        from the row count (about one per shuffle partition).
-      * ``auto``     ``partition`` when groups exist and the largest group is
-        at most ``max_group_rows`` rows (one small aggregate checks it),
-        else ``chunked``.
+        ``chunk_rows + halo`` whatever the skew, with or without groups.
+        ``chunk_rows=None`` sizes chunks from the row count (about one per
+        shuffle partition).
+      * ``partition`` plain ``Window.partitionBy(groups).orderBy(order)``:
+        for callers that know every group fits one task.
     """
     group_cols = list(group_cols)
-    strategy = resolve_strategy(df, group_cols, strategy, max_group_rows)
-    if strategy == "partition":
+    if strategy == "partition" and group_cols:
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumns(make_columns(w, None))
     if strategy != "chunked":
@@ -206,19 +225,6 @@ def ordered_window_columns(
     return out.drop("_chunk", "_home", ORD)
 
 
-def resolve_strategy(
-    df: DataFrame, group_cols: Sequence[str], strategy: str, max_group_rows: int = 5_000_000
-) -> str:
-    """Pick ``partition`` or ``chunked`` (see ``ordered_window_columns``)."""
-    if strategy != "auto":
-        return strategy
-    if not group_cols:
-        return "chunked"
-    # one small aggregate: the size of the largest group decides
-    biggest = df.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()["m"]
-    return "partition" if (biggest or 0) <= max_group_rows else "chunked"
-
-
 def fill_nulls_ordered(
     df: DataFrame,
     columns: Sequence[str],
@@ -290,21 +296,25 @@ def fill_nulls_ordered(
     return (result, n) if return_rows else result
 
 
+def _nulls_last(cols: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in cols]
+
+
 def _lex_cmp(cols: Sequence[str], values: Sequence, op: str) -> Column:
-    """Lexicographic comparison of ``cols`` with a tuple of literals.
+    """Lexicographic comparison of ``cols`` with a tuple of literals; NULL
+    sorts last and equals NULL, so the result is never NULL.
 
     op in {'<', '<=', '>='}.
     """
-    if op == "<":
-        acc: Column = F.lit(False)
-    else:
-        acc = F.lit(True)
+    acc: Column = F.lit(op != "<")
     for c, v in reversed(list(zip(cols, values))):
         col = F.col(c)
+        same = col.eqNullSafe(F.lit(v))
         if op == ">=":
-            acc = (col > F.lit(v)) | ((col == F.lit(v)) & acc)
+            beyond = F.lit(False) if v is None else col.isNull() | (col > F.lit(v))
         else:
-            acc = (col < F.lit(v)) | ((col == F.lit(v)) & acc)
+            beyond = col.isNotNull() if v is None else col < F.lit(v)
+        acc = F.coalesce(beyond, F.lit(False)) | (same & acc)
     return acc
 
 
@@ -320,100 +330,65 @@ def lex_greater_equal(cols: Sequence[str], values: Sequence) -> Column:
     return _lex_cmp(cols, values, ">=")
 
 
-def keys_at_ranks(
-    df: DataFrame, order_cols: Sequence[str], ranks
-) -> list[tuple] | tuple[int, list[tuple]]:
-    """Key tuples of the rows at 1-based ``ranks`` of a total order.
+def lex_equal(cols: Sequence[str], values: Sequence) -> Column:
+    return _and_all([F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, values)])
+
+
+def rank_boundaries(df: DataFrame, order_cols: Sequence[str], ranks) -> tuple[int, list[tuple]]:
+    """Row count and, for each 1-based rank, (key, place, size): the key of
+    that row in the order (NULLs last), its place among the ``size`` rows that
+    share the key.
 
     Level by level: count rows per value of the next key column within the
-    prefixes found so far, take a running sum over those (small) count
-    tables, pick the value whose cumulative count crosses each rank. One
-    scan per key column for all ranks together and one bounded collect (at
-    most one row per rank) per level; no sort, no single-task window over
-    data rows. Key columns must not be NULL and must be unique together.
-
-    ``ranks`` may be a callable ``n -> ranks``; the row count then comes
-    from the first level's count table and ``(n, keys)`` is returned.
+    prefixes found so far, take running totals over the count table, pick
+    the value whose total crosses each rank. One scan per key column for all
+    ranks together; the driver sees one row per rank. ``ranks`` may be a
+    callable ``n -> ranks``.
     """
     order_cols = list(order_cols)
-    want_n = callable(ranks)
-    n_total = None
-    pending: list[tuple[int, tuple]] | None = None if want_n else [(int(r), ()) for r in ranks]
+    pending: list[tuple[int, tuple]] = []
+    n_total, sizes = 0, []
     for level, c in enumerate(order_cols):
         prefix_cols = order_cols[:level]
         if level == 0:
             src = df
         else:
-            prefixes = sorted({p for _, p in pending})
             cond = F.lit(False)
-            for p in prefixes:
-                cond = cond | _and_all([F.col(pc) == F.lit(pv) for pc, pv in zip(prefix_cols, p)])
+            for p in dict.fromkeys(p for _, p in pending):
+                cond = cond | lex_equal(prefix_cols, p)
             src = df.where(cond)
         counts = src.groupBy(*prefix_cols, c).agg(F.count(F.lit(1)).alias("_n"))
-        w = (
-            Window.partitionBy(*prefix_cols).orderBy(c)
-            if prefix_cols
-            else Window.orderBy(c)
-        ).rowsBetween(Window.unboundedPreceding, 0)
-        counts = counts.cache()
-        size = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
-        if size[0] > KEY_LEVEL_LIMIT:
-            # the running sum over this count table would be one big task:
-            # fall back to the distributed sort + ordinal lookup
-            counts.unpersist()
-            return _keys_at_ranks_by_ordinal(df, order_cols, ranks)
-        cum = counts.withColumn("_cum", F.sum("_n").over(w))
-        if pending is None:
-            n_total = int(size[1])
-            pending = [(int(r), ()) for r in ranks(n_total)]
+        cum, total = running_totals(counts, _nulls_last([*prefix_cols, c]), "_n", "_cum")
+        base = {(): 0}
+        if level == 0:
+            n_total = total
+            pending = [(int(r), ()) for r in (ranks(total) if callable(ranks) else ranks)]
+        else:
+            starts = cum.groupBy(*prefix_cols).agg(F.min(F.col("_cum") - F.col("_n")).alias("_b"))
+            base = {tuple(r[pc] for pc in prefix_cols): r["_b"] for r in starts.collect()}
         if not pending:
-            counts.unpersist()
-            break
+            return n_total, []
+        at = [base[p] + rem for rem, p in pending]
         hit = F.lit(False)
-        for rem, p in pending:
-            cond = (F.col("_cum") >= rem) & (F.col("_cum") - F.col("_n") < rem)
-            for pc, pv in zip(prefix_cols, p):
-                cond = cond & (F.col(pc) == F.lit(pv))
-            hit = hit | cond
+        for t in at:
+            hit = hit | ((F.col("_cum") >= t) & (F.col("_cum") - F.col("_n") < t))
         rows = cum.where(hit).select(*prefix_cols, c, "_cum", "_n").collect()  # <= one row per rank
-        counts.unpersist()
-        nxt = []
-        for rem, p in pending:
-            match = [
-                r for r in rows
-                if tuple(r[pc] for pc in prefix_cols) == p and r["_cum"] >= rem and r["_cum"] - r["_n"] < rem
-            ]
-            if not match:
-                raise ValueError(f"rank {rem} is outside the table")
-            row = match[0]
-            if level == len(order_cols) - 1 and row["_n"] != 1:
-                raise ValueError(f"order key {order_cols} is not unique")
-            nxt.append((rem - (row["_cum"] - row["_n"]), (*p, row[c])))
-        pending = nxt
-    keys = [p for _, p in (pending or [])]
-    return (n_total, keys) if want_n else keys
-
-
-KEY_LEVEL_LIMIT = 5_000_000
-
-
-def _keys_at_ranks_by_ordinal(df, order_cols, ranks_arg):
-    """Same answer as ``keys_at_ranks`` through ``with_ordinal_n``: one
-    range-partitioned sort (checkpointed), then a filter on the wanted
-    ordinals; only the (few) wanted rows reach the driver."""
-    want_n = callable(ranks_arg)
-    ordered_df, n = with_ordinal_n(df, order_cols)
-    ranks = ranks_arg(n) if want_n else list(ranks_arg)
-    if not ranks:
-        return (n, []) if want_n else []
-    rows = (
-        ordered_df.where(F.col(ORD).isin([int(r) - 1 for r in ranks]))
-        .select(ORD, *order_cols)
-        .collect()
-    )
-    by_ord = {r[ORD]: tuple(r[c] for c in order_cols) for r in rows}
-    keys = [by_ord[int(r) - 1] for r in ranks]
-    return (n, keys) if want_n else keys
+        found = []
+        for t, (_, p) in zip(at, pending):
+            row = next((r for r in rows if r["_cum"] - r["_n"] < t <= r["_cum"]), None)
+            if row is None:
+                raise ValueError("rank is outside the table")
+            found.append((t - (row["_cum"] - row["_n"]), (*p, row[c]), row["_n"]))
+        pending = [(rem, key) for rem, key, _ in found]
+        sizes = [size for *_, size in found]
+    return n_total, [(key, rem, size) for (rem, key), size in zip(pending, sizes)]
+
+
+def keys_at_ranks(df: DataFrame, order_cols: Sequence[str], ranks) -> list[tuple] | tuple[int, list[tuple]]:
+    """Keys only; with callable ``ranks`` also the row count."""
+    n, found = rank_boundaries(df, order_cols, ranks)
+    keys = [key for key, _, _ in found]
+    return (n, keys) if callable(ranks) else keys
 
 
 def _and_all(conds: list[Column]) -> Column:
@@ -445,80 +420,77 @@ def unpivot_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     )
 
 
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    qs: Sequence[float],
-    by: Sequence[str] = (),
-    method: str = "auto",
-) -> DataFrame:
+# Relative rank error asked of the approximate pass is 1 / ACCURACY; brackets
+# reach three times that to both sides of a quantile.
+ACCURACY = 10_000
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles, linear interpolation (pandas / DuckDB ``quantile_cont``).
 
     Returns long form (by..., column, q, value). NULL-only groups give no row.
+
+    Two passes, both combined before the shuffle. A quantile sketch brackets
+    every quantile; then values inside a bracket are counted one by one and
+    values between brackets only by count, minimum and maximum. The exact
+    ranks are found in that table, which holds at most 6 / ACCURACY of a
+    column's rows for each quantile.
     """
-    columns, by, qs = list(columns), list(by), [float(q) for q in qs]
-    if method == "auto":
-        row = df.agg(
-            *[F.approx_count_distinct(c).alias(c) for c in columns]
-        ).first()
-        biggest = max((row[c] or 0) for c in columns) if columns else 0
-        method = "hash" if biggest <= EXACT_PERCENTILE_DISTINCT_LIMIT else "sort"
+    columns, by, qs = list(columns), list(by), sorted({float(q) for q in qs})
     long = unpivot_numeric(df, columns, by)
-    if method == "hash":
-        # per-group state is a map of distinct values -> counts, bounded above
-        res = long.groupBy(*by, "column").agg(
-            F.percentile(F.col("value"), F.array(*[F.lit(q) for q in qs])).alias("_qv")
-        )
-        return res.select(
-            *by,
-            "column",
-            F.posexplode(F.col("_qv")).alias("_i", "value"),
-        ).select(
-            *by,
-            "column",
-            F.element_at(F.array(*[F.lit(q) for q in qs]), F.col("_i") + 1).alias("q"),
-            "value",
-        )
-    if method != "sort":
-        raise ValueError(f"unknown method {method!r}")
     keys = [*by, "column"]
-    ordered = with_ordinal(long, [*keys, "value"], tiebreak=F.rand(17))
-    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    starts = counts.withColumn(
-        "_start",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
+    eps = 3.0 / ACCURACY
+    edges = [x for q in qs for x in (max(q - eps, 0.0), min(q + eps, 1.0))]
+    sketch = long.groupBy(*keys).agg(
+        F.percentile_approx("value", F.array(*[F.lit(x) for x in edges]), F.lit(ACCURACY)).alias("_at"),
+        F.min("value").alias("_least"),
+        F.max("value").alias("_most"),
     )
-    targets = starts.select(
-        *keys,
-        "_start",
-        F.explode(F.array(*[F.lit(q) for q in qs])).alias("q"),
-        "_n",
-    ).withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("q"))
-    targets = targets.withColumns(
-        {
-            "_lo": F.col("_start") + F.floor("_pos").cast("bigint"),
-            "_hi": F.col("_start") + F.ceil("_pos").cast("bigint"),
-            "_frac": F.col("_pos") - F.floor("_pos"),
-        }
+    low = [F.col("_least") if q - eps <= 0 else F.col("_at")[2 * i] for i, q in enumerate(qs)]
+    high = [F.col("_most") if q + eps >= 1 else F.col("_at")[2 * i + 1] for i, q in enumerate(qs)]
+    brackets = sketch.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[c.alias(f"_lo{i}") for i, c in enumerate(low)],
+        *[c.alias(f"_hi{i}") for i, c in enumerate(high)],
+    ).checkpoint()
+    same = _and_all([F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    inside, passed = F.lit(False), F.lit(0)
+    for i in range(len(qs)):
+        inside = inside | F.col("value").between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+        passed = passed + F.when(F.col("value") > F.col(f"_hi{i}"), 1).otherwise(0)
+    slots = (
+        long.join(brackets, same)
+        .groupBy(*keys, F.when(inside, F.col("value")).alias("_v"), F.when(~inside, passed).alias("_s"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"))
     )
-    if not by:
-        # columns x quantiles x 2 ordinals: a literal filter on the sorted
-        # table (narrow, no shuffle of the data) instead of a join
-        wanted = sorted(
-            {int(v) for r in targets.select("_lo", "_hi").collect() for v in (r["_lo"], r["_hi"])}
-        )
-        ordered = ordered.where(F.col(ORD).isin(wanted))
-    lo = ordered.select(F.col(ORD).alias("_lo"), F.col("value").alias("_vlo"))
-    hi = ordered.select(F.col(ORD).alias("_hi"), F.col("value").alias("_vhi"))
-    joined = targets.join(lo, "_lo").join(hi, "_hi")
-    return joined.select(
-        *keys,
-        "q",
-        (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"),
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_min").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = slots.withColumn("_cum", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(group))
+
+    def value_at(place):
+        here = (F.col("_cum") > place) & (F.col("_cum") - F.col("_n") <= place)
+        first = F.col("_cum") - F.col("_n") == place
+        return F.max(F.when(here, F.coalesce("_v", F.when(first, F.col("_min")).otherwise(F.col("_max")))))
+
+    found = []
+    for i, q in enumerate(qs):
+        at = (F.col("_all") - 1).cast("double") * q
+        found += [
+            value_at(F.floor(at)).alias(f"_a{i}"),
+            value_at(F.ceil(at)).alias(f"_b{i}"),
+            F.max(at - F.floor(at)).alias(f"_f{i}"),
+        ]
+    rows = ranked.groupBy(*keys).agg(*found)
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(q).alias("q"),
+                (F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias("value"),
+            )
+            for i, q in enumerate(qs)
+        ]
     )
+    return rows.select(*keys, F.inline(each))
 
 
 def quantile_columns(
@@ -526,11 +498,10 @@ def quantile_columns(
     columns: Sequence[str],
     qs: Sequence[float],
     by: Sequence[str] = (),
-    method: str = "auto",
     name=lambda c, q: f"{c}_q{int(round(q * 100))}",
 ) -> DataFrame:
     """Quantiles pivoted wide: one row per ``by`` group, one column per (c, q)."""
-    long = quantiles(df, columns, qs, by, method)
+    long = quantiles(df, columns, qs, by)
     tags = {(c, q): name(c, q) for c in columns for q in qs}
     aggs = [
         F.max(F.when((F.col("column") == c) & (F.col("q") == F.lit(q)), F.col("value"))).alias(t)

@@ -26,7 +26,7 @@ def eval_frame(spark, sf):
     """demand + lag_1/lag_7 per series + split label ('train'/'test')."""
     d = demand_view(spark, sf)
     mask = S.temporal_train_mask(d, 0.2)
-    f = fe.create_lag_features(d, lags=(1, 7), group_cols=fe.SERIES, strategy="partition")
+    f = fe.create_lag_features(d, lags=(1, 7), group_cols=fe.SERIES)
     return f.withColumns(
         {
             "lag_1": F.coalesce("lag_1", F.lit(0).cast("bigint")),

@@ -280,7 +280,7 @@ FROM demand"""
 
 def _price_change_query(spark, sf, groups):
     d = demand_view(spark, sf).select("date", "product_id", "store_id", "price")
-    out = fe._with_price_changes(d, "price", list(groups), "date", "auto", None)
+    out = fe._with_price_changes(d, "price", list(groups), "date", "chunked", None)
     return round_doubles(out)
 
 

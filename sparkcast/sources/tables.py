@@ -170,7 +170,7 @@ def load_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
     """Header CSV with a declared schema; malformed rows fail the job."""
     if not _path_exists(spark, path):
         raise FileNotFoundError(path)
-    return (
+    return nan_to_null(
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
@@ -183,7 +183,7 @@ def load_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Processed Parquet; a missing path raises FileNotFoundError."""
     if not _path_exists(spark, path):
         raise FileNotFoundError(path)
-    return spark.read.parquet(path)
+    return nan_to_null(spark.read.parquet(path))
 
 
 def save_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:

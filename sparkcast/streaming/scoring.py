@@ -35,8 +35,11 @@ LINEITEM_SCHEMA = T.StructType(
 
 def stream_glob(path: str) -> str:
     """A file stream source lists a folder or a glob; a single file (or a
-    folder) named ``x.parquet`` becomes the glob ``x.parquet*``."""
-    return path if any(ch in path for ch in "*?[") else path.rstrip("/") + "*"
+    folder) named ``x.parquet`` becomes a glob that matches it alone."""
+    if any(ch in path for ch in "*?["):
+        return path
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
 
 
 def read_lineitem_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 64) -> DataFrame:
@@ -58,7 +61,7 @@ def requests_from_lineitem(lines: DataFrame) -> DataFrame:
         (F.lit(1) + F.col("l_partkey") % 5).alias("category_id"),
         (F.lit(1) + F.col("l_suppkey") % 10).alias("store_id"),
         (F.col("l_linenumber") * 10).cast("double").alias("historical_sales"),
-        (F.floor((F.col("l_extendedprice") / F.col("l_quantity") / 20 - 50) * 100) / 100).alias("price"),
+        (F.floor((F.try_divide("l_extendedprice", "l_quantity") / 20 - 50) * 100) / 100).alias("price"),
         F.when(F.col("l_discount") >= 0.05, 1).otherwise(0).cast("bigint").alias("promotion_flag"),
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("bigint").alias("holiday_flag"),
         (F.lit(100) + F.col("l_tax") * 100).alias("economic_index"),

@@ -1,6 +1,7 @@
 """The parallel ordered methods against brute force (metamorphic checks)."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -25,20 +26,34 @@ def test_keys_at_ranks_brute_force(demand_pd, demand):
         assert (row["date"], row["product_id"], row["store_id"]) == key
 
 
-def test_quantiles_hash_equals_sort_equals_numpy(demand, demand_pd):
-    cols = ["price", "target_demand"]
-    qs = [0.1, 0.25, 0.5, 0.9]
-    h = {(r.column, r.q): r.value for r in ordered.quantiles(demand, cols, qs, method="hash").collect()}
-    s = {(r.column, r.q): r.value for r in ordered.quantiles(demand, cols, qs, method="sort").collect()}
+def test_quantiles_equal_numpy(demand, demand_pd):
+    cols = ["price", "target_demand", "promotion_flag"]
+    qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.column, r.q): r.value for r in ordered.quantiles(demand, cols, qs).collect()}
     for c in cols:
         for q in qs:
-            exp = float(np.quantile(demand_pd[c].astype(float), q))
-            assert abs(h[(c, q)] - exp) < 1e-9
-            assert abs(s[(c, q)] - exp) < 1e-9
+            assert abs(got[(c, q)] - float(np.quantile(demand_pd[c].astype(float), q))) < 1e-9
+
+
+def test_quantiles_beyond_the_sketch(spark):
+    """Small groups, ties, and more rows than the sketch holds exactly."""
+    rng = np.random.default_rng(2)
+    values = {
+        "one": [4.0], "two": [1.0, 2.0], "ties": [3.0] * 50 + [9.0], "many": rng.normal(size=150_000).tolist(),
+        "heavy": np.repeat([0.0, 1.0, 5.0], [70_000, 1, 60_000]).tolist(),
+    }
+    df = spark.createDataFrame(
+        pd.DataFrame([(k, x) for k, v in values.items() for x in v], columns=["k", "x"])
+    )
+    qs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {(r.k, r.q): r.value for r in ordered.quantiles(df, ["x"], qs, by=["k"]).collect()}
+    for k, v in values.items():
+        for q in qs:
+            assert abs(got[k, q] - np.quantile(v, q)) < 1e-9, (k, q)
 
 
-def test_quantiles_by_group_sort(demand, demand_pd):
-    got = ordered.quantiles(demand, ["target_demand"], [0.5], by=["promotion_flag"], method="sort").collect()
+def test_quantiles_by_group(demand, demand_pd):
+    got = ordered.quantiles(demand, ["target_demand"], [0.5], by=["promotion_flag"]).collect()
     for r in got:
         part = demand_pd[demand_pd.promotion_flag == r.promotion_flag]["target_demand"]
         assert abs(r.value - float(part.median())) < 1e-9
@@ -79,14 +94,23 @@ def test_partition_count_does_not_change_results(spark, demand):
     _features_equal(a, b, ["rolling_7_mean", "rolling_30_std"])
 
 
-def test_keys_at_ranks_ordinal_fallback(demand, monkeypatch):
-    ranks = [1, 100, demand.count()]
-    normal = ordered.keys_at_ranks(demand, KEY, ranks)
-    monkeypatch.setattr(ordered, "KEY_LEVEL_LIMIT", 3)
-    assert ordered.keys_at_ranks(demand, KEY, ranks) == normal
-    n, keys = ordered.keys_at_ranks(demand, KEY, lambda n: [n // 2])
-    monkeypatch.setattr(ordered, "KEY_LEVEL_LIMIT", 10**9)
-    assert (n, keys) == ordered.keys_at_ranks(demand, KEY, lambda n: [n // 2])
+def test_rank_boundaries_with_nulls_and_ties(spark):
+    rows = [(None, 1), (3, 2), (3, 2), (3, 2), (1, None), (1, 5), (None, None), (2, 0)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    order = sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
+    n, got = ordered.rank_boundaries(df, ["a", "b"], lambda n: range(1, n + 1))
+    assert n == len(rows)
+    for i, (key, place, size) in enumerate(got):
+        assert key == order[i]
+        assert size == rows.count(key) and place == i - order.index(key) + 1
+
+
+def test_running_totals(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), (F.col("id") % 5).alias("v"))
+    got, total = ordered.running_totals(df, ["k"], "v", "cum", 7)
+    rows = got.orderBy("k").collect()
+    assert total == sum(r.v for r in rows)
+    assert [r.cum for r in rows] == np.cumsum([r.v for r in rows]).tolist()
 
 
 def test_create_features_chunked_equals_partitioned(demand):
@@ -100,9 +124,9 @@ def test_create_features_chunked_equals_partitioned(demand):
     _features_equal(a, b, num)
 
 
-def test_hot_series_switches_to_chunked_and_matches(demand):
-    """One series holding about a third of all rows: 'auto' must leave the
-    one-task-per-series plan and still give the same features."""
+def test_hot_series_matches(demand):
+    """One series holding about a third of all rows gives the same features
+    in chunks as in one task."""
     n = demand.count()
     hot = (
         demand.limit(n // 2)
@@ -111,8 +135,7 @@ def test_hot_series_switches_to_chunked_and_matches(demand):
         .withColumn("store_id", F.lit(99).cast("bigint"))
     )
     skewed = demand.unionByName(hot).cache()
-    assert ordered.resolve_strategy(skewed, ["product_id", "store_id"], "auto", max_group_rows=1000) == "chunked"
     a = fe.create_features(skewed, strategy="partition")
-    b = fe.create_features(skewed, max_group_rows=1000)
+    b = fe.create_features(skewed, chunk_rows=1000)
     num = [c for c, t in a.dtypes if t in ("double", "bigint", "int")]
     _features_equal(a, b, num)

@@ -34,15 +34,14 @@ def _ks_w(a, b):
 def test_ks_and_wasserstein_match_numpy(demand, demand_pd):
     ref, cur = S.temporal_split(demand, 0.2)
     k = int(len(demand_pd) * 0.8)
-    for strategy in ("partition", "chunked"):
-        got = {r.column: r for r in D.numeric_drift(ref, cur, ["price", "historical_sales"], strategy=strategy).collect()}
-        for c in ("price", "historical_sales"):
-            a = demand_pd[c].to_numpy(float)[:k]
-            b = demand_pd[c].to_numpy(float)[k:]
-            ks, w = _ks_w(a, b)
-            assert abs(got[c].ks - ks) < 1e-12
-            assert abs(got[c].wasserstein - w) < 1e-6
-            assert abs(got[c].ref_std - a.std()) < 1e-6
+    got = {r.column: r for r in D.numeric_drift(ref, cur, ["price", "historical_sales"]).collect()}
+    for c in ("price", "historical_sales"):
+        a = demand_pd[c].to_numpy(float)[:k]
+        b = demand_pd[c].to_numpy(float)[k:]
+        ks, w = _ks_w(a, b)
+        assert abs(got[c].ks - ks) < 1e-12
+        assert abs(got[c].wasserstein - w) < 1e-6
+        assert abs(got[c].ref_std - a.std()) < 1e-6
 
 
 def test_dataset_drift_share(demand):
