@@ -124,11 +124,29 @@ def residual_report(
     return m.join(q, side_col, "left")
 
 
-def residual_table(df: DataFrame, label: str = "label", prediction: str = "prediction", date_col: str = "date") -> DataFrame:
-    """Date, actual, predicted, residual = actual - predicted."""
+def residual_table(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    date_col: str = "date",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Date, (kept columns,) actual, predicted, residual = actual - predicted."""
     return df.select(
         date_col,
+        *keep,
         F.col(label).alias("actual"),
         F.col(prediction).alias("predicted"),
         (F.col(label) - F.col(prediction)).alias("residual"),
     )
+
+
+def residual_histogram(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", bins: int = 20
+) -> DataFrame:
+    """Rows per equal-width residual bin (empty bins have no row)."""
+    res = df.select((F.col(label).cast("double") - F.col(prediction).cast("double")).alias("x")).where("x is not null")
+    edges = res.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    width = (edges["hi"] - edges["lo"]) / bins
+    at = F.least(F.floor(F.try_divide(F.col("x") - edges["lo"], width)), F.lit(bins - 1))
+    return res.groupBy(F.coalesce(at, F.lit(0)).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("count"))

@@ -142,6 +142,21 @@ def evaluate_model(model: DemandModel, test: DataFrame):
     return regression_metrics(pred, model.label, "prediction")
 
 
+def cross_validate(make_model, df: DataFrame, n_splits: int, fold_col: str = "val_fold") -> DataFrame:
+    """A18 with a model: one row of metrics per expanding fold.
+
+    ``df`` carries ``fold_col`` (``split.time_series_folds``): fold i trains
+    on every row of no fold or an earlier one and is scored on its own rows.
+    """
+    data = df.checkpoint(eager=True)
+    out = None
+    for i in range(1, n_splits + 1):
+        model = make_model().fit(data.where(F.coalesce(F.col(fold_col), F.lit(0)) < i))
+        row = evaluate_model(model, data.where(F.col(fold_col) == i)).withColumn("fold", F.lit(i))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # --------------------------------------------------------------------------
 # M7: seeded random search
 # --------------------------------------------------------------------------
@@ -190,10 +205,24 @@ def random_search(
     trials = [sample_params(space or SEARCH_SPACE, rng) for _ in range(n_trials)]
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
 
+    # one preparation for all trials: the frames are written once, the
+    # imputer and assembler fitted once, and only the trees fitted per trial
+    prepared = DemandModel(list(feature_cols), kind, {}, label)
+    stages = prepared.pipeline().getStages()[:-1]
+    shaped = Pipeline(stages=stages).fit(prepared._prepare(train))
+
+    def vectors(df):
+        return shaped.transform(prepared._prepare(df)).select("_features", label).checkpoint(eager=True)
+
+    fit_rows, check_rows = vectors(train), vectors(validation)
+
     def run(i_params):
         i, params = i_params
-        m = DemandModel(list(feature_cols), kind, params, label).fit(train)
-        return i, params, float(evaluator.evaluate(m.predict(validation)))
+        trees = _estimator(kind, params, label).fit(fit_rows)
+        scored = trees.transform(check_rows).select(
+            label, F.greatest(F.col("_raw_prediction"), F.lit(0.0)).alias("prediction")
+        )
+        return i, params, float(evaluator.evaluate(scored))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(run, enumerate(trials)))
@@ -225,6 +254,17 @@ def batch_score(requests: DataFrame, model: DemandModel, keep: Sequence[str] = (
     return scored, rejected
 
 
+def score_features(features: DataFrame, model: DemandModel, keep: Sequence[str] = ()) -> DataFrame:
+    """M8 on stored feature rows: align to the model's columns, predict, clamp, 2 dp."""
+    keep = list(keep)
+    aligned = align_columns(features, list(dict.fromkeys(keep + model.feature_cols)))
+    return model.predict(aligned).select(
+        *keep,
+        F.round(F.col("prediction"), 2).alias("predicted_demand"),
+        F.lit(model.name).alias("model_used"),
+    )
+
+
 def scenario_requests(demand: DataFrame, horizon_days: int = 14) -> DataFrame:
     """M9: one request per series and future day after its last observed day.
 

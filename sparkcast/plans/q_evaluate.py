@@ -15,7 +15,7 @@ from sparkcast.operators import features as fe
 from sparkcast.operators import split as S
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
-from sparkcast.sources.tables import DEMAND_SQL, demand_view
+from sparkcast.sources.tables import DEMAND_SQL, RAW_DEFECTS_SQL, demand_view, raw_with_defects
 
 # --------------------------------------------------------------------------
 # shared frames
@@ -225,6 +225,46 @@ def a21_regression_report(spark, sf):
     return round_doubles(E.residual_report(t))
 
 
+@register(
+    "w10_exact_split",
+    f"""WITH d AS ({DEMAND_SQL}), c AS (SELECT count(*) AS n FROM d)
+SELECT 'train' AS split, CAST(floor(n * 0.8) AS BIGINT) AS count FROM c
+UNION ALL SELECT 'test', CAST(n - floor(n * 0.8) AS BIGINT) FROM c""",
+)
+def w10_exact_split(spark, sf):
+    d = demand_view(spark, sf).select("date", "product_id", "store_id")
+    train, test = S.exact_random_split(d, 0.2, seed=42)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.groupBy("split").count()
+
+
+#: Defects and missing dates: exact duplicates are equal rows in every column.
+_DEFECTS = """SELECT * REPLACE (CASE WHEN historical_sales % 7 <> 0 THEN date END AS date) FROM ({raw})"""
+
+
+def _defect_rows(spark, sf):
+    d = raw_with_defects(demand_view(spark, sf))
+    return d.withColumn("date", F.when(F.col("historical_sales") % 7 != 0, F.col("date")))
+
+
+@register(
+    "w9_split_with_defects",
+    f"""WITH d AS ({_DEFECTS.format(raw=RAW_DEFECTS_SQL)}), f AS (
+SELECT *, row_number() OVER (ORDER BY date NULLS LAST, product_id NULLS LAST, store_id NULLS LAST) AS rn, count(*) OVER () AS n FROM d)
+SELECT split, count(*) AS count, count(date) AS dated, min(date) AS first_date, max(date) AS last_date FROM (
+  SELECT *, CASE WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM f) x
+GROUP BY split""",
+)
+def w9_split_with_defects(spark, sf):
+    d = S.label_split(_defect_rows(spark, sf), 0.2)
+    return d.groupBy("split").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.count("date").alias("dated"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    )
+
+
 @register(
     "m10_residuals",
     EVAL_SQL
@@ -233,13 +273,17 @@ def a21_regression_report(spark, sf):
 )
 def m10_residuals(spark, sf):
     p = predictions_long(spark, sf).where(F.col("model") == "lag_7")
-    return round_doubles(
-        p.select(
-            "date",
-            "product_id",
-            "store_id",
-            F.col("label").alias("actual"),
-            F.col("prediction").alias("predicted"),
-            (F.col("label") - F.col("prediction")).alias("residual"),
-        )
-    )
+    return round_doubles(E.residual_table(p, keep=["product_id", "store_id"]))
+
+
+@register(
+    "a21_residual_histogram",
+    EVAL_SQL
+    + """, e AS (SELECT CAST(label AS DOUBLE) - prediction AS x FROM p WHERE model = 'lag_7'),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM e)
+SELECT CAST(least(floor((x - lo) / ((hi - lo) / 20)), 19) AS BIGINT) AS bin, count(*) AS count
+FROM e, b GROUP BY 1""",
+)
+def a21_residual_histogram(spark, sf):
+    p = predictions_long(spark, sf).where(F.col("model") == "lag_7")
+    return E.residual_histogram(p, bins=20)
