@@ -199,15 +199,24 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A document taken twice has two rows; the one on its source's border is
     cut to the words taken. Columns are those of ``docs``.
     """
-    text_col = options.get("text_col", "text")
-    rows = training_order(mix_sources(docs, **options), options.get("id_col", "doc_id"))
-    cut = F.when(F.col("words") < F.col("size"), cut_words(F.col(text_col), F.col("words")))
-    out = rows.withColumn(text_col, F.coalesce(cut, F.col(text_col)))
-    if "n_chars" in docs.columns:
-        out = out.withColumn(
-            "n_chars", F.length(F.col(text_col)).cast(docs.schema["n_chars"].dataType)
-        )
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = {k: options.pop(f"{k}_col", d) for k, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))}
+    rest = [c for c in docs.columns if c != names["text"]]
+    base = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"),
+        *[F.col(f"`{names[k]}`").alias(f"_{k}") for k in names],
+    )
+    mixed = mix_sources(base, "_id", "_text", "_source", **options)
+    cut = F.when(F.col("words") < F.col("size"), cut_words(F.col("_text"), F.col("words")))
+    out = training_order(mixed, "_id").withColumn("_text", F.coalesce(cut, F.col("_text")))
+
+    def column(c):
+        if c == names["text"]:
+            return F.col("_text").alias(c)
+        if c == "n_chars":
+            return F.length("_text").cast(docs.schema[c].dataType).alias(c)
+        return F.col(f"_row.`{c}`")
+
+    return out.select(*[column(c) for c in docs.columns])
 
 
 SQL = r"""

@@ -23,19 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkcast.llm.queries import register
-from sparkcast.llm.shared import read_table
+from sparkcast.llm.shared import numbered, read_table, restored
 from sparkcast.llm.words import (
     IS_SPACE,
+    Hasher,
     blocks,
     combine,
     gram_hashes,
     gram_starts,
     mix64,
-    slice_hashes,
     split_lines,
     split_words,
     text_bytes,
-    word_hashes,
 )
 
 MIN_WORDS = 20
@@ -88,7 +87,8 @@ def _features(text: pa.Array) -> dict[str, np.ndarray]:
     real = ink[ends] > ink[starts]
     starts, ends, row = starts[real], ends[real], row[real]
     n_lines = np.bincount(row, minlength=n_rows)
-    key = combine(slice_hashes(data, starts, ends), salt[row])
+    hashes = Hasher(data)
+    key = combine(hashes(starts, ends), salt[row])
     later = np.ones(len(key), dtype=bool)
     later[np.unique(key, return_index=True)[1]] = False
     n_dup = np.bincount(row[later], minlength=n_rows)
@@ -96,7 +96,7 @@ def _features(text: pa.Array) -> dict[str, np.ndarray]:
     at = gram_starts(w.first, WINDOW)
     covered = np.zeros(len(w) + 1, dtype=np.int64)
     if len(at):
-        grams = gram_hashes(word_hashes(w), WINDOW)[at]
+        grams = gram_hashes(hashes(w.start, w.end), WINDOW)[at]
         hit = at[_repeated(combine(grams, salt[w.row_of()[at]]))]
         np.add.at(covered, hit, 1)
         np.add.at(covered, hit + WINDOW, -1)
@@ -115,11 +115,11 @@ def with_features(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
     keep = [c for c in (keep or docs.columns) if c not in FEATURES]
     fields = [docs.schema[c] for c in keep]
     schema = T.StructType([*fields, *[T.StructField(c, T.LongType()) for c in FEATURES]])
-    width = len(keep)
+    width, at = len(keep), keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
         for b in batches:
-            text = b.column(width)
+            text = b.column(at)
             found = [_features(text.slice(i, j - i)) for i, j in blocks(text)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -133,7 +133,9 @@ def with_features(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
             )
 
     cols = [F.col(f"`{c}`") for c in keep]
-    return docs.select(*cols, F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
+    if at == width:
+        cols.append(F.col(f"`{text_col}`").alias("_text"))
+    return docs.select(*cols).mapInArrow(run, schema)
 
 
 def _value(rule: str):
@@ -279,14 +281,9 @@ def quality_filter(
     """
     narrow = _keyed(with_features(docs, text_col, list(dict.fromkeys([lang_col, source_col]))), lang_col, source_col)
     limits = limits_by_group(narrow, lang_col, source_col, min_group).checkpoint()
-    whole = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    feats = with_features(
-        whole.select("_row", F.col(f"`{text_col}`").alias("_t"), F.col(f"`{lang_col}`").alias("_l"), F.col(f"`{source_col}`").alias("_s")),
-        "_t",
-        ["_row", "_l", "_s"],
-    )
-    judged = judge(_keyed(feats, "_l", "_s"), limits)
-    return judged.where("kept").select("_row.*")
+    whole, names = numbered(docs)
+    feats = _keyed(with_features(whole, names[text_col]), names[lang_col], names[source_col])
+    return restored(judge(feats, limits).where("kept"), names)
 
 
 def _sql() -> str:

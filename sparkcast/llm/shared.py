@@ -33,3 +33,14 @@ def n_words(text: Column) -> Column:
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` under column names that clash with nothing, and the new names."""
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def restored(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns that ``numbered`` renamed, under their own names."""
+    return df.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from sparkcast.llm.components import connected_components
 from sparkcast.llm.queries import register
-from sparkcast.llm.shared import read_table, saved
+from sparkcast.llm.shared import numbered, read_table, restored, saved
 from sparkcast.llm.words import blocks, split_words, text_bytes
 
 SHINGLE = 3
@@ -85,18 +85,19 @@ def with_fingerprint(
     """The columns ``keep`` and ``_fp``, the text's SimHash as a signed long."""
     keep = docs.columns if keep is None else keep
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_fp", T.LongType())])
-    width = len(keep)
+    width, at = len(keep), keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
         for b in batches:
-            text = b.column(width)
+            text = b.column(at)
             found = [fingerprints_of(text.slice(i, j - i), shingle) for i, j in blocks(text)]
             fp = np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(fp)], names=[*keep, "_fp"])
 
-    return docs.select(
-        *[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text")
-    ).mapInArrow(run, schema)
+    cols = [F.col(f"`{c}`") for c in keep]
+    if at == width:
+        cols.append(F.col(f"`{text_col}`").alias("_text"))
+    return docs.select(*cols).mapInArrow(run, schema)
 
 
 def gray_rank(fp):
@@ -344,21 +345,16 @@ def simhash_dedup(
     """
     narrow = with_fingerprint(docs, text_col, [id_col], shingle)
     groups = fingerprint_groups(narrow.checkpoint(), id_col, max_bits, block).checkpoint()
+    whole, names = numbered(docs)
+    rows = with_fingerprint(whole, names[text_col], None, shingle).alias("r")
+    first = Window.partitionBy("_root").orderBy(names[text_col])
     # rows of the least id only, so that a large group is not ranked whole
-    whole = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    rows = with_fingerprint(
-        whole.select("_row", F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t")),
-        "_t",
-        ["_row", "_id"],
-        shingle,
-    )
-    first = Window.partitionBy("_root").orderBy(F.col(f"_row.`{text_col}`"))
-    return (
-        rows.join(groups, (rows["_fp"] == groups["_fp"]) & rows["_id"].eqNullSafe(groups["component_id"]))
-        .withColumn("_n", F.row_number().over(first))
-        .where("_n = 1")
-        .select("_row.*")
+    least = rows.join(
+        groups.alias("g"),
+        (F.col("r._fp") == F.col("g._fp"))
+        & F.col(f"r.{names[id_col]}").eqNullSafe(F.col("g.component_id")),
     )
+    return restored(least.withColumn("_n", F.row_number().over(first)).where("_n = 1"), names)
 
 
 @register("op3_simhash_near_dedup")

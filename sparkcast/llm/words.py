@@ -21,7 +21,11 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (splitmix64)."""
-    x = x.astype(_U64, copy=True)
+    return _mixed(x.astype(_U64, copy=True))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """``mix64`` in place."""
     x ^= x >> _U64(30)
     x *= _U64(0xBF58476D1CE4E5B9)
     x ^= x >> _U64(27)
@@ -36,12 +40,20 @@ _BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2^64
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
+_kept: dict[int, np.ndarray] = {}
+#: Longest power table kept between blocks.
+_KEEP = 1 << 21
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n, base, dtype=np.uint64)
-    if n:
+    p = _kept.get(base)
+    if p is None or len(p) < n:
+        p = np.full(max(n, min(_KEEP, 1 << n.bit_length())), base, dtype=np.uint64)
         p[0] = 1
         np.multiply.accumulate(p, out=p)
-    return p
+        if len(p) <= _KEEP:
+            _kept[base] = p
+    return p[:n]
 
 
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -114,19 +126,24 @@ def split_lines(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, end, row
 
 
-def slice_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range, equal for equal bytes everywhere."""
-    if not len(start):
-        return np.empty(0, np.uint64)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=sums[1:])
-    inv = _powers(_BASE_INV, len(data) + 1)
-    h = (sums[end] - sums[start]) * inv[start]
-    return mix64(h + (end - start).astype(np.uint64))
+class Hasher:
+    """64-bit hashes of byte ranges, equal for equal bytes everywhere."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=self.sums[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if not len(start):
+            return np.empty(0, np.uint64)
+        h = self.sums[end] - self.sums[start]
+        h *= _powers(_BASE_INV, len(self.sums))[start]
+        h += (end - start).astype(np.uint64)
+        return _mixed(h)
 
 
 def word_hashes(w: Words) -> np.ndarray:
-    return slice_hashes(w.data, w.start, w.end)
+    return Hasher(w.data)(w.start, w.end)
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,8 +161,7 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     sums = np.zeros(len(h) + 1, dtype=np.uint64)
     np.cumsum(h * _powers(_BASE, len(h)), out=sums[1:])
-    inv = _powers(_BASE_INV, len(h) + 1)
-    return mix64((sums[n:] - sums[:-n]) * inv[:m])
+    return _mixed((sums[n:] - sums[:-n]) * _powers(_BASE_INV, m))
 
 
 def gram_starts(first: np.ndarray, n: int) -> np.ndarray:
