@@ -28,9 +28,10 @@ from sparkcast.llm.queries import register
 from sparkcast.llm.shared import read_table, saved
 from sparkcast.llm.sparse import SCHEMA, marked, sparse_rows, summed
 from sparkcast.llm.words import (
+    Hasher,
+    Words,
     blocks,
     mix64,
-    slice_hashes,
     split_lines,
     split_words,
     text_bytes,
@@ -59,7 +60,6 @@ class Sizes:
 SIZES = Sizes()
 
 _U64 = np.uint64
-_EMPTY = np.empty(0, np.uint64)
 
 
 def _need(n, m, t):
@@ -82,8 +82,7 @@ def word_counts(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
             for i, j in blocks(b.column(0), 4 << 20):
                 data, rows = text_bytes(b.column(0).slice(i, j - i))
                 h = word_hashes(split_words(data, rows)) >> _U64(64 - COUNT_BITS)
-                cells, n = np.unique(h.astype(np.uint32), return_counts=True)
-                total[cells] += n.astype(np.uint32)
+                np.add.at(total, h.astype(np.int64), np.uint32(1))
         cells = np.flatnonzero(total)
         yield from sparse_rows(cells, total[cells], COUNT_BITS)
 
@@ -96,30 +95,54 @@ def word_counts(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(table[:, :-8]).ravel(), n_words
 
 
-def _lines(text: pa.Array):
-    """(data, start, end, row, number in row, hash) of the lines with a word."""
+@dataclass
+class Lines:
+    """The lines with a word of a block of texts, and the block's words."""
+
+    words: Words
+    hashes: Hasher
+    row: np.ndarray
+    number: np.ndarray  # within the row
+    key: np.ndarray  # hash of the line
+    first: np.ndarray  # words of the line: first and end
+    stop: np.ndarray
+
+    def sets(self, lines: np.ndarray, codes: np.ndarray | None = None):
+        """Distinct words of some lines: (hashes, offsets).
+
+        Within a line by (code, hash), or by hash without codes.
+        """
+        size = (self.stop - self.first)[lines]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        at = np.repeat(self.first[lines] - ends[:-1], size) + np.arange(ends[-1])
+        h = self.hashes(self.words.start[at], self.words.end[at])
+        line = np.repeat(np.arange(len(lines), dtype=np.uint64), size)
+        code = np.zeros(len(h), np.uint8) if codes is None else codes[h >> _U64(64 - COUNT_BITS)]
+        # line (20 bits), code (8) and the hash's upper 36 bits in one key
+        rough = line << _U64(44) | code.astype(np.uint64) << _U64(36) | h >> _U64(28)
+        order = np.argsort(rough)
+        rough, h2 = rough[order], h[order]
+        if len(lines) >= 1 << 20 or ((rough[1:] == rough[:-1]) & (h2[1:] != h2[:-1])).any():
+            order = np.lexsort((h, code, line))
+            h2 = h[order]
+        h, line = h2, line[order].astype(np.int64)
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+        h, line = h[new], line[new]
+        return h, np.concatenate(([0], np.cumsum(np.bincount(line, minlength=len(lines)))))
+
+
+def _lines(text: pa.Array) -> Lines:
     data, rows = text_bytes(text)
     start, end, row = split_lines(data, rows)
     number = np.arange(len(start)) - np.searchsorted(row, row)
     w = split_words(data, rows)
-    real = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
-    start, end, row, number = start[real], end[real], row[real], number[real]
-    return data, start, end, row, number, slice_hashes(data, start, end)
-
-
-def _word_sets(data, start, end):
-    """Distinct word hashes of byte ranges: (hashes grouped by range, offsets)."""
-    size = end - start
-    first = np.concatenate(([0], np.cumsum(size)))
-    at = np.repeat(start - first[:-1], size) + np.arange(first[-1])
-    w = split_words(data[at], first)
-    h, line = word_hashes(w), w.row_of()
-    order = np.lexsort((h, line))
-    h, line = h[order], line[order]
-    new = np.ones(len(h), dtype=bool)
-    new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    h, line = h[new], line[new]
-    return h, np.concatenate(([0], np.cumsum(np.bincount(line, minlength=len(size)))))
+    first, stop = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
+    real = stop > first
+    hashes = Hasher(data)
+    return Lines(
+        w, hashes, row[real], number[real], hashes(start[real], end[real]), first[real], stop[real]
+    )
 
 
 def _group_by(keys: np.ndarray):
@@ -129,21 +152,52 @@ def _group_by(keys: np.ndarray):
     return order, np.concatenate((np.flatnonzero(np.diff(k, prepend=~k[:1])), [len(k)]))
 
 
+#: Words of parity bits of a long line's set; short lines send them folded to one.
+_BITS, _LONG = 4, 100
 _ENTRY = np.dtype(
-    [("word", "<u8"), ("line", "<u8"), ("bits", "<u8"), ("prev", "<u4"), ("size", "<i4"), ("pos", "<u2")]
+    [
+        ("word", "<u8"),
+        ("line", "<u8"),
+        ("prev", "<u4"),
+        ("size", "<i4"),
+        ("pos", "<u2"),
+        ("fold", "<u8"),
+        ("bits", "<u8", (_BITS,)),
+    ]
 )
+_SHORT = np.dtype(_ENTRY.descr[:-1])
+
+
+def _to_bytes(e: np.ndarray) -> tuple[bytes, bytes]:
+    """(short lines' entries without their bits, long lines' entries)."""
+    long = e["size"] > _LONG
+    short = np.empty(int((~long).sum()), _SHORT)
+    for name in _SHORT.names:
+        short[name] = e[name][~long]
+    return short.tobytes(), e[long].tobytes()
+
+
+def _from_bytes(short: bytes, long: bytes) -> np.ndarray:
+    s, e = np.frombuffer(short, _SHORT), np.frombuffer(long, _ENTRY)
+    out = np.zeros(len(s) + len(e), _ENTRY)
+    for name in _SHORT.names:
+        out[name][: len(s)] = s[name]
+    out[len(s) :] = e
+    return out
 
 
 def _prefix_entries(text: pa.Array, codes: np.ndarray, t: float) -> np.ndarray:
-    data, start, end, _, _, key = _lines(text)
+    lines = _lines(text)
+    key = lines.key
     _, one = np.unique(key, return_index=True)
-    h, off = _word_sets(data, start[one], end[one])
+    h, off = lines.sets(one, codes)
     size = np.diff(off)
     line = np.repeat(np.arange(len(one)), size)
     code = codes[h >> _U64(64 - COUNT_BITS)]
-    order = np.lexsort((h, code, line))
-    h, code = h[order], code[order]
-    parity = np.bitwise_xor.reduceat(_U64(1) << (h & _U64(63)), off[:-1]) if len(h) else _EMPTY
+    parity = np.zeros((len(one), _BITS), np.uint64)
+    for k in range(_BITS if len(h) else 0):
+        mine = (h >> _U64(6)) & _U64(_BITS - 1) == k
+        parity[:, k] = np.bitwise_xor.reduceat(np.where(mine, _U64(1) << (h & _U64(63)), _U64(0)), off[:-1])
     pos = np.arange(len(h)) - off[:-1][line]
     take = pos <= (size - np.ceil(size * t - 1e-9).astype(np.int64))[line]
     take &= code > 1  # a word seen once has no partner
@@ -151,6 +205,7 @@ def _prefix_entries(text: pa.Array, codes: np.ndarray, t: float) -> np.ndarray:
     out = np.empty(int(take.sum()), _ENTRY)
     out["word"], out["line"] = h[take], key[one][line[take]]
     out["bits"], out["size"] = parity[line[take]], size[line[take]]
+    out["fold"] = np.bitwise_xor.reduce(parity, axis=1)[line[take]]
     out["pos"] = np.minimum(pos[take], 65535)
     # the word before this one in the line's order, 0 for none
     out["prev"] = np.where(pos[take] > 0, mix64(prev[take]) >> _U64(32) | _U64(1), 0)
@@ -175,11 +230,11 @@ def prefix_entries(
                 deal = np.where(hot, mix64(e["line"]), mix64(e["word"])) % _U64(buckets)
                 order, cut = _group_by(deal)
                 for a, z in zip(cut[:-1], cut[1:]):
-                    yield pa.RecordBatch.from_pydict(
-                        {"bucket": pa.array([int(deal[order[a]])], pa.int32()), "entries": [e[order[a:z]].tobytes()]}
-                    )
+                    short, long = _to_bytes(e[order[a:z]])
+                    bucket = pa.array([int(deal[order[a]])], pa.int32())
+                    yield pa.RecordBatch.from_pydict({"bucket": bucket, "short": [short], "long": [long]})
 
-    return docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "bucket int, entries binary")
+    return docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "bucket int, short binary, long binary")
 
 
 def _may_link(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
@@ -189,12 +244,15 @@ def _may_link(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
     left = np.minimum(n - a["pos"], m - b["pos"])
     # sharing the word before too, the pair belongs to an earlier group
     first = (a["prev"] != b["prev"]) | (a["prev"] == 0)
-    return (
-        first
-        & (np.minimum(n, m) >= t * np.maximum(n, m) - 1e-9)
-        & (left >= need)
-        & (np.bitwise_count(a["bits"] ^ b["bits"]) <= n + m - 2 * need)
-    )
+    ok = first & (np.minimum(n, m) >= t * np.maximum(n, m) - 1e-9) & (left >= need)
+    ok &= np.bitwise_count(a["fold"] ^ b["fold"]) <= n + m - 2 * need
+    both = np.flatnonzero(ok & (n > _LONG) & (m > _LONG))
+    if len(both):
+        at = np.unravel_index(both, ok.shape)
+        x, y = (np.broadcast_to(g["bits"], (*ok.shape, _BITS))[at] for g in (a, b))
+        apart = np.bitwise_count(x ^ y).sum(axis=1)
+        ok[at] = apart <= (n + m - 2 * need)[at]
+    return ok
 
 
 def _alive(e: np.ndarray, t: float, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
@@ -219,10 +277,12 @@ def _alive(e: np.ndarray, t: float, sizes: Sizes) -> tuple[np.ndarray, np.ndarra
         if len(g) > 8 * sizes.block:
             alive[a:z] = True
             continue
-        for i in range(0, len(g), 256):
-            ok = _may_link(g[i : i + 256, None], g[None, :], t)
-            ok[np.arange(len(ok)), np.arange(i, i + len(ok))] = False
-            alive[a + i : a + i + 256] |= ok.any(axis=1)
+        for i in range(0, len(g), 256):  # sizes ascend: later, not much larger members
+            j = int(np.searchsorted(g["size"], g["size"][min(i + 255, len(g) - 1)] / t + 1e-6, "right"))
+            ok = _may_link(g[i : i + 256, None], g[None, i:j], t)
+            ok &= np.arange(len(ok))[:, None] < np.arange(j - i)
+            alive[a + i : a + i + len(ok)] |= ok.any(axis=1)
+            alive[a + i : a + j] |= ok.any(axis=0)
     return e[alive], of[alive]
 
 
@@ -242,8 +302,8 @@ def candidates(entries: DataFrame, codes, t: float, buckets: int, sizes: Sizes =
     def run(batches):
         table, held = codes.value, []
         for b in batches:
-            for x in b.column(1):
-                e = np.frombuffer(x.as_py(), _ENTRY)
+            for short, long in zip(b.column(1), b.column(2)):
+                e = _from_bytes(short.as_py(), long.as_py())
                 code = table[e["word"] >> _U64(64 - COUNT_BITS)]
                 hot = code >= hot_code
                 if hot.any():  # spread by line: the count bounds the group
@@ -265,10 +325,11 @@ def fetch_sets(docs: DataFrame, text_col: str, wanted) -> DataFrame:
         marks = wanted.value
         for b in batches:
             for i, j in blocks(b.column(0)):
-                data, start, end, _, _, key = _lines(b.column(0).slice(i, j - i))
+                lines = _lines(b.column(0).slice(i, j - i))
+                key = lines.key
                 _, one = np.unique(key, return_index=True)
                 one = one[marked(marks, key[one] >> _U64(64 - FETCH_BITS))]
-                h, off = _word_sets(data, start[one], end[one])
+                h, off = lines.sets(one)
                 if len(one):
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -316,8 +377,14 @@ def _bulk_pairs(i, j, off, words, tau, table, t) -> np.ndarray:
             both.append(words[at])
             of.append(np.repeat(n, c))
         h, of = np.concatenate(both), np.concatenate(of)
-        order = np.lexsort((h, of))
-        h, of = h[order], of[order]
+        # pair (13 bits) and the hash's upper 51 bits in one key
+        rough = of.astype(np.uint64) << _U64(51) | h >> _U64(13)
+        order = np.argsort(rough)
+        rough, h2 = rough[order], h[order]
+        if ((rough[1:] == rough[:-1]) & (h2[1:] != h2[:-1])).any():
+            order = np.lexsort((h, of))
+            h2 = h[order]
+        h, of = h2, of[order]
         twice = np.flatnonzero((h[1:] == h[:-1]) & (of[1:] == of[:-1]))
         h, of = h[twice], of[twice]
         overlap = np.bincount(of, minlength=len(a))
@@ -328,34 +395,37 @@ def _bulk_pairs(i, j, off, words, tau, table, t) -> np.ndarray:
     return ok
 
 
-def _matrix_pairs(off, words, tau, cut: int, table, t) -> np.ndarray:
-    """Link matrix of one group's members (first ``cut`` against all, if cut)."""
+def _matrix_pairs(off, words, tau, cut: int, table, t):
+    """Linked pairs (i < j) of one group's members; with ``cut``, only pairs
+    of one of the first ``cut`` with one of the others."""
     n, size = len(off) - 1, np.diff(off)
     line = np.repeat(np.arange(n), size)
     u, inv, count = np.unique(words, return_inverse=True, return_counts=True)
     keep = np.flatnonzero(count > 1)
-    c, w = _order(u[keep], table)
-    c0, w0 = _order(np.array([tau], np.uint64), table)
+    (c, w), (c0, w0) = _order(u[keep], table), _order(np.array([tau], np.uint64), table)
     sooner = (c < c0[0]) | ((c == c0[0]) & (w < w0[0]))
-    overlap = np.zeros((n, n), np.float32)
-    earlier = np.zeros((n, n), np.float32)
+    overlap, earlier = np.zeros((n, n), np.int32), np.zeros((n, n), bool)
     number = np.full(len(u), -1)
     number[keep] = np.arange(len(keep))
     col = number[inv]
-    for k in range(0, len(keep), 2048):
-        inside = (col >= k) & (col < k + 2048)
-        m = np.zeros((n, min(2048, len(keep) - k)), np.float32)
+    strips = [slice(i, i + 256) for i in range(0, n, 256)]
+    for k in range(0, len(keep), 1024):
+        inside = (col >= k) & (col < k + 1024)
+        m = np.zeros((n, min(1024, len(keep) - k)), np.float32)
         m[line[inside], col[inside] - k] = 1
-        overlap += m @ m.T
-        m = m[:, sooner[k : k + 2048]]
-        if m.shape[1]:
-            earlier += m @ m.T
-    ok = (overlap >= _need(size[:, None], size[None, :], t)) & (earlier == 0)
-    np.fill_diagonal(ok, False)
-    if cut:  # pairs across two blocks only
-        ok[:cut, :cut] = False
-        ok[cut:, cut:] = False
-    return ok
+        first = m[:, sooner[k : k + 1024]]
+        for s in strips:
+            overlap[s] += (m[s] @ m.T).astype(np.int32)
+            if first.shape[1]:
+                earlier[s] |= first[s] @ first.T > 0
+    found = []
+    for s in strips:
+        ok = (overlap[s] >= _need(size[s, None], size[None, :], t)) & ~earlier[s]
+        i, j = np.nonzero(ok)
+        i = i + s.start
+        ok = (i < j) & ((i < cut) & (j >= cut) if cut else True)
+        found.append((i[ok], j[ok]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _verify(codes, t: float, sizes: Sizes):
@@ -389,8 +459,7 @@ def _verify(codes, t: float, sizes: Sizes):
         for p, q in zip(cut[:-1][size > sizes.bulk], cut[1:][size > sizes.bulk]):
             own = slice(off[p], off[q])
             left = int((block[p:q] == a[p]).sum()) if a[p] != b[p] else 0
-            ok = _matrix_pairs(off[p : q + 1] - off[p], words[own], word[p], left, table, t)
-            i, j = np.nonzero(np.triu(ok))
+            i, j = _matrix_pairs(off[p : q + 1] - off[p], words[own], word[p], left, table, t)
             found(i + p, j + p)
         hit = links > 0
         key, at = np.unique(line[hit], return_inverse=True)
@@ -436,14 +505,14 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             for i, j in blocks(b.column(2)):
                 part = b.slice(i, j - i)
-                _, _, _, row, number, key = _lines(part.column(2))
-                row = pa.array(row)
+                lines = _lines(part.column(2))
+                row = pa.array(lines.row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(row),
                         part.column(1).take(row),
-                        pa.array(number.astype(np.int32)),
-                        pa.array(key.view(np.int64)),
+                        pa.array(lines.number.astype(np.int32)),
+                        pa.array(lines.key.view(np.int64)),
                     ],
                     names=["doc", "key", "line_no", "line"],
                 )
@@ -496,7 +565,7 @@ def line_links(
     )
     verified = (
         members.repartition(buckets, "word", "a", "b")
-        .sortWithinPartitions("word", "a", "b")
+        .sortWithinPartitions("word", "a", "b", "block")
         .mapInArrow(_verify(codes, threshold, sizes), "line long, links long, earlier boolean")
     )
     return verified.groupBy("line").agg(
