@@ -42,7 +42,7 @@ LEAST, GRAM, WINDOW = 50, 8, 25
 KEY = LEAST - WINDOW + 1
 MARK_BITS = 26
 #: Places of one suffix from which its group is not settled in one task.
-HOT = 1000
+HOT = 1 << 16
 
 _U64 = np.uint64
 
