@@ -35,9 +35,9 @@ from sparkcast.llm.words import blocks, combine, mix64, split_words, text_bytes,
 
 ALPHA = 0.4
 #: Most words, and most pairs, that are counted ahead and broadcast.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 #: Words of the corpus for each bucket of exploded pairs.
-WORDS_PER_BUCKET = 3_000_000
+WORDS_PER_BUCKET = 2_500_000
 
 _U64 = np.uint64
 #: First word of a pair that has none.
@@ -54,8 +54,15 @@ def _tokens(text: pa.Array):
     return h, before, combine(before, h), w.row_of()
 
 
+def _cuts(batches):
+    """The batches again, in slices of about 16 MB of text."""
+    for b in batches:
+        for i, j in blocks(b.column(1), 16 << 20):
+            yield b.slice(i, j - i)
+
+
 def _batch_tokens(text: pa.Array):
-    """``_tokens`` of a whole batch, worked out block by block."""
+    """``_tokens`` of a whole slice, worked out block by block."""
     parts, base = [], 0
     for i, j in blocks(text):
         *x, row = _tokens(text.slice(i, j - i))
@@ -98,7 +105,7 @@ def frequent_items(docs: DataFrame, limit: int = FREQUENT) -> Frequent:
     spark = docs.sparkSession
 
     def name(batches):
-        for b in batches:
+        for b in _cuts(batches):
             h, before, pair, _ = _batch_tokens(b.column(1))
             rows = [(2, np.zeros(1, np.uint64), np.array([len(h)]))]
             for kind, items in ((0, h), (1, pair[before != _START])):
@@ -126,7 +133,7 @@ def frequent_items(docs: DataFrame, limit: int = FREQUENT) -> Frequent:
     shared = spark.sparkContext.broadcast((words, pairs))
 
     def count(batches):
-        for b in batches:
+        for b in _cuts(batches):
             h, before, pair, row = _batch_tokens(b.column(1))
             key = b.column(0).to_numpy()
             out = []
@@ -200,7 +207,7 @@ def exploded_pairs(docs: DataFrame, frequent, alpha: float, buckets: int) -> Dat
     def run(batches):
         f: Frequent = frequent.value
         log_w, log_p, log_n = np.log(f.word_n), np.log(f.pair_n), np.log(max(f.total, 1))
-        for b in batches:
+        for b in _cuts(batches):
             key = b.column(0).to_numpy()
             w, v, pair, row = _batch_tokens(b.column(1))
             w_at, p_at = _find(f.words, w), _find(f.pairs, pair)
