@@ -79,7 +79,7 @@ def word_counts(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     def run(batches):
         total = np.zeros(1 << COUNT_BITS, np.uint32)
         for b in batches:
-            for i, j in blocks(b.column(0), 4 << 20):
+            for i, j in blocks(b.column(0), 1 << 19):
                 data, rows = text_bytes(b.column(0).slice(i, j - i))
                 h = word_hashes(split_words(data, rows)) >> _U64(64 - COUNT_BITS)
                 np.add.at(total, h.astype(np.int64), np.uint32(1))
@@ -177,13 +177,25 @@ def _to_bytes(e: np.ndarray) -> tuple[bytes, bytes]:
     return short.tobytes(), e[long].tobytes()
 
 
-def _from_bytes(short: bytes, long: bytes) -> np.ndarray:
-    s, e = np.frombuffer(short, _SHORT), np.frombuffer(long, _ENTRY)
-    out = np.zeros(len(s) + len(e), _ENTRY)
-    for name in _SHORT.names:
-        out[name][: len(s)] = s[name]
-    out[len(s) :] = e
-    return out
+class _Entries:
+    """Prefix entries as columns; ``bits`` only of the long lines' ones."""
+
+    def __init__(self, shorts: list[bytes], longs: list[bytes]):
+        parts = [np.frombuffer(x, _SHORT) for x in shorts]
+        long = np.concatenate([np.frombuffer(x, _ENTRY) for x in longs] or [np.empty(0, _ENTRY)])
+        for name in _SHORT.names:
+            setattr(self, name, np.concatenate([*[p[name] for p in parts], long[name]]))
+        self.bits = long["bits"]
+        n = len(self.word)
+        self.bits_at = np.arange(n) - (n - len(long))
+
+    def __len__(self) -> int:
+        return len(self.word)
+
+    def take(self, at: np.ndarray) -> _Entries:
+        for name in (*_SHORT.names, "bits_at"):
+            setattr(self, name, getattr(self, name)[at])
+        return self
 
 
 def _prefix_entries(text: pa.Array, codes: np.ndarray, t: float) -> np.ndarray:
@@ -194,10 +206,12 @@ def _prefix_entries(text: pa.Array, codes: np.ndarray, t: float) -> np.ndarray:
     size = np.diff(off)
     line = np.repeat(np.arange(len(one)), size)
     code = codes[h >> _U64(64 - COUNT_BITS)]
+    bit = _U64(1) << (h & _U64(63))
+    fold = np.bitwise_xor.reduceat(bit, off[:-1]) if len(h) else bit
     parity = np.zeros((len(one), _BITS), np.uint64)
-    for k in range(_BITS if len(h) else 0):
-        mine = (h >> _U64(6)) & _U64(_BITS - 1) == k
-        parity[:, k] = np.bitwise_xor.reduceat(np.where(mine, _U64(1) << (h & _U64(63)), _U64(0)), off[:-1])
+    of_long = np.flatnonzero((size > _LONG)[line])
+    cell = line[of_long] * _BITS + ((h[of_long] >> _U64(6)) & _U64(_BITS - 1)).astype(np.int64)
+    np.bitwise_xor.at(parity.reshape(-1), cell, bit[of_long])
     pos = np.arange(len(h)) - off[:-1][line]
     take = pos <= (size - np.ceil(size * t - 1e-9).astype(np.int64))[line]
     take &= code > 1  # a word seen once has no partner
@@ -205,7 +219,7 @@ def _prefix_entries(text: pa.Array, codes: np.ndarray, t: float) -> np.ndarray:
     out = np.empty(int(take.sum()), _ENTRY)
     out["word"], out["line"] = h[take], key[one][line[take]]
     out["bits"], out["size"] = parity[line[take]], size[line[take]]
-    out["fold"] = np.bitwise_xor.reduce(parity, axis=1)[line[take]]
+    out["fold"] = fold[line[take]]
     out["pos"] = np.minimum(pos[take], 65535)
     # the word before this one in the line's order, 0 for none
     out["prev"] = np.where(pos[take] > 0, mix64(prev[take]) >> _U64(32) | _U64(1), 0)
@@ -237,81 +251,95 @@ def prefix_entries(
     return docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "bucket int, short binary, long binary")
 
 
-def _may_link(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
-    """Length, position and bitmap filters on entries of one word."""
-    n, m = a["size"].astype(np.int64), b["size"].astype(np.int64)
-    need = _need(n, m, t)
-    left = np.minimum(n - a["pos"], m - b["pos"])
+def _may_link(e: _Entries, i: np.ndarray, j: np.ndarray, t: float):
+    """The pairs that pass the length, position and bitmap filters.
+
+    Entries i and j are of one word, and j's lines are no smaller.
+    """
     # sharing the word before too, the pair belongs to an earlier group
-    first = (a["prev"] != b["prev"]) | (a["prev"] == 0)
-    ok = first & (np.minimum(n, m) >= t * np.maximum(n, m) - 1e-9) & (left >= need)
-    ok &= np.bitwise_count(a["fold"] ^ b["fold"]) <= n + m - 2 * need
-    both = np.flatnonzero(ok & (n > _LONG) & (m > _LONG))
-    if len(both):
-        at = np.unravel_index(both, ok.shape)
-        x, y = (np.broadcast_to(g["bits"], (*ok.shape, _BITS))[at] for g in (a, b))
-        apart = np.bitwise_count(x ^ y).sum(axis=1)
-        ok[at] = apart <= (n + m - 2 * need)[at]
-    return ok
+    ok = (e.prev[i] != e.prev[j]) | (e.prev[i] == 0)
+    ok &= e.size[i] >= t * e.size[j] - 1e-9
+    i, j = i[ok], j[ok]
+    n, m = e.size[i].astype(np.int64), e.size[j].astype(np.int64)
+    need = _need(n, m, t)
+    most = n + m - 2 * need
+    ok = np.minimum(n - e.pos[i], m - e.pos[j]) >= need
+    ok &= np.bitwise_count(e.fold[i] ^ e.fold[j]) <= most
+    long = np.flatnonzero(ok & (n > _LONG))
+    if len(long):
+        apart = e.bits[e.bits_at[i[long]]] ^ e.bits[e.bits_at[j[long]]]
+        ok[long] = np.bitwise_count(apart).sum(axis=1) <= most[long]
+    return i[ok], j[ok]
 
 
-def _alive(e: np.ndarray, t: float, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
+def _alive(e: _Entries, t: float, sizes: Sizes) -> tuple[_Entries, np.ndarray]:
     """Entries with a possible partner, and their groups' sizes."""
-    order = np.lexsort((e["line"], e["size"], e["word"]))
-    e = e[order]
-    if len(e):
-        new = np.ones(len(e), dtype=bool)
-        new[1:] = (e["word"][1:] != e["word"][:-1]) | (e["line"][1:] != e["line"][:-1])
-        e = e[new]
-    _, cut = _group_by(e["word"]) if len(e) else (None, np.zeros(1, np.int64))
+    order = np.argsort(e.word)
+    word = e.word[order]
+    shared = np.zeros(len(e), dtype=bool)
+    shared[1:] = word[1:] == word[:-1]
+    shared[:-1] |= shared[1:]
+    e = e.take(order[shared])  # words of one line alone end here
+    e = e.take(np.lexsort((e.line, e.size, e.word)))
+    new = np.ones(len(e), dtype=bool)
+    new[1:] = (e.word[1:] != e.word[:-1]) | (e.line[1:] != e.line[:-1])
+    e = e.take(np.flatnonzero(new))
+    cut = np.append(np.flatnonzero(np.append(True, e.word[1:] != e.word[:-1])[: len(e)]), len(e))
     size = np.diff(cut)
     alive = np.zeros(len(e), dtype=bool)
-    place = np.arange(len(e)) - np.repeat(cut[:-1], size)
+    end = np.repeat(cut[1:], size)
     of = np.repeat(size, size)
-    for s in range(1, min(int(size.max(initial=0)), sizes.bulk)):
-        i = np.flatnonzero((of <= sizes.bulk) & (place + s < of))
-        hit = i[_may_link(e[i], e[i + s], t)]
-        alive[hit] = alive[hit + s] = True
+    i = np.flatnonzero((of <= sizes.bulk) & (of > 1))
+    for s in range(1, sizes.bulk):
+        i = i[i + s < end[i]]
+        if not len(i):
+            break
+        for hit in _may_link(e, i, i + s, t):
+            alive[hit] = True
     for a, z in zip(cut[:-1][size > sizes.bulk], cut[1:][size > sizes.bulk]):
-        g = e[a:z]
-        if len(g) > 8 * sizes.block:
+        if z - a > 8 * sizes.block:
             alive[a:z] = True
             continue
-        for i in range(0, len(g), 256):  # sizes ascend: later, not much larger members
-            j = int(np.searchsorted(g["size"], g["size"][min(i + 255, len(g) - 1)] / t + 1e-6, "right"))
-            ok = _may_link(g[i : i + 256, None], g[None, i:j], t)
-            ok &= np.arange(len(ok))[:, None] < np.arange(j - i)
-            alive[a + i : a + i + len(ok)] |= ok.any(axis=1)
-            alive[a + i : a + j] |= ok.any(axis=0)
-    return e[alive], of[alive]
+        for i in range(a, z, 256):  # sizes ascend: later, not much larger members
+            top = min(i + 256, z)
+            last = a + int(np.searchsorted(e.size[a:z], e.size[top - 1] / t + 1e-6, "right"))
+            x, y = np.arange(i, top), np.arange(i, last)
+            ok = (e.prev[x, None] != e.prev[y]) | (e.prev[x, None] == 0)
+            ok &= e.size[x, None] >= t * e.size[y] - 1e-9
+            p, q = np.nonzero(ok & (x[:, None] < y))
+            for hit in _may_link(e, x[p], y[q], t):
+                alive[hit] = True
+    return e.take(np.flatnonzero(alive)), of[alive]
 
 
 def candidates(entries: DataFrame, codes, t: float, buckets: int, sizes: Sizes = SIZES) -> DataFrame:
     """(word, line, parts): classes that may have a partner through a word."""
     hot_code = int(_code(np.array([sizes.hot]))[0])
 
-    def out(e, n):
+    def out(word, line, n):
         return pa.RecordBatch.from_pydict(
             {
-                "word": pa.array(e["word"].view(np.int64).copy()),
-                "line": pa.array(e["line"].view(np.int64).copy()),
+                "word": pa.array(word.view(np.int64)),
+                "line": pa.array(line.view(np.int64)),
                 "parts": pa.array(((n + sizes.block - 1) // sizes.block).astype(np.int32)),
             }
         )
 
     def run(batches):
-        table, held = codes.value, []
+        table, shorts, longs = codes.value, [], []
         for b in batches:
-            for short, long in zip(b.column(1), b.column(2)):
-                e = _from_bytes(short.as_py(), long.as_py())
-                code = table[e["word"] >> _U64(64 - COUNT_BITS)]
-                hot = code >= hot_code
-                if hot.any():  # spread by line: the count bounds the group
-                    n = 128 * 2 ** ((code[hot].astype(np.float64) - 127) / 8)
-                    yield out(e[hot], n.astype(np.int64))
-                held.append(e[~hot])
-        if held:
-            yield out(*_alive(np.concatenate(held), t, sizes))
+            shorts += [x.as_py() for x in b.column(1)]
+            longs += [x.as_py() for x in b.column(2)]
+        e = _Entries(shorts, longs)
+        code = table[e.word >> _U64(64 - COUNT_BITS)]
+        hot = code >= hot_code
+        if hot.any():  # spread by line: the count bounds the group
+            n = 128 * 2 ** ((code[hot].astype(np.float64) - 127) / 8)
+            yield out(e.word[hot], e.line[hot], n.astype(np.int64))
+            e = e.take(np.flatnonzero(~hot))
+        if len(e):
+            e, n = _alive(e, t, sizes)
+            yield out(e.word, e.line, n)
 
     return (
         entries.repartition(buckets, "bucket").mapInArrow(run, "word long, line long, parts int")

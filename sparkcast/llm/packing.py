@@ -224,7 +224,7 @@ def pack(
         tokenizer = WordTokenizer.load(tokenizer_file)
         bins = _Bins(capacity, TaskContext.get().partitionId())
         for b in batches:
-            for i, j in blocks(b.column(1), 4 << 20):
+            for i, j in blocks(b.column(1), 2 << 20):
                 rows = b.slice(i, j - i)
                 ids, first = tokenizer.encode(rows.column(1), end_id)
                 tokens = np.diff(first)
