@@ -242,26 +242,51 @@ def dataset_drift(columns: DataFrame, share: float = DATASET_SHARE) -> DataFrame
     )
 
 
-def quality_by_side(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per side and column: rows, missing, distinct, min, max, mean, std.
-
-    Unpivoted once; a single groupBy(side, column) does all sides and columns.
-    """
-    cols = list(columns) if columns else int_float_columns(reference.schema)
-    both = reference.select(*cols).withColumn("side", F.lit("reference")).unionByName(
-        current.select(*cols).withColumn("side", F.lit("current"))
-    )
-    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]))
-    long = both.select("side", kv.alias("_kv")).select("side", "_kv.*")
-    return long.groupBy("side", "column").agg(
+def _quality(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    kv = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(*by, F.inline(kv))
+    counts = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    distinct = counts.groupBy(*by, "column").agg(F.count("value").cast("bigint").alias("distinct"))
+    stats = long.groupBy(*by, "column").agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         F.count_if(F.col("value").isNull()).cast("bigint").alias("missing"),
-        F.count_distinct("value").cast("bigint").alias("distinct"),
+        F.count_if(F.col("value") == 0).cast("bigint").alias("zeros"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
     )
+    top = counts.where("value is not null").groupBy(*by, "column").agg(
+        F.min(F.struct((-F.col("_n")).alias("k"), F.col("value").alias("v"))).alias("_t")
+    )
+    quart = ordered.quantiles(df, cols, [0.25, 0.5, 0.75], by=by).groupBy(*by, "column").agg(
+        *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"q{int(q * 100)}") for q in (0.25, 0.5, 0.75)]
+    )
+    keys = [*by, "column"]
+    return (
+        stats.join(distinct, keys, "left")
+        .join(quart, keys, "left")
+        .join(top, keys, "left")
+        .select(
+            *keys, "rows", "missing", "distinct", "zeros", "min", "q25", "q50", "q75", "max", "mean", "std",
+            F.col("_t.v").alias("top"), (-F.col("_t.k")).cast("bigint").alias("top_count"),
+        )
+    )
+
+
+def quality_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A20 for one table: per column rows, missing, distinct, zeros, min,
+    quartiles, max, mean, std, the most frequent value and its count."""
+    return _quality(df, [], list(columns) if columns else int_float_columns(df.schema))
+
+
+def quality_by_side(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """A20 for two tables: the same figures per side and column."""
+    cols = list(columns) if columns else int_float_columns(reference.schema)
+    both = reference.select(*cols).withColumn("side", F.lit("reference")).unionByName(
+        current.select(*cols).withColumn("side", F.lit("current"))
+    )
+    return _quality(both, ["side"], cols)
 
 
 def monitoring_run(
@@ -279,3 +304,19 @@ def monitoring_run(
         "dataset": dataset_drift(cols),
         "quality": quality_by_side(reference, current, quality_cols),
     }
+
+
+def write_monitoring_run(run: dict, path: str, timestamp: str) -> DataFrame:
+    """Write a run's tables and its status row under ``path``; returns the status.
+
+    ``columns``, ``dataset`` and ``quality`` are Parquet folders named with the
+    timestamp, the status is ``status_<timestamp>`` as JSON.
+    """
+    from sparkcast.sources.tables import save_metrics_json, save_parquet
+
+    spark = run["dataset"].sparkSession
+    for name, table in run.items():
+        save_parquet(table, f"{path}/{name}_{timestamp}")
+    status = spark.read.parquet(f"{path}/dataset_{timestamp}").withColumn("timestamp", F.lit(timestamp))
+    save_metrics_json(status, path, "status", timestamp)
+    return status

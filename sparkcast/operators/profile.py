@@ -65,24 +65,54 @@ def overview(df: DataFrame) -> DataFrame:
     )
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, unique): distinct non-null values per column.
+
+    One pass: unpivoted to (column, value) and grouped twice, instead of a
+    copy of every row for each distinct count of one aggregate.
+    """
+
+    def text(c):
+        x = F.col(c)
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            x = x + F.lit(0.0)  # -0.0 and 0.0 are one value
+        return x.cast("string")
+
+    kv = F.array(
+        *[F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in columns or df.columns]
+    )
+    values = df.select(F.inline(kv)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    return values.groupBy("column").agg(F.count("value").cast("bigint").alias("unique"))
+
+
 def column_counts(df: DataFrame, exact: bool = True) -> DataFrame:
     """A2: per column missing, missing % (2 dp), distinct non-null, distinct % (2 dp)."""
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__m"), distinct(F.col(c)).alias(f"{c}__u")]
-    wide = df.agg(*aggs)
+    n = F.count(F.lit(1)).alias("_rows")
+    wide = df.agg(n, *[F.count_if(F.col(c).isNull()).alias(f"{c}__m") for c in df.columns])
     rows = [
         F.struct(
             F.lit(c).alias("column"),
+            F.col("_rows").alias("_rows"),
             F.col(f"{c}__m").cast("bigint").alias("missing"),
             F.round(F.try_divide(F.col(f"{c}__m") * 100.0, F.col("_rows")), 2).alias("missing_pct"),
-            F.col(f"{c}__u").cast("bigint").alias("unique"),
-            F.round(F.try_divide(F.col(f"{c}__u") * 100.0, F.col("_rows")), 2).alias("unique_pct"),
         )
         for c in df.columns
     ]
-    return _explode_rows(wide, rows)
+    if exact:
+        unique = distinct_counts(df)
+    else:
+        approx = df.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns])
+        unique = _explode_rows(
+            approx, [F.struct(F.lit(c).alias("column"), F.col(c).alias("unique")) for c in df.columns]
+        )
+    # both sides hold one row per column
+    return _explode_rows(wide, rows).join(unique, "column", "left").select(
+        "column",
+        "missing",
+        "missing_pct",
+        F.coalesce("unique", F.lit(0).cast("bigint")).alias("unique"),
+        F.round(F.try_divide(F.coalesce("unique", F.lit(0)) * 100.0, F.col("_rows")), 2).alias("unique_pct"),
+    )
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -291,8 +321,10 @@ def profile_report(df: DataFrame, target_col: str = "target_demand") -> DataFram
     """A10: A1-A9 as one long table (section, column, metric, value, text).
 
     Numeric metrics sit in ``value`` (double), text metrics (dtype, dates,
-    top values) in ``text``. A missing target column gives an error row.
+    top values) in ``text``. A missing target column gives an error row. The
+    table is written once to the checkpoint folder; every section reads that.
     """
+    df = df.checkpoint(eager=True)
 
     def longify(section: str, frame: DataFrame, key: str | None, metrics: list[str]) -> DataFrame:
         kcol = F.col(key) if key else F.lit(None).cast("string")
@@ -318,6 +350,15 @@ def profile_report(df: DataFrame, target_col: str = "target_demand") -> DataFram
             ["min", "max", "mean", "median", "std", "zeros", "zeros_pct", "q1", "q3", "iqr"],
         ),
     ]
+    parts.append(
+        table_info(df).select(
+            F.lit("columns").alias("section"),
+            "column",
+            F.lit("dtype").alias("metric"),
+            F.lit(None).cast("double").alias("value"),
+            F.col("dtype").alias("text"),
+        )
+    )
     dcols = [f.name for f in df.schema.fields if isinstance(f.dataType, DATE_TYPES)]
     if dcols:
         dt = datetime_summary(df, dcols)
@@ -354,15 +395,24 @@ def profile_report(df: DataFrame, target_col: str = "target_demand") -> DataFram
         )
     ncols = numeric_columns(df.schema)
     if len(ncols) >= 2:
-        parts.append(
-            correlation_long(df, ncols).select(
-                F.lit("correlation").alias("section"),
-                F.col("col1").alias("column"),
-                F.col("col2").alias("metric"),
-                F.round(F.col("r"), 3).alias("value"),
-                F.lit(None).cast("string").alias("text"),
+        corr = correlation_long(df, ncols).checkpoint(eager=True)  # a row per pair
+        place = {c: i for i, c in enumerate(ncols)}
+        upper = F.lit(False)
+        for a, b in combinations(place, 2):
+            upper = upper | ((F.col("col1") == a) & (F.col("col2") == b))
+        for section, rows in (
+            ("correlation", corr),
+            ("high_correlation", corr.where(upper & (F.abs("r") > 0.7))),
+        ):
+            parts.append(
+                rows.select(
+                    F.lit(section).alias("section"),
+                    F.col("col1").alias("column"),
+                    F.col("col2").alias("metric"),
+                    F.round(F.col("r"), 3).alias("value"),
+                    F.lit(None).cast("string").alias("text"),
+                )
             )
-        )
     if target_col in df.columns:
         ts = target_statistics(df, target_col)
         parts.append(
@@ -397,8 +447,11 @@ def profile_report(df: DataFrame, target_col: str = "target_demand") -> DataFram
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, min, 25 %, 50 %, 75 %, max, std per numeric column (exact quartiles)."""
-    cols = list(columns) if columns else numeric_columns(df.schema)
+    """Count, mean, min, 25 %, 50 %, 75 %, max, std per numeric and date
+    column (exact quartiles; dates as days since 1970-01-01)."""
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    cols = list(columns) if columns else [*dates, *numeric_columns(df.schema)]
+    df = df.withColumns({c: F.unix_date(c) for c in cols if c in dates})
     wide = df.agg(
         *[
             e

@@ -225,16 +225,15 @@ def validate_to_result(df: DataFrame, schema_type: str = "raw", raise_error: boo
 
 def validation_report(df: DataFrame) -> DataFrame:
     """V9: per column dtype, nulls, null % (2 dp), distinct non-null count,
-    and for numeric columns min, max, mean, sample std. One aggregate."""
+    and for numeric columns min, max, mean, sample std."""
+    from sparkcast.operators.profile import distinct_counts
+
     n = F.count(F.lit(1))
     aggs = [n.alias("_rows")]
     numeric = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        aggs += [
-            F.count_if(c.isNull()).alias(f"{f.name}__nulls"),
-            F.count_distinct(c).alias(f"{f.name}__unique"),
-        ]
+        aggs.append(F.count_if(c.isNull()).alias(f"{f.name}__nulls"))
         if isinstance(f.dataType, NUMERIC_TYPES):
             numeric.append(f.name)
             aggs += [
@@ -257,14 +256,25 @@ def validation_report(df: DataFrame) -> DataFrame:
                 F.round(F.try_divide(F.col(f"{c}__nulls") * 100.0, F.col("_rows")), 2).alias(
                     "null_percentage"
                 ),
-                F.col(f"{c}__unique").cast("bigint").alias("unique_count"),
                 (F.col(f"{c}__min") if is_num else dnull).alias("min"),
                 (F.col(f"{c}__max") if is_num else dnull).alias("max"),
                 (F.col(f"{c}__mean") if is_num else dnull).alias("mean"),
                 (F.col(f"{c}__std") if is_num else dnull).alias("std"),
             )
         )
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    report = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    # both sides hold one row per column
+    return report.join(distinct_counts(df), "column", "left").select(
+        "column",
+        "dtype",
+        "null_count",
+        "null_percentage",
+        F.coalesce("unique", F.lit(0).cast("bigint")).alias("unique_count"),
+        "min",
+        "max",
+        "mean",
+        "std",
+    )
 
 
 # --------------------------------------------------------------------------

@@ -9,7 +9,8 @@ from sparkcast.operators import drift as D
 from sparkcast.operators import split as S
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
-from sparkcast.sources.tables import DEMAND_SQL, demand_view, read_table
+from sparkcast.session import scratch_dir
+from sparkcast.sources.tables import DEMAND_SQL, RAW_DEFECTS_SQL, demand_view, raw_with_defects, read_table
 
 NUMERIC = ["product_id", "category_id", "store_id", "historical_sales", "price", "economic_index"]
 CATEGORICAL = ["promotion_flag", "holiday_flag"]
@@ -161,21 +162,55 @@ def d3_dataset(spark, sf):
 QUALITY_COLS = NUMERIC + CATEGORICAL + ["target_demand"]
 
 
-@register(
-    "a20_quality",
-    f"""WITH s AS ({DEMAND_SIDES_SQL}),
-u AS ({" UNION ALL ".join(f"SELECT CASE WHEN side = 'ref' THEN 'reference' ELSE 'current' END AS side, '{c}' AS col, CAST({c} AS DOUBLE) AS value FROM s" for c in QUALITY_COLS)})
-SELECT side, col AS column, CAST(count(*) AS BIGINT) AS rows,
+def _quality_sql(src: str, by: str) -> str:
+    """A20 figures of ``src`` (columns side, col, value) per ``by``."""
+    keys = f"{by}, col" if by else "col"
+    names = f"{by}, col AS column" if by else "col AS column"
+    return f"""SELECT {names}, CAST(count(*) AS BIGINT) AS rows,
   CAST(count(*) FILTER (WHERE value IS NULL) AS BIGINT) AS missing,
-  CAST(count(DISTINCT value) AS BIGINT) AS distinct, {r("min(value)")} AS min, {r("max(value)")} AS max,
-  {r("avg(value)")} AS mean, {r("stddev_samp(value)")} AS std
-FROM u GROUP BY side, col""",
+  CAST(count(DISTINCT value) AS BIGINT) AS distinct, CAST(count(*) FILTER (WHERE value = 0) AS BIGINT) AS zeros,
+  {r("min(value)")} AS min, {r("quantile_cont(value, 0.25)")} AS q25, {r("quantile_cont(value, 0.5)")} AS q50,
+  {r("quantile_cont(value, 0.75)")} AS q75, {r("max(value)")} AS max,
+  {r("avg(value)")} AS mean, {r("stddev_samp(value)")} AS std, {r("any_value(top)")} AS top,
+  any_value(top_count) AS top_count
+FROM (SELECT *, first_value(value) OVER (PARTITION BY {keys} ORDER BY (value IS NULL), n DESC, value) AS top,
+             first_value(n) OVER (PARTITION BY {keys} ORDER BY (value IS NULL), n DESC, value) AS top_count
+      FROM (SELECT *, count(*) OVER (PARTITION BY {keys}, value) AS n FROM ({src}))) GROUP BY {keys}"""
+
+
+QUALITY_ROWS_SQL = "\nUNION ALL ".join(
+    f"SELECT CASE WHEN side = 'ref' THEN 'reference' ELSE 'current' END AS side, '{c}' AS col, "
+    f"CAST({c} AS DOUBLE) AS value FROM ({DEMAND_SIDES_SQL})"
+    for c in QUALITY_COLS
 )
+
+
+@register("a20_quality", _quality_sql(QUALITY_ROWS_SQL, "side"))
 def a20_quality(spark, sf):
     ref, cur = demand_sides(spark, sf)
     return round_doubles(D.quality_by_side(ref, cur, QUALITY_COLS))
 
 
+DEFECT_QUALITY_SQL = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS value FROM ({RAW_DEFECTS_SQL})" for c in QUALITY_COLS
+)
+
+
+@register("a20_quality_one_table", _quality_sql(DEFECT_QUALITY_SQL, ""))
+def a20_quality_one_table(spark, sf):
+    return round_doubles(D.quality_table(raw_with_defects(demand_view(spark, sf)), QUALITY_COLS))
+
+
+@register("d6_monitoring_tables", _quality_sql(QUALITY_ROWS_SQL, "side"))
+def d6_monitoring_tables(spark, sf):
+    """The quality table of a written run, read back."""
+    ref, cur = demand_sides(spark, sf)
+    run = D.monitoring_run(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, quality_cols=QUALITY_COLS)
+    path = scratch_dir(spark, "monitoring")
+    D.write_monitoring_run(run, path, "20240101_000000")
+    return round_doubles(spark.read.parquet(f"{path}/quality_20240101_000000"))
+
+
 @register(
     "d6_monitoring",
     _columns_sql()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 
 from sparkcast.operators import explore as X
 from sparkcast.operators import profile as P
@@ -145,14 +147,27 @@ def a6_corr(spark, sf):
     return round_doubles(P.correlation_matrix(demand_view(spark, sf), NUMERIC))
 
 
+#: Columns that move together with others, so that some pairs are reported.
+CORRELATED_SQL = (
+    f"SELECT *, target_demand * 3 + promotion_flag AS scaled_demand, 500 - price AS price_gap FROM ({DEMAND_SQL})"
+)
+CORRELATED = [*NUMERIC, "scaled_demand", "price_gap"]
+
+
 @register(
     "a7_high_corr",
-    f"WITH d AS ({DEMAND_SQL}) SELECT col1, col2, {r('round(c, 3)')} AS correlation FROM ("
-    + _u([f"SELECT '{a}' AS col1, '{b}' AS col2, {_corr_sql(a, b)} AS c FROM d" for a, b in combinations(NUMERIC, 2)])
+    f"WITH d AS ({CORRELATED_SQL}) SELECT col1, col2, {r('round(c, 3)')} AS correlation FROM ("
+    + _u([f"SELECT '{a}' AS col1, '{b}' AS col2, {_corr_sql(a, b)} AS c FROM d" for a, b in combinations(CORRELATED, 2)])
     + ") WHERE abs(c) > 0.7",
 )
 def a7_high_corr(spark, sf):
-    return round_doubles(P.high_correlations(demand_view(spark, sf), NUMERIC))
+    d = demand_view(spark, sf).withColumns(
+        {
+            "scaled_demand": F.col("target_demand") * 3 + F.col("promotion_flag"),
+            "price_gap": F.lit(500) - F.col("price"),
+        }
+    )
+    return round_doubles(P.high_correlations(d, CORRELATED))
 
 
 @register(
@@ -247,6 +262,11 @@ def _profile_sql() -> str:
             if a == b:
                 corr = f"CASE WHEN stddev_pop({a}) > 0 THEN 1.0 END"
             parts.append(row("correlation", a, b, f"round({corr}, 3)"))
+            if nums.index(a) < nums.index(b):
+                parts.append(row("high_correlation", a, b, f"round({corr}, 3)") + f" HAVING abs({corr}) > 0.7")
+    for c in RAW_COLUMNS:
+        kind = "replace(replace(lower(any_value(typeof(" + c + "))), 'integer', 'int'), 'varchar', 'string')"
+        parts.append(row("columns", c, "dtype", "NULL", kind))
     tgt = "target_demand"
     for m, e in [
         ("mean", f"round(avg({tgt}), 2)"),
@@ -316,6 +336,12 @@ def a12_counts(spark, sf):
 FROM ({DEMAND_SQL})"""
             for c in NUMERIC
         ]
+        + [
+            f"""SELECT 'date' AS column, CAST(count(x) AS BIGINT) AS count, {r("avg(x)")} AS mean,
+  {r("min(x)")} AS min, {r("quantile_cont(x, 0.25)")} AS p25, {r("quantile_cont(x, 0.5)")} AS p50,
+  {r("quantile_cont(x, 0.75)")} AS p75, {r("max(x)")} AS max, {r("stddev_samp(x)")} AS std
+FROM (SELECT date_diff('day', DATE '1970-01-01', date) AS x FROM ({DEMAND_SQL}))"""
+        ]
     ),
 )
 def a13_describe(spark, sf):

@@ -9,6 +9,8 @@ shrinks the data before the only shuffle.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -201,6 +203,26 @@ def save_report_json(report: DataFrame, path: str) -> str:
     return path
 
 
+def save_metrics_json(metrics: DataFrame, folder: str, name: str, timestamp: str) -> str:
+    """Metrics as JSON in ``<folder>/<name>_<timestamp>.json``."""
+    return save_report_json(metrics, f"{folder.rstrip('/')}/{name}_{timestamp}.json")
+
+
+@dataclass(frozen=True)
+class DataPaths:
+    """Where the pipeline's tables live, below one root."""
+
+    root: str
+    raw: str = "data/raw/demand.csv"
+    processed: str = "data/processed/demand.parquet"
+    features: str = "data/features"
+    models: str = "models"
+    reports: str = "reports"
+
+    def of(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{getattr(self, name)}"
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Turn NaN into NULL once, at the source, for every floating column."""
     cols: list[Column] = []
