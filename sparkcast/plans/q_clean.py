@@ -179,3 +179,17 @@ WHERE {" AND ".join(f"{c} IS NOT NULL" for c in RAW_COLUMNS)}""",
 )
 def c1_transform(spark, sf):
     return clean.transform_data(_raw(spark, sf))
+
+
+_HALVES = "SELECT event_id, CASE WHEN event_id % 10 < 8 THEN event_id % 2 END AS side FROM events"
+
+
+@register(
+    "p3_fractional_median",
+    f"""SELECT event_id, COALESCE(side, (SELECT quantile_cont(side, 0.5) FROM ({_HALVES}))) AS side
+FROM ({_HALVES})""",
+)
+def p3_fractional_median(spark, sf):
+    """An integer column whose median is 0.5 is widened, not rounded."""
+    side = F.when(F.col("event_id") % 10 < 8, F.col("event_id") % 2)
+    return clean.fill_median_mode(read_table(spark, sf, "events").select("event_id", side.alias("side")))

@@ -11,6 +11,7 @@ from sparkcast.operators import clean
 from sparkcast.operators import explore as X
 from sparkcast.operators import features as fe
 from sparkcast.operators import validate as V
+from sparkcast.operators.profile import table_info
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
 from sparkcast.plans.q_features import MINMAX, _sql_calendar_basic
@@ -197,3 +198,16 @@ def v8_validate_result(spark, sf):
     return spark.createDataFrame(
         [("raw", ok_raw, msg_raw), ("processed", ok_proc, msg_proc)], "schema string, ok boolean, message string"
     )
+
+
+@register(
+    "s2_nan_is_missing",
+    """SELECT 'value' AS column, CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (event_id % 7 = 0 OR value IS NULL) AS BIGINT) AS missing FROM events""",
+)
+def s2_nan_is_missing(spark, sf):
+    """NaN written to Parquet comes back as NULL."""
+    gaps = F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    path = scratch_dir(spark, "nan")
+    T.save_parquet(T.read_table(spark, sf, "events").select(gaps.alias("value")), path)
+    return table_info(T.load_parquet(spark, path)).select("column", "rows", "missing")
