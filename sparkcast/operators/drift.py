@@ -11,12 +11,10 @@ tests and thresholds here are our own, stated plainly:
   against reference proportions is reported alongside.
 * dataset drift: share of drifted columns >= 0.5.
 
-All columns are handled in one pass: the two sides are unioned with a
-``side`` tag, unpivoted to (column, value), counted per (column, value) and
-turned into cumulative distributions with a window per column over the
-*count* table (one row per distinct value). When a column has too many
-distinct values for one task, the running sums switch to the chunked
-prefix-sum form (ordinal + per-chunk totals), so no task holds a whole column.
+The two sides are unioned with a side tag, unpivoted to (column, value) and
+counted per (column, value), numeric and categorical columns apart. The
+cumulative distributions are chunked prefix sums over the *count* table (one
+row per distinct value), so no task holds a whole column.
 """
 
 from __future__ import annotations

@@ -29,6 +29,14 @@ SERIES = ("product_id", "store_id")
 # halo for the price-change columns (they look back one row)
 PRICE_CARRY_ROWS = 1
 
+def _median_over(col: Column, frame) -> Column:
+    """Spark has no median over a frame: sort the frame's few values."""
+    x = F.array_sort(F.collect_list(col).over(frame))
+    n = F.size(x)
+    low, high = F.floor((n + 1) / 2).cast("int"), F.floor((n + 2) / 2).cast("int")
+    return F.when(n > 0, (F.try_element_at(x, low) + F.try_element_at(x, high)) / 2)
+
+
 # Rolling statistic given by name (pandas aggregate names)
 ROLLING_AGGS = {
     "mean": F.avg,
@@ -38,7 +46,6 @@ ROLLING_AGGS = {
     "sum": F.sum,
     "count": F.count,
     "var": F.var_samp,
-    "median": F.median,
 }
 
 
@@ -67,11 +74,13 @@ def rolling_columns(
     for win in windows:
         frame = w.rowsBetween(-int(win), -1)
         for stat in stats:
-            if stat not in ROLLING_AGGS:
+            if stat == "median":
+                value = _median_over(F.col(target_col), frame)
+            elif stat in ROLLING_AGGS:
+                value = ROLLING_AGGS[stat](F.col(target_col)).over(frame)
+            else:
                 raise ValueError(f"unknown rolling statistic {stat!r}")
-            out[f"rolling_{win}_{stat}"] = _guard(
-                ROLLING_AGGS[stat](F.col(target_col)).over(frame), group_cols
-            )
+            out[f"rolling_{win}_{stat}"] = _guard(value, group_cols)
     return out
 
 

@@ -8,7 +8,7 @@ from sparkcast.functions import calendar
 from sparkcast.operators import features as fe
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
-from sparkcast.sources.tables import DEMAND_SQL, demand_view
+from sparkcast.sources.tables import DEMAND_SQL, demand_view, read_table
 
 BASE = [
     "date",
@@ -350,3 +350,33 @@ def c2_interactions(spark, sf):
             "demand_vs_historical",
         )
     )
+
+
+#: Events with one key that holds a third of all rows.
+HOT_EVENTS_SQL = "SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS key, ts, event_id, value FROM events"
+
+
+def hot_events(spark, sf):
+    key = F.when(F.col("event_id") % 3 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("user_id"))
+    return read_table(spark, sf, "events").select(key.alias("key"), "ts", "event_id", "value")
+
+
+@register(
+    "w3_hot_series",
+    f"""SELECT event_id, key,
+  {r("lag(value, 1) OVER w")} AS lag_1, {r("lag(value, 7) OVER w")} AS lag_7,
+  {r("min(value) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS rolling_7_min,
+  {r("max(value) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS rolling_7_max,
+  {r("median(value) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS rolling_7_median
+FROM ({HOT_EVENTS_SQL}) WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)""",
+)
+def w3_hot_series(spark, sf):
+    """Lags and rolling statistics where one series is a third of the table."""
+    ev = hot_events(spark, sf)
+    out = fe.create_lag_features(ev, "value", lags=(1, 7), group_cols=("key",), date_col="ts")
+    roll = fe.create_rolling_features(
+        out, "value", windows=(7,), stats=("min", "max", "median"), group_cols=("key",), date_col="ts"
+    )
+    return round_doubles(
+        roll.select("event_id", "key", "lag_1", "lag_7", "rolling_7_min", "rolling_7_max", "rolling_7_median")
+    )

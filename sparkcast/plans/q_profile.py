@@ -426,3 +426,22 @@ def a16_target_corr(spark, sf):
 )
 def t3_head(spark, sf):
     return X.head(demand_view(spark, sf), 10)
+
+
+WIDE = ["l_extendedprice", "l_orderkey", "l_partkey"]
+
+
+@register(
+    "a13_many_values",
+    _u(
+        [
+            f"""SELECT '{c}' AS column, CAST(count({c}) AS BIGINT) AS count, {r(f"quantile_cont({c}, 0.25)")} AS p25,
+  {r(f"quantile_cont({c}, 0.5)")} AS p50, {r(f"quantile_cont({c}, 0.75)")} AS p75 FROM lineitem"""
+            for c in WIDE
+        ]
+    ),
+)
+def a13_many_values(spark, sf):
+    """Exact quartiles of columns with about as many values as rows."""
+    li = read_table(spark, sf, "lineitem").select(*WIDE)
+    return round_doubles(P.describe(li, WIDE).select("column", "count", "p25", "p50", "p75"))
