@@ -145,13 +145,6 @@ def _lines(text: pa.Array) -> Lines:
     )
 
 
-def _group_by(keys: np.ndarray):
-    """(order, first positions and end) of equal keys."""
-    order = np.argsort(keys, kind="stable")
-    k = keys[order]
-    return order, np.concatenate((np.flatnonzero(np.diff(k, prepend=~k[:1])), [len(k)]))
-
-
 #: Words of parity bits of a long line's set; short lines send them folded to one.
 _BITS, _LONG = 4, 100
 _ENTRY = np.dtype(
@@ -168,13 +161,21 @@ _ENTRY = np.dtype(
 _SHORT = np.dtype(_ENTRY.descr[:-1])
 
 
-def _to_bytes(e: np.ndarray) -> tuple[bytes, bytes]:
-    """(short lines' entries without their bits, long lines' entries)."""
+def _dealt(e: np.ndarray, deal: np.ndarray, buckets: int):
+    """(entries of short lines without their bits, of long ones) by bucket, as bytes."""
     long = e["size"] > _LONG
-    short = np.empty(int((~long).sum()), _SHORT)
-    for name in _SHORT.names:
-        short[name] = e[name][~long]
-    return short.tobytes(), e[long].tobytes()
+    both = []
+    for part, kind in ((~long, _SHORT), (long, _ENTRY)):
+        at = np.flatnonzero(part)
+        at = at[np.argsort(deal[at], kind="stable")]
+        out = np.empty(len(at), kind)
+        for name in kind.names:
+            out[name] = e[name][at]
+        both.append((out, np.searchsorted(deal[at], np.arange(buckets + 1))))
+    (short, s), (long_, z) = both
+    for k in range(buckets):
+        if s[k + 1] > s[k] or z[k + 1] > z[k]:
+            yield k, short[s[k] : s[k + 1]].tobytes(), long_[z[k] : z[k + 1]].tobytes()
 
 
 class _Entries:
@@ -242,11 +243,10 @@ def prefix_entries(
                 e = np.concatenate([*parts, np.empty(0, _ENTRY)])
                 hot = table[e["word"] >> _U64(64 - COUNT_BITS)] >= hot_code
                 deal = np.where(hot, mix64(e["line"]), mix64(e["word"])) % _U64(buckets)
-                order, cut = _group_by(deal)
-                for a, z in zip(cut[:-1], cut[1:]):
-                    short, long = _to_bytes(e[order[a:z]])
-                    bucket = pa.array([int(deal[order[a]])], pa.int32())
-                    yield pa.RecordBatch.from_pydict({"bucket": bucket, "short": [short], "long": [long]})
+                for k, short, long in _dealt(e, deal.astype(np.int64), buckets):
+                    yield pa.RecordBatch.from_pydict(
+                        {"bucket": pa.array([k], pa.int32()), "short": [short], "long": [long]}
+                    )
 
     return docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "bucket int, short binary, long binary")
 
@@ -620,7 +620,7 @@ def similar_lines(
     lines' fate. An empty table gives an empty table. Other columns are not
     read.
     """
-    lines = _line_rows(docs, id_col, text_col)
+    lines = saved(_line_rows(docs, id_col, text_col), "line-rows")  # read twice below
     first = lines.groupBy("line").agg(F.min(F.struct("doc", "key", "line_no")).alias("first"))
     classes = saved(first, "line-classes")
     links = saved(line_links(docs, text_col, classes, threshold, sizes), "line-links")
