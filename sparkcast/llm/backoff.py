@@ -35,9 +35,10 @@ from sparkcast.llm.words import blocks, combine, mix64, split_words, text_bytes,
 
 ALPHA = 0.4
 #: Most words, and most pairs, that are counted ahead and broadcast.
-FREQUENT = 1 << 20
-#: Words of the corpus for each bucket of exploded pairs.
-WORDS_PER_BUCKET = 2_500_000
+FREQUENT = 1 << 18
+#: Words of the corpus for each task of exploded pairs, and buckets a task
+#: works through one after another.
+WORDS_PER_TASK, BUCKETS = 8_000_000, 8
 
 _U64 = np.uint64
 #: First word of a pair that has none.
@@ -179,25 +180,30 @@ def _sums(doc: np.ndarray, score: np.ndarray, seen: np.ndarray):
     )
 
 
-_PACKED = (
-    "bucket int, words binary, counts binary, befores binary, docs binary, doc binary, sums binary"
-)
+_PACKED = "task int, words binary, counts binary, cuts binary, befores binary, docs binary, doc binary, sums binary"
 _SUM = np.dtype([("doc", "<i8"), ("score", "<f8"), ("words", "<i8"), ("seen", "<i8")])
 _NO_SUMS = np.empty(0, _SUM)
 
 
-def exploded_pairs(docs: DataFrame, frequent, alpha: float, buckets: int) -> DataFrame:
-    """Packed (second word, first word, document) rows by bucket."""
+def exploded_pairs(docs: DataFrame, frequent, alpha: float, tasks: int, buckets: int = BUCKETS) -> DataFrame:
+    """Packed (second word, first word, document) rows by task.
 
-    def pack(bucket, w, v, d, key, sums):
-        order = np.argsort(w, kind="stable")
-        w, v, d = w[order], v[order], d[order]
-        head = np.flatnonzero(np.append(True, w[1:] != w[:-1])[: len(w)])
+    A row's entries are in order of bucket and second word: each second word
+    once with its count, ``cuts`` giving the first word of each bucket.
+    """
+
+    def pack(task, bucket, w, v, d, key, sums):
+        order = np.lexsort((w, bucket))
+        bucket, w, v, d = bucket[order], w[order], v[order], d[order]
+        new = np.ones(len(w), dtype=bool)
+        new[1:] = (w[1:] != w[:-1]) | (bucket[1:] != bucket[:-1])
+        head = np.flatnonzero(new)
         used, d = np.unique(d, return_inverse=True)
         return {
-            "bucket": pa.array([bucket], pa.int32()),
+            "task": pa.array([task], pa.int32()),
             "words": [w[head].tobytes()],
             "counts": [np.diff(np.append(head, len(w))).astype("<u4").tobytes()],
+            "cuts": [np.searchsorted(bucket[head], np.arange(buckets + 1)).astype("<i8").tobytes()],
             "befores": [v.tobytes()],
             "docs": [key[used].tobytes()],
             "doc": [d.astype("<u2" if len(used) <= 1 << 16 else "<u4").tobytes()],
@@ -226,13 +232,16 @@ def exploded_pairs(docs: DataFrame, frequent, alpha: float, buckets: int) -> Dat
                 sums = np.empty(len(k), _SUM)
                 sums["doc"], sums["score"], sums["words"], sums["seen"] = k, s, n, m
             i = np.flatnonzero(p_at < 0)
-            deal = np.where(w_at[i] >= 0, mix64(pair[i]), mix64(w[i])) % _U64(buckets)
-            order = np.argsort(deal, kind="stable")
-            cut = np.searchsorted(deal[order], np.arange(buckets + 1))
-            for p in range(buckets):
-                at = i[order[cut[p] : cut[p + 1]]]
+            deal = np.where(w_at[i] >= 0, mix64(pair[i]), mix64(w[i])) % _U64(tasks * buckets)
+            deal = deal.astype(np.int64)
+            order = np.argsort(deal // buckets, kind="stable")
+            cut = np.searchsorted(deal[order] // buckets, np.arange(tasks + 1))
+            for p in range(tasks):
+                o = order[cut[p] : cut[p + 1]]
+                at = i[o]
                 if len(at) or len(sums):
-                    yield pa.RecordBatch.from_pydict(pack(p, w[at], v[at], row[at], key, sums))
+                    row_ = pack(p, deal[o] % buckets, w[at], v[at], row[at], key, sums)
+                    yield pa.RecordBatch.from_pydict(row_)
                     sums = _NO_SUMS
 
     return docs.mapInArrow(run, _PACKED)
@@ -255,14 +264,14 @@ def _scored(kind, a, b, score, n, seen):
     )
 
 
-def score_buckets(packed: DataFrame, frequent, alpha: float, buckets: int) -> DataFrame:
-    """Scores of whole buckets, in three kinds of rows.
+def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets: int = BUCKETS) -> DataFrame:
+    """Scores of a task's buckets, in three kinds of rows.
 
     0: (document) sums; 1: (first word, document, n) whose count is still to
     be taken off; 2: (word, n), the count table of the other words.
     """
 
-    def settle(rows, f: Frequent, log_n):
+    def settle(rows, f: Frequent, log_n, sums):
         w_head = np.concatenate([r[0] for r in rows])
         n_head = np.concatenate([r[1] for r in rows]).astype(np.int64)
         v = np.concatenate([r[2] for r in rows])
@@ -287,8 +296,7 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, buckets: int) -> Da
         log_v = np.where(v_at >= 0, np.log(f.word_n)[v_at] if len(f.words) else 0.0, 0.0)
         back = np.log(n_word)[own] - log_n + np.where(v == _START, 0.0, np.log(alpha))
         score = np.where(seen, np.log(n_pair) - log_v, back)
-        k, s, n, m = _sums(d, score, seen)
-        yield _scored(0, k, k, s, n, m)
+        sums.append(_sums(d, score, seen))
         ask = np.flatnonzero(seen & (v_at < 0))
         if len(ask):
             order = ask[np.lexsort((d[ask], v[ask]))]
@@ -303,26 +311,31 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, buckets: int) -> Da
     def run(batches):
         f: Frequent = frequent.value
         log_n = np.log(max(f.total, 1))
-        rows, bucket = [], None
+        rows, sums = [], []
         for b in batches:
             for c in range(b.num_rows):
-                p, w, n, v, docs_, d, sums = (b.column(k)[c].as_py() for k in range(7))
-                if p != bucket and rows:
-                    yield from settle(rows, f, log_n)
-                    rows = []
-                bucket = p
-                docs_ = np.frombuffer(docs_, "<i8")
-                d = np.frombuffer(d, "<u2" if len(docs_) <= 1 << 16 else "<u4")
-                rows.append((np.frombuffer(w, "<u8"), np.frombuffer(n, "<u4"), np.frombuffer(v, "<u8"), docs_[d]))
-                if sums:
-                    s = np.frombuffer(sums, _SUM)
-                    yield _scored(0, s["doc"].copy(), s["doc"].copy(), s["score"], s["words"], s["seen"])
-        if rows:
-            yield from settle(rows, f, log_n)
-
-    return (
-        packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, _SCORED)
-    )
+                _, w, n, cuts, v, keys, d, ready = (b.column(k)[c].as_py() for k in range(8))
+                keys, n = np.frombuffer(keys, "<i8"), np.frombuffer(n, "<u4").astype(np.int64)
+                d = np.frombuffer(d, "<u2" if len(keys) <= 1 << 16 else "<u4")
+                cuts, ends = np.frombuffer(cuts, "<i8"), np.concatenate(([0], np.cumsum(n)))
+                rows.append((np.frombuffer(w, "<u8"), n, np.frombuffer(v, "<u8"), keys, d, cuts, ends))
+                if ready:
+                    x = np.frombuffer(ready, _SUM)
+                    sums.append((x["doc"], x["score"], x["words"], x["seen"]))
+        for k in range(buckets if rows else 0):
+            parts = []
+            for w, n, v, keys, d, cuts, ends in rows:
+                a, z = cuts[k], cuts[k + 1]
+                own = slice(ends[a], ends[z])
+                parts.append((w[a:z], n[a:z], v[own], keys[d[own]]))
+            yield from settle(parts, f, log_n, sums)
+        if sums:
+            doc, score, n, seen = (np.concatenate(x) for x in zip(*sums))
+            key, at = np.unique(doc, return_inverse=True)
+            add = lambda x: np.bincount(at, x, len(key))
+            yield _scored(0, key, key, add(score), add(n), add(seen))
+
+    return packed.repartitionById(tasks, "task").mapInArrow(run, _SCORED)
 
 
 def backoff_scores(
@@ -331,7 +344,7 @@ def backoff_scores(
     text_col: str = "text",
     alpha: float = ALPHA,
     frequent: int = FREQUENT,
-    words_per_bucket: int = WORDS_PER_BUCKET,
+    words_per_task: int = WORDS_PER_TASK,
 ) -> DataFrame:
     """One row per document: id, ``n_words``, ``n_seen``, ``log_score``, ``mean_log_score``.
 
@@ -348,9 +361,9 @@ def backoff_scores(
     texts = keyed.select("key", "text")
     found = frequent_items(texts, frequent)
     table = spark.sparkContext.broadcast(found)
-    buckets = max(8, -(-found.total // words_per_bucket))
+    tasks = max(12, -(-found.total // words_per_task))
     rows = saved(
-        score_buckets(exploded_pairs(texts, table, alpha, buckets), table, alpha, buckets),
+        score_buckets(exploded_pairs(texts, table, alpha, tasks), table, alpha, tasks),
         "backoff-scores",
     )
     asked = rows.where("kind = 1").select("a", "b", "n")

@@ -338,7 +338,7 @@ def test_backoff_scores(docs, rows, frequent):
                 score += math.log(count[w] / total) + (math.log(0.4) if i else 0)
         want.append((r["doc_id"] is None, r["doc_id"] or 0, len(ws), seen, round(score, 6)))
     assert copies
-    got = backoff.backoff_scores(docs, frequent=frequent, words_per_bucket=3000).collect()
+    got = backoff.backoff_scores(docs, frequent=frequent, words_per_task=3000).collect()
     have = [(r.doc_id is None, r.doc_id or 0, r.n_words, r.n_seen, r.log_score) for r in got]
     assert [x[:4] for x in sorted(have)] == [x[:4] for x in sorted(want)]
     for a, b in zip(sorted(have), sorted(want)):
