@@ -2,6 +2,7 @@
 catalogue equals DuckDB on sf0.001."""
 
 import os
+import subprocess
 import sys
 
 import pytest
@@ -50,9 +51,26 @@ def test_query_equals_duckdb(spark, name):
 
 def test_oracle_sql_needs_no_spark():
     """The driver may read oracle_sql() before any session exists."""
-    import subprocess
-
     code = "import sys; sys.path.insert(0, %r); import __spark_entry__ as E; print(len(E.oracle_sql()))" % ROOT
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr[-2000:]
     assert int(out.stdout.strip().splitlines()[-1]) >= 90
+
+
+def test_entry_without_the_optional_operators():
+    """The rest imports and registers when the llm folder is not there."""
+    code = (
+        "import sys\n"
+        "class Gone:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name == 'corpus_pipeline' or name.startswith('sparkcast.llm'):\n"
+        "            raise ImportError(name)\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        "import __spark_entry__ as e\n"
+        "names = set(e.queries())\n"
+        "assert 'c3_features_per_series' in names and 'pipeline' not in names\n"
+        "assert not any(n.startswith('op') for n in names)\n"
+        "assert set(e.oracle_sql()) <= names\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
