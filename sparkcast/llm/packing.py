@@ -24,13 +24,13 @@ from pyspark.sql import types as T
 
 from sparkcast.llm.queries import register
 from sparkcast.llm.shared import read_table
-from sparkcast.llm.words import Words, blocks, split_words, text_bytes
+from sparkcast.llm.words import Hasher, Words, blocks, split_words, text_bytes
 
 CAPACITY = 2048
 #: Id after each document's own ids.
 END_ID = 1
-#: Words whose ids a worker remembers at once (about 200 bytes each).
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers at once (about 60 bytes each).
+REMEMBERED = 1_500_000
 #: Sequences one task may number.
 TASK_BITS = 36
 
@@ -76,9 +76,11 @@ class WordTokenizer:
         self.forget()
 
     def forget(self):
-        self.known: dict[str, int] = {}
-        self.flat = np.empty(0, dtype=np.uint32)
-        self.first = np.zeros(1, dtype=np.int64)
+        # known words: hashes in order with the words' numbers; by number, the
+        # words' bytes and their ids
+        self.hash, self.number = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.text, self.text_first = np.empty(0, np.uint8), np.zeros(1, np.int64)
+        self.flat, self.first = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     @classmethod
     def load(cls, path: str) -> WordTokenizer:
@@ -86,25 +88,51 @@ class WordTokenizer:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
-    def lookup(self, words: list[str]) -> np.ndarray:
+    def _find(self, data, rows, h) -> np.ndarray:
+        """Numbers of the words whose bytes are known, -1 for the others."""
+        if not len(self.hash):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        number = np.where(self.hash[at] == h, self.number[at], -1)
+        i = np.flatnonzero(number >= 0)
+        size, start = (rows[1:] - rows[:-1])[i], self.text_first[number[i]]
+        same = self.text_first[number[i] + 1] - start == size
+        number[i[~same]] = -1
+        i, size, start = i[same], size[same], start[same]
+        head = np.cumsum(size) - size
+        step = np.arange(int(size.sum())) - np.repeat(head, size)
+        apart = data[np.repeat(rows[i], size) + step] != self.text[np.repeat(start, size) + step]
+        if len(i):
+            number[i[np.add.reduceat(apart, head, dtype=np.int64) > 0]] = -1
+        return number
+
+    def lookup(self, words: pa.Array) -> np.ndarray:
         """Each word's number; word k has the ids ``flat[first[k]:first[k + 1]]``."""
-        if len(self.known) > REMEMBERED:
+        if len(self.first) > REMEMBERED:
             self.forget()
-        get = self.known.get
-        at = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(at < 0)
+        data, rows = text_bytes(words)
+        h = Hasher(data)(rows[:-1], rows[1:])
+        number = self._find(data, rows, h)
+        missing = np.flatnonzero(number < 0)
         if len(missing):
-            new = [words[k] for k in missing.tolist()]
+            new = words.take(pa.array(missing))
             found = [
-                e.ids for e in self.encoder.encode_batch_fast(new, add_special_tokens=False)
+                e.ids
+                for e in self.encoder.encode_batch_fast(new.to_pylist(), add_special_tokens=False)
             ]
-            at[missing] = number = np.arange(len(self.known), len(self.known) + len(new))
-            self.known.update(zip(new, number.tolist()))
+            number[missing] = own = len(self.first) - 1 + np.arange(len(missing))
+            order = np.argsort(h[missing])
+            at = np.searchsorted(self.hash, h[missing][order])
+            self.hash = np.insert(self.hash, at, h[missing][order])
+            self.number = np.insert(self.number, at, own[order])
+            text, ends = text_bytes(new)
+            self.text = np.concatenate((self.text, text))
+            self.text_first = np.concatenate((self.text_first, self.text_first[-1] + ends[1:]))
             size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             ids = np.array(list(chain.from_iterable(found)), dtype=np.uint32)
             self.flat = np.concatenate((self.flat, ids))
             self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(size)))
-        return at
+        return number
 
     def encode(self, text: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, first id of each row and the total); rows end in ``end_id``."""
@@ -116,7 +144,7 @@ class WordTokenizer:
         coded = pa.LargeStringArray.from_buffers(
             len(w), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[at])
         ).dictionary_encode()
-        word = self.lookup(coded.dictionary.to_pylist())
+        word = self.lookup(coded.dictionary)
         n_ids = np.append(np.diff(self.first)[word], 1)
         first = np.append(self.first[:-1][word], 0)
         code = np.insert(coded.indices.to_numpy(), w.first[1:], len(word))
