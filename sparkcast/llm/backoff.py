@@ -38,7 +38,7 @@ ALPHA = 0.4
 FREQUENT = 1 << 18
 #: Words of the corpus for each task of exploded pairs, and buckets a task
 #: works through one after another.
-WORDS_PER_TASK, BUCKETS = 8_000_000, 8
+WORDS_PER_TASK, BUCKETS = 6_000_000, 8
 
 _U64 = np.uint64
 #: First word of a pair that has none.
@@ -55,10 +55,10 @@ def _tokens(text: pa.Array):
     return h, before, combine(before, h), w.row_of()
 
 
-def _cuts(batches):
-    """The batches again, in slices of about 16 MB of text."""
+def _cuts(batches, megabytes: int = 4):
+    """The batches again, in slices of about so much text."""
     for b in batches:
-        for i, j in blocks(b.column(1), 16 << 20):
+        for i, j in blocks(b.column(1), megabytes << 20):
             yield b.slice(i, j - i)
 
 
@@ -106,7 +106,7 @@ def frequent_items(docs: DataFrame, limit: int = FREQUENT) -> Frequent:
     spark = docs.sparkSession
 
     def name(batches):
-        for b in _cuts(batches):
+        for b in _cuts(batches, 8):
             h, before, pair, _ = _batch_tokens(b.column(1))
             rows = [(2, np.zeros(1, np.uint64), np.array([len(h)]))]
             for kind, items in ((0, h), (1, pair[before != _START])):
@@ -134,38 +134,43 @@ def frequent_items(docs: DataFrame, limit: int = FREQUENT) -> Frequent:
     shared = spark.sparkContext.broadcast((words, pairs))
 
     def count(batches):
+        tables = shared.value
+        size = sum(map(len, tables))
+        n = np.zeros(size, np.int64)
+        low = np.full(size, np.iinfo(np.int64).max)
+        high = np.full(size, np.iinfo(np.int64).min)
         for b in _cuts(batches):
             h, before, pair, row = _batch_tokens(b.column(1))
             key = b.column(0).to_numpy()
-            out = []
-            for kind, items, table in ((0, h, shared.value[0]), (1, pair, shared.value[1])):
+            for base, items, table in ((0, h, tables[0]), (len(tables[0]), pair, tables[1])):
                 at = _find(table, items)
-                if kind:
+                if base or items is pair:
                     at[before == _START] = -1
                 hit = np.flatnonzero(at >= 0)
                 order = hit[np.argsort(at[hit], kind="stable")]
-                at, doc = at[order], key[row[order]]
+                at, doc = at[order] + base, key[row[order]]
                 head = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
-                low = np.minimum.reduceat(doc, head) if len(head) else doc
-                high = np.maximum.reduceat(doc, head) if len(head) else doc
-                out.append((np.full(len(head), kind), at[head], np.diff(np.append(head, len(at))), low, high))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c).astype(t)) for c, t in zip(zip(*out), (np.int32, np.int64, np.int64, np.int64, np.int64))],
-                names=["kind", "at", "n", "low", "high"],
-            )
+                if len(head):
+                    own = at[head]
+                    n[own] += np.diff(np.append(head, len(at)))
+                    low[own] = np.minimum(low[own], np.minimum.reduceat(doc, head))
+                    high[own] = np.maximum(high[own], np.maximum.reduceat(doc, head))
+        met = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.astype(np.int64)) for x in (met, n[met], low[met], high[met])],
+            names=["at", "n", "low", "high"],
+        )
 
     exact = (
-        docs.mapInArrow(count, "kind int, at long, n long, low long, high long")
-        .groupBy("kind", "at")
+        docs.mapInArrow(count, "at long, n long, low long, high long")
+        .groupBy("at")
         .agg(F.sum("n").alias("n"), (F.min("low") != F.max("high")).alias("shared"))
         .toArrow()
     )
-    kind, at, n = (exact[c].to_numpy() for c in ("kind", "at", "n"))
-    two = exact["shared"].to_numpy()
-    word_n, pair_n, pair_two = np.ones(len(words)), np.ones(len(pairs)), np.zeros(len(pairs), bool)
-    word_n[at[kind == 0]] = n[kind == 0]
-    pair_n[at[kind == 1]] = n[kind == 1]
-    pair_two[at[kind == 1]] = two[kind == 1].astype(bool)
+    at = exact["at"].to_numpy()
+    n, two = np.ones(len(words) + len(pairs)), np.zeros(len(words) + len(pairs), bool)
+    n[at], two[at] = exact["n"].to_numpy(), exact["shared"].to_numpy().astype(bool)
+    word_n, pair_n, pair_two = n[: len(words)], n[len(words) :], two[len(words) :]
     return Frequent(int(total), words, word_n, pairs, pair_n, pair_two)
 
 
@@ -365,6 +370,7 @@ def backoff_scores(
     rows = saved(
         score_buckets(exploded_pairs(texts, table, alpha, tasks), table, alpha, tasks),
         "backoff-scores",
+        "kind",
     )
     asked = rows.where("kind = 1").select("a", "b", "n")
     counts = rows.where("kind = 2").select("a", F.col("n").alias("count"))
