@@ -185,7 +185,9 @@ def _sums(doc: np.ndarray, score: np.ndarray, seen: np.ndarray):
     )
 
 
-_PACKED = "task int, words binary, counts binary, cuts binary, befores binary, docs binary, doc binary, sums binary"
+_PACKED = "task int, words binary, counts binary, cuts binary, befores binary, others binary, docs binary, doc binary, sums binary"
+#: Numbers of first words that the broadcast table does not hold begin here.
+_OTHER = 1 << 30
 _SUM = np.dtype([("doc", "<i8"), ("score", "<f8"), ("words", "<i8"), ("seen", "<i8")])
 _NO_SUMS = np.empty(0, _SUM)
 
@@ -194,22 +196,28 @@ def exploded_pairs(docs: DataFrame, frequent, alpha: float, tasks: int, buckets:
     """Packed (second word, first word, document) rows by task.
 
     A row's entries are in order of bucket and second word: each second word
-    once with its count, ``cuts`` giving the first word of each bucket.
+    once with its count, ``cuts`` giving the first word of each bucket. First
+    words are numbers: of a frequent word, or (from ``_OTHER`` on) of one in
+    the row's ``others``.
     """
 
-    def pack(task, bucket, w, v, d, key, sums):
+    def pack(task, bucket, w, v, d, key, sums, words):
         order = np.lexsort((w, bucket))
         bucket, w, v, d = bucket[order], w[order], v[order], d[order]
         new = np.ones(len(w), dtype=bool)
         new[1:] = (w[1:] != w[:-1]) | (bucket[1:] != bucket[:-1])
         head = np.flatnonzero(new)
         used, d = np.unique(d, return_inverse=True)
+        number = _find(words, v)
+        others, at = np.unique(v[number < 0], return_inverse=True)
+        number[number < 0] = _OTHER + at
         return {
             "task": pa.array([task], pa.int32()),
             "words": [w[head].tobytes()],
             "counts": [np.diff(np.append(head, len(w))).astype("<u4").tobytes()],
             "cuts": [np.searchsorted(bucket[head], np.arange(buckets + 1)).astype("<i8").tobytes()],
-            "befores": [v.tobytes()],
+            "befores": [number.astype("<u4").tobytes()],
+            "others": [others.tobytes()],
             "docs": [key[used].tobytes()],
             "doc": [d.astype("<u2" if len(used) <= 1 << 16 else "<u4").tobytes()],
             "sums": [sums.tobytes()],
@@ -245,7 +253,7 @@ def exploded_pairs(docs: DataFrame, frequent, alpha: float, tasks: int, buckets:
                 o = order[cut[p] : cut[p + 1]]
                 at = i[o]
                 if len(at) or len(sums):
-                    row_ = pack(p, deal[o] % buckets, w[at], v[at], row[at], key, sums)
+                    row_ = pack(p, deal[o] % buckets, w[at], v[at], row[at], key, sums, f.words)
                     yield pa.RecordBatch.from_pydict(row_)
                     sums = _NO_SUMS
 
@@ -319,20 +327,26 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets
         rows, sums = [], []
         for b in batches:
             for c in range(b.num_rows):
-                _, w, n, cuts, v, keys, d, ready = (b.column(k)[c].as_py() for k in range(8))
+                _, w, n, cuts, v, others, keys, d, ready = (b.column(k)[c].as_py() for k in range(9))
                 keys, n = np.frombuffer(keys, "<i8"), np.frombuffer(n, "<u4").astype(np.int64)
                 d = np.frombuffer(d, "<u2" if len(keys) <= 1 << 16 else "<u4")
                 cuts, ends = np.frombuffer(cuts, "<i8"), np.concatenate(([0], np.cumsum(n)))
-                rows.append((np.frombuffer(w, "<u8"), n, np.frombuffer(v, "<u8"), keys, d, cuts, ends))
+                v, others = np.frombuffer(v, "<u4"), np.frombuffer(others, "<u8")
+                rows.append((np.frombuffer(w, "<u8"), n, v, others, keys, d, cuts, ends))
                 if ready:
                     x = np.frombuffer(ready, _SUM)
                     sums.append((x["doc"], x["score"], x["words"], x["seen"]))
         for k in range(buckets if rows else 0):
             parts = []
-            for w, n, v, keys, d, cuts, ends in rows:
+            for w, n, v, others, keys, d, cuts, ends in rows:
                 a, z = cuts[k], cuts[k + 1]
                 own = slice(ends[a], ends[z])
-                parts.append((w[a:z], n[a:z], v[own], keys[d[own]]))
+                number = v[own].astype(np.int64)
+                other = number >= _OTHER
+                before = np.empty(len(number), np.uint64)
+                before[~other] = f.words[number[~other]]
+                before[other] = others[number[other] - _OTHER]
+                parts.append((w[a:z], n[a:z], before, keys[d[own]]))
             yield from settle(parts, f, log_n, sums)
         if sums:
             doc, score, n, seen = (np.concatenate(x) for x in zip(*sums))
