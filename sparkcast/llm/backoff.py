@@ -38,7 +38,7 @@ ALPHA = 0.4
 FREQUENT = 1 << 18
 #: Words of the corpus for each task of exploded pairs, and buckets a task
 #: works through one after another.
-WORDS_PER_TASK, BUCKETS = 6_000_000, 8
+WORDS_PER_TASK, BUCKETS = 6_000_000, 16
 
 _U64 = np.uint64
 #: First word of a pair that has none.
@@ -226,7 +226,7 @@ def exploded_pairs(docs: DataFrame, frequent, alpha: float, tasks: int, buckets:
     def run(batches):
         f: Frequent = frequent.value
         log_w, log_p, log_n = np.log(f.word_n), np.log(f.pair_n), np.log(max(f.total, 1))
-        for b in _cuts(batches):
+        for b in _cuts(batches, 8):
             key = b.column(0).to_numpy()
             w, v, pair, row = _batch_tokens(b.column(1))
             w_at, p_at = _find(f.words, w), _find(f.pairs, pair)
@@ -327,13 +327,15 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets
         rows, sums = [], []
         for b in batches:
             for c in range(b.num_rows):
-                _, w, n, cuts, v, others, keys, d, ready = (b.column(k)[c].as_py() for k in range(9))
+                w, n, cuts, v, others, keys, d, ready = (
+                    b.column(k)[c].as_buffer() for k in range(1, 9)  # no copies
+                )
                 keys, n = np.frombuffer(keys, "<i8"), np.frombuffer(n, "<u4").astype(np.int64)
                 d = np.frombuffer(d, "<u2" if len(keys) <= 1 << 16 else "<u4")
                 cuts, ends = np.frombuffer(cuts, "<i8"), np.concatenate(([0], np.cumsum(n)))
                 v, others = np.frombuffer(v, "<u4"), np.frombuffer(others, "<u8")
                 rows.append((np.frombuffer(w, "<u8"), n, v, others, keys, d, cuts, ends))
-                if ready:
+                if ready.size:
                     x = np.frombuffer(ready, _SUM)
                     sums.append((x["doc"], x["score"], x["words"], x["seen"]))
         for k in range(buckets if rows else 0):
