@@ -30,7 +30,7 @@ CAPACITY = 2048
 #: Id after each document's own ids.
 END_ID = 1
 #: Words whose ids a worker remembers at once (about 60 bytes each).
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: Sequences one task may number.
 TASK_BITS = 36
 
