@@ -6,10 +6,11 @@ other rules compare a document with its own language and source. Each of their
 features is an integer (per mille, or hundredths of a character), so a
 histogram over that grid is a quantile sketch that merges by adding counts:
 ``groupBy(group, feature, bin).count()``, combined before the shuffle. From it
-come the quartiles of each (language, source), of each language and of
-everything; a group with few documents takes the next wider one's. The limits
-(quartile +- 3 x interquartile range, and a margin for groups without spread)
-are joined back and filter the documents.
+come the limits (quartile +- 3 x interquartile range, and a margin for groups
+without spread) of each (language, source) and of each language. A source
+of n documents is judged by a blend of its own limits, with weight n, and its
+language's, with a fixed weight: no size switches, and no other language
+counts. The blended limits are joined back and filter the documents.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from sparkcast.llm.words import (
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-#: Documents a group needs before its own quartiles count.
+#: Weight of the language's limits, in documents, beside a source's own.
 MIN_GROUP = 100
 FENCE = 3
 #: Last bin of the sketch; larger values share it.
@@ -163,8 +164,8 @@ def quantile_sketch(feats: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
-def sketch_limits(sketch: DataFrame, groups: list[str], min_group: int = MIN_GROUP) -> DataFrame:
-    """(groups, rule, low, high) of the groups with enough documents.
+def sketch_limits(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups, rule, total, low, high) of each group.
 
     Windows are over the bins of one group: at most ``TOP_BIN`` + 1 rows.
     """
@@ -186,10 +187,10 @@ def sketch_limits(sketch: DataFrame, groups: list[str], min_group: int = MIN_GRO
     return (
         ranked.groupBy(*groups, "rule")
         .agg(q(1).alias("q1"), q(3).alias("q3"), F.max("total").alias("total"))
-        .where(F.col("total") >= min_group)
         .select(
             *groups,
             "rule",
+            "total",
             F.when(two_sided, F.col("q1") - spread).otherwise(-1).alias("low"),
             (F.col("q3") + spread).alias("high"),
         )
@@ -199,16 +200,17 @@ def sketch_limits(sketch: DataFrame, groups: list[str], min_group: int = MIN_GRO
 def limits_by_group(feats: DataFrame, lang_col="lang", source_col="source", min_group=MIN_GROUP) -> DataFrame:
     """One row per (language, source) seen: ``low_<rule>`` and ``high_<rule>``."""
     fine = quantile_sketch(feats, ["_lang", "_source"]).checkpoint()
-    own = sketch_limits(fine, ["_lang", "_source"], min_group)
-    by_lang = sketch_limits(fine, ["_lang"], min_group)
-    of_all = sketch_limits(fine, [], 1)
-    pairs = fine.select("_lang", "_source").distinct()
-    rules = pairs.select("*", F.explode(F.array(*[F.lit(r) for r in RULES])).alias("rule"))
-    picked = (
-        rules.join(own.select("_lang", "_source", "rule", F.struct("low", "high").alias("l1")), ["_lang", "_source", "rule"], "left")
-        .join(by_lang.select("_lang", "rule", F.struct("low", "high").alias("l2")), ["_lang", "rule"], "left")
-        .join(of_all.select("rule", F.struct("low", "high").alias("l3")), ["rule"], "left")
-        .withColumn("l", F.coalesce("l1", "l2", "l3"))
+    own = sketch_limits(fine, ["_lang", "_source"])
+    by_lang = sketch_limits(fine, ["_lang"]).select(
+        "_lang", "rule", F.col("low").alias("wide_low"), F.col("high").alias("wide_high")
+    )
+
+    def blend(side):
+        both = F.col(side) * F.col("total") + F.col(f"wide_{side}") * min_group
+        return F.floor(both / (F.col("total") + min_group)).cast("long").alias(side)
+
+    picked = own.join(by_lang, ["_lang", "rule"]).select(
+        "_lang", "_source", "rule", F.struct(blend("low"), blend("high")).alias("l")
     )
     return picked.groupBy("_lang", "_source").agg(
         *[

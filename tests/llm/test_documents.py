@@ -1,6 +1,7 @@
 """Document operators against brute force, on messy rows and on a real table."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -169,6 +170,23 @@ def test_quality_on_labels(spark):
     assert r[r.quality == 0].kept.mean() < 0.2
 
 
+def of_length(rng, n, words=40):
+    """A text of words of about ``n`` characters."""
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(n + i % 3 - 1)) for i in range(words))
+
+
+@pytest.mark.parametrize("n", [12, 99, 100])
+def test_quality_of_a_rare_language(spark, n):
+    rng = random.Random(7)
+    rows = [(i, of_length(rng, 5), "en", f"s{i % 2}") for i in range(300)]
+    rows += [(1000 + i, of_length(rng, 12), "xx", "s0") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert quality.quality_rules(docs).where("kept").count() == 300 + n
+    # an outlier is still told apart in the rare language
+    more = docs.unionByName(docs.limit(1).selectExpr("-1L doc_id", f"'{of_length(rng, 45)}' text", "'xx' lang", "'s0' source"))
+    assert [r.doc_id for r in quality.quality_rules(more).where("not kept").collect()] == [-1]
+
+
 # SimHash
 
 
