@@ -3,8 +3,9 @@
 Per document: word, character, symbol, line and repetition counts of the whole
 text. Two fixed rules (too few words, too much repetition) come first; the
 other rules compare a document with its own language and source. Each of their
-features is an integer (per mille, or hundredths of a character), so a
-histogram over that grid is a quantile sketch that merges by adding counts:
+features is an integer (per mille, or hundredths of a character) of any size,
+so a histogram over that grid (of the leading ``BIN_BITS`` bits, for large
+values) is a quantile sketch without a top that merges by adding counts:
 ``groupBy(group, feature, bin).count()``, combined before the shuffle. From it
 come the limits (quartile +- 3 x interquartile range, and a margin for groups
 without spread) of each (language, source) and of each language. A source
@@ -44,7 +45,9 @@ WINDOW = 8
 #: Weight of the language's limits, in documents, beside a source's own.
 MIN_GROUP = 100
 FENCE = 3
-#: Last bin of the sketch; larger values share it.
+#: Bits of a value that name its bin: exact below 2^13, to 1 / 4096 above.
+BIN_BITS = 13
+#: Last bin of the SQL text; larger values share it there.
 TOP_BIN = 5000
 #: feature -> (numerator, denominator, scale, margin, two-sided)
 RULES = {
@@ -141,8 +144,22 @@ def with_features(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
 
 def _value(rule: str):
     top, below, scale, _, _ = RULES[rule]
-    v = F.floor(F.col(top) * scale / F.greatest(F.col(below), F.lit(1))).cast("long")
-    return F.least(v, F.lit(TOP_BIN))
+    return F.floor(F.col(top) * scale / F.greatest(F.col(below), F.lit(1))).cast("long")
+
+
+def _dropped_bits(value):
+    return F.greatest(F.length(F.bin(value)) - BIN_BITS, F.lit(0))
+
+
+def _bin(value):
+    """Least value of a value's bin."""
+    bits = _dropped_bits(value)
+    return F.call_function("shiftleft", F.call_function("shiftright", value, bits), bits)
+
+
+def _bin_end(least):
+    """Largest value of the bin with this least value."""
+    return least + F.call_function("shiftleft", F.lit(1).cast("long"), _dropped_bits(least)) - 1
 
 
 def _base_failed():
@@ -154,7 +171,7 @@ def _base_failed():
 def quantile_sketch(feats: DataFrame, groups: list[str]) -> DataFrame:
     """Counts by (groups, rule, bin) over the documents the base rules pass."""
     values = F.array(
-        *[F.struct(F.lit(r).alias("rule"), _value(r).alias("bin")) for r in RULES]
+        *[F.struct(F.lit(r).alias("rule"), _bin(_value(r)).alias("bin")) for r in RULES]
     )
     return (
         feats.where(~_base_failed())
@@ -167,7 +184,8 @@ def quantile_sketch(feats: DataFrame, groups: list[str]) -> DataFrame:
 def sketch_limits(sketch: DataFrame, groups: list[str]) -> DataFrame:
     """(groups, rule, total, low, high) of each group.
 
-    Windows are over the bins of one group: at most ``TOP_BIN`` + 1 rows.
+    Windows are over the bins of one group: at most 2^13 rows, and 2^12 for
+    each doubling of the largest value beyond.
     """
     merged = sketch.groupBy(*groups, "rule", "bin").agg(F.sum("n").alias("n"))
     by_bin = Window.partitionBy(*groups, "rule").orderBy("bin")
@@ -186,7 +204,7 @@ def sketch_limits(sketch: DataFrame, groups: list[str]) -> DataFrame:
     spread = (F.col("q3") - F.col("q1")) * FENCE + margin
     return (
         ranked.groupBy(*groups, "rule")
-        .agg(q(1).alias("q1"), q(3).alias("q3"), F.max("total").alias("total"))
+        .agg(q(1).alias("q1"), _bin_end(q(3)).alias("q3"), F.max("total").alias("total"))
         .select(
             *groups,
             "rule",
@@ -235,7 +253,7 @@ def judge(feats: DataFrame, limits: DataFrame) -> DataFrame:
         [
             _value(r).between(
                 F.coalesce(F.col(f"_low_{r}"), F.lit(-1)),
-                F.coalesce(F.col(f"_high_{r}"), F.lit(TOP_BIN)),
+                F.coalesce(F.col(f"_high_{r}"), _value(r)),
             )
             for r in RULES
         ],

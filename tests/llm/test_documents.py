@@ -187,6 +187,15 @@ def test_quality_of_a_rare_language(spark, n):
     assert [r.doc_id for r in quality.quality_rules(more).where("not kept").collect()] == [-1]
 
 
+def test_quality_of_long_words(spark):
+    rng = random.Random(8)
+    rows = [(i, of_length(rng, 48 + i % 40), "zh", "s") for i in range(200)]
+    rows += [(900, of_length(rng, 40), "zh", "s"), (901, of_length(rng, 10000), "zh", "s")]
+    rows += [(1000 + i, of_length(rng, 20011), "ja", "s") for i in range(30)]  # no spread
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [r.doc_id for r in quality.quality_rules(docs).where("not kept").collect()] == [901]
+
+
 # SimHash
 
 
