@@ -66,6 +66,29 @@ def test_top_k_on_the_table(spark):
     assert sorted(map(tuple, got)) == top_k_brute(rows, queries, 5)
 
 
+@pytest.mark.parametrize("few", [0, 4096])
+def test_top_k_of_large_vectors_and_all_lengths(spark, few, monkeypatch):
+    monkeypatch.setattr(topk, "FEW", few)
+    rng = np.random.default_rng(4)
+    rows = []
+    for size, base in ((6, 0), (3, 1000)):
+        for i in range(150 if size == 6 else 90):
+            scale = (1.0, 5e3, 5e4, 2e5)[i % 7] if i % 7 < 4 else 1.0
+            rows.append((base + i, [float(c) for c in rng.normal(size=size) * scale]))
+    rows += [(2000, [4096.0] + [0.0] * 5), (2001, [0.0] * 5 + [1e30]), (2002, [0.0, 0.0, -1e300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for i, c in ((2001, 5), (2002, 2)):  # its score with these queries fits
+        df = df.withColumn("embedding", F.expr(f"CASE WHEN size(embedding) = {c + 1} AND vec_id < 2000 THEN concat(slice(embedding, 1, {c}), array(0D)) ELSE embedding END"))
+    rows = [(r.vec_id, list(r.embedding)) for r in df.collect()]
+    queries = [0, 1, 2, 3, 7, 8, 9, 10, 2000, 1000, 1001, 1002, 1005]
+    got = topk.exact_top_k(df, df.where(F.col("vec_id").isin(queries)), 5, part=40, query_block=3)
+    want = []
+    for size in (6, 3):
+        own = [r for r in rows if len(r[1]) == size]
+        want += top_k_brute(own, [q for q in queries if q in dict(own)], 5)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 # WARC
 
 
