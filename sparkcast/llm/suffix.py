@@ -126,8 +126,11 @@ def suffix_marks(docs: DataFrame, text_col: str, hot: int) -> np.ndarray:
         total = np.add.reduceat(n, head) if len(head) else n
         again = total > 1
         cells = (keys[head][again] >> _U64(64 - MARK_BITS)).astype(np.int64)
-        # a count of 2^20 marks a hot cell
-        yield from sparse_rows(cells, np.where(total[again] >= hot, 1 << 20, 1), MARK_BITS)
+        # a count of 2^20 marks a hot cell, once a cell: rows need unique cells
+        marks = np.where(total[again] >= hot, 1 << 20, 1)
+        first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])[: len(cells)])
+        most = np.maximum.reduceat(marks, first) if len(first) else marks
+        yield from sparse_rows(cells[first], most, MARK_BITS)
 
     found = (
         docs.select(F.col(f"`{text_col}`"))

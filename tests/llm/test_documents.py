@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkcast.llm import backoff, linedup, mix, packing, quality, simhash, suffix
@@ -339,6 +340,16 @@ def test_repeated_passages(docs, hot):
     assert all(r.stop - r.start >= 50 for r in got)
 
 
+def test_hot_cells_keep_their_marks(spark):
+    # so many keys that some share a cell of the table with a hot one
+    rng = np.random.default_rng(9)
+    hot, cold = (" ".join(map(str, rng.integers(1 << 40, size=500_000))) for _ in range(2))
+    docs = spark.createDataFrame([(hot,)] * 5 + [(cold,)] * 2, "text string").coalesce(1)
+    key = suffix._suffixes(pa.array([hot]))[3]
+    marks = suffix.suffix_marks(docs, "text", 5)
+    assert suffix.marked(marks[1], key >> np.uint64(64 - suffix.MARK_BITS)).all()
+
+
 # scores
 
 
