@@ -213,7 +213,8 @@ def _settled(doc, text, at, h):
     head = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
     size = np.diff(np.append(head, len(h)))
     last = head + size - 1
-    across = np.repeat(doc[head] != doc[last], size)  # two documents at least
+    # two documents at least: rows that differ in id or text
+    across = np.repeat((doc[head] != doc[last]) | (text[head] != text[last]), size)
     first = np.zeros(len(h), dtype=bool)
     first[head] = True
     # rows equal in id and text are one place
@@ -279,8 +280,9 @@ def repeated_passages(
     ``first`` false leaves one copy of everything.
 
     A document that repeats only itself has no rows, nor have shorter, empty
-    or NULL texts. NULL ids are one document, before all others. Rows equal in
-    id and text are one. An empty table gives an empty table. Other columns
+    or NULL texts. Different texts are different documents, also under one id
+    or NULL ids, which come before all others. Rows equal in id and text are
+    one. An empty table gives an empty table. Other columns
     are not read.
     """
     marks = docs.sparkSession.sparkContext.broadcast(suffix_marks(docs, text_col, hot))
@@ -295,8 +297,8 @@ def repeated_passages(
     place = F.struct("doc", "text_key", "start")
     shared = (
         each.groupBy("h")
-        .agg(F.min(place).alias("at"), F.max("doc").alias("last"))
-        .where("last <> at.doc")
+        .agg(F.min(place).alias("at"), F.max(F.struct("doc", "text_key")).alias("last"))
+        .where("last.doc <> at.doc OR last.text_key <> at.text_key")
     )
     warm = each.distinct().join(shared, "h").select(
         "doc",

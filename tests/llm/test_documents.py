@@ -340,6 +340,21 @@ def test_repeated_passages(docs, hot):
     assert all(r.stop - r.start >= 50 for r in got)
 
 
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_passages_of_texts_under_one_id(spark, hot):
+    rng = random.Random(10)
+    shared, *ends = (" ".join(f"w{rng.random()}" for _ in range(60)) for _ in range(5))
+    rows = [(None, f"{shared} {ends[0]}"), (None, f"{ends[1]} {shared}")]
+    rows += [(7, f"{ends[2]} {ends[3]}"), (7, f"{ends[2]} more")]
+    rows += [(8, ends[1][::-1])] * 2  # one row twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix.repeated_passages(docs, hot=hot).collect()
+    assert sorted((str(r.doc), r.start, r.stop) for r in got) == [
+        ("7", 0, 60), ("7", 0, 60), ("None", 0, 60), ("None", 60, 120)
+    ]
+    assert sorted(r.first for r in got) == [False, False, True, True]
+
+
 def test_hot_cells_keep_their_marks(spark):
     # so many keys that some share a cell of the table with a hot one
     rng = np.random.default_rng(9)
