@@ -23,6 +23,9 @@ MODULES = (
     "linedup",
     "suffix",
     "backoff",
+    "binpack",
+    "fim",
+    "align",
 )
 
 
