@@ -157,6 +157,7 @@ class Tokenizers:
             ]
         )
         self.size_b = len(pieces)
+        self.pair_bits = (len(self.a_bytes.size) * self.size_b).bit_length()
         n = max(len(entries), len(pieces)) + 1
         self.decimals = Table([b"%d," % i for i in range(n)])
         with open(byte_file, encoding="utf-8") as f:
@@ -220,37 +221,39 @@ class Aligned:
         b, b_first = _only(b, b_first, whole)
         a_end, b_end = np.cumsum(t.a_bytes.size[a]), np.cumsum(t.b_bytes.size[b])
         # every end of a token ends one link; where both end, a group ends
-        ends = np.union1d(a_end, b_end)
-        link_a, link_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
-        common = (a_end[link_a] == ends) & (b_end[link_b] == ends)
+        n = int(a_end[-1]) + 1 if len(a_end) else 0
+        ends_a, ends_b = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+        ends_a[a_end] = ends_b[b_end] = True
+        ends = np.flatnonzero(ends_a | ends_b)
+        ends_a, ends_b = ends_a[ends], ends_b[ends]
+        common = ends_a & ends_b
+        link_a, link_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
         group_a, group_b = link_a[common], link_b[common]  # last tokens of each group
         self.n_a, self.n_b = np.diff(a_first), np.diff(b_first)
         # links and groups up to each row's last byte, which ends one of each
-        last = np.concatenate(([0], np.searchsorted(link_a, a_first[1:] - 1, side="right")))
+        last = np.concatenate(([0], np.flatnonzero(ends_a) + 1))[a_first]
         self.n_links = np.diff(last)
         self.n_groups = np.diff(np.concatenate(([0], np.cumsum(common)))[last])
         self.groups = self._digests(t, a, b, group_a, group_b, a_first, b_first)
         row = np.repeat(np.arange(len(self.n_links)), self.n_links)
-        self._pairs(a[link_a].astype(np.int64) * t.size_b + b[link_b], row)
+        self._pairs(a[link_a].astype(np.int64) * t.size_b + b[link_b], row, t.pair_bits)
 
-    def _pairs(self, pair, row):
+    def _pairs(self, pair, row, bits: int):
         """Distinct pairs of each row in order, and their links."""
-        order = np.lexsort((pair, row))
-        pair, row = pair[order], row[order]
-        new = np.ones(len(pair), dtype=bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (row[1:] != row[:-1])
+        key = np.sort(row << bits | pair)
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
         at = np.flatnonzero(new)
-        self.pair = pair[at]
-        self.links = np.diff(np.append(at, len(pair)))
-        self.pair_first = np.searchsorted(row[at], np.arange(len(self.n_a) + 1))
+        self.pair = key[at] & ((1 << bits) - 1)
+        self.links = np.diff(np.append(at, len(key)))
+        self.pair_first = np.searchsorted(key[at], np.arange(len(self.n_a) + 1) << bits)
 
     @staticmethod
     def _digests(t, a, b, group_a, group_b, a_first, b_first) -> list[str]:
         """SHA-256 of each row's groups as ``a1,a2|b1;a3|b2,b3``."""
         n = len(a) + len(b)
-        # tokens of the other side that come before each token
-        step_a = np.searchsorted(group_a, np.arange(len(a)))
-        step_b = np.searchsorted(group_b, np.arange(len(b)))
+        # each token's group, and the tokens of the other side before it
+        step_a, step_b = (np.repeat(np.arange(len(g)), np.diff(g, prepend=-1)) for g in (group_a, group_b))
         b_until = np.concatenate(([0], group_b + 1))
         at_a = np.arange(len(a)) + b_until[step_a]
         at_b = np.arange(len(b)) + group_a[step_b] + 1
