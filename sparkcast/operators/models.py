@@ -1,4 +1,4 @@
-"""Boosted-tree demand models on Spark ML.
+"""Boosted-tree demand models on Spark ML.
 
 The two tree families of the reference map to ``GBTRegressor`` (boosting)
 and ``RandomForestRegressor``. Parameter names: max_depth -> maxDepth,
@@ -11,18 +11,16 @@ distributed; only the fitted model (a few trees) lives on the driver.
 from __future__ import annotations
 
 import json
-import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkcast.operators.boosting import FEATURES, LABEL, PATIENCE, Ensemble
 from sparkcast.operators.features import align_columns, serving_features
 from sparkcast.operators.validate import split_requests
 
@@ -63,6 +61,8 @@ class DemandModel:
     label: str = "target_demand"
     name: str = ""
     model: PipelineModel | None = None
+    #: Validation RMSE after each round, when fitted with a validation frame.
+    curve: list = field(default_factory=list)
 
     def pipeline(self, extra: dict | None = None) -> Pipeline:
         imp_out = [f"_imp_{c}" for c in self.feature_cols]
@@ -75,20 +75,46 @@ class DemandModel:
     def _prepare(self, df: DataFrame) -> DataFrame:
         return df.withColumns({f"_d_{c}": F.col(c).cast("double") for c in self.feature_cols})
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None, tol: float = 0.01) -> "DemandModel":
-        """M1 (+M2): with a validation frame, boosting stops when the
-        validation error improves by less than ``tol``."""
-        data = self._prepare(train)
-        extra = {}
-        if validation is not None and self.kind == "gbt":
-            data = data.withColumn("_is_val", F.lit(False)).unionByName(
-                self._prepare(validation).withColumn("_is_val", F.lit(True))
-            )
-            extra = {"validationIndicatorCol": "_is_val", "validationTol": tol}
-        self.model = self.pipeline(extra).fit(data)
+    def fit(
+        self, train: DataFrame, validation: DataFrame | None = None, patience: int = PATIENCE, stage: int = 10
+    ) -> "DemandModel":
+        """M1. M2: with a validation frame the ensemble grows in stages, stops
+        after ``patience`` rounds without a better validation RMSE and is cut
+        at the best round; ``curve`` holds the RMSE by round."""
+        if validation is None:
+            self.model = self.pipeline().fit(self._prepare(train))
+        else:
+            self._fit_stopping(train, validation, patience, stage)
         self.name = self.name or f"{self.kind}_model"
         return self
 
+    def shaped(self, df: DataFrame) -> PipelineModel:
+        """The stages before the trees, fitted."""
+        return Pipeline(stages=self.pipeline().getStages()[:-1]).fit(self._prepare(df))
+
+    def vectors(self, shaped: PipelineModel, df: DataFrame) -> DataFrame:
+        """(features, label) written once for many rounds over them.
+
+        Dealt and ordered by a hash of the columns that are no features (the
+        row's keys; of the whole row if there are none): even parts, and the
+        same parts in each run, on which row sampling depends.
+        """
+        spark = df.sparkSession
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        known = {*self.feature_cols, self.label}
+        keys = [f"`{c}`" for c, t in df.dtypes if c not in known and t not in ("double", "float")]
+        keyed = self._prepare(df.withColumn("_h", F.xxhash64(*(keys or [f"`{c}`" for c in df.columns]))))
+        rows = shaped.transform(keyed).select(FEATURES, F.col(self.label).cast("double").alias(LABEL), "_h")
+        return rows.repartition(n, "_h").sortWithinPartitions("_h").drop("_h").checkpoint()
+
+    def _fit_stopping(self, train, validation, patience, stage):
+        shaped = self.shaped(train)
+        frames = (self.vectors(shaped, df) for df in (train, validation))
+        grown = Ensemble(*frames, self.kind, KINDS[self.kind][1] | self.params, patience, stage)
+        grown.grow(grown.limit).close()
+        self.curve = list(zip(grown.rounds, grown.curve))
+        self.model = PipelineModel(stages=[*shaped.stages, grown.model()])
+
     def predict(self, df: DataFrame) -> DataFrame:
         """M3: adds ``prediction`` clamped at 0; unfitted raises."""
         if self.model is None:
@@ -157,82 +183,6 @@ def cross_validate(make_model, df: DataFrame, n_splits: int, fold_col: str = "va
     return out
 
 
-# --------------------------------------------------------------------------
-# M7: seeded random search
-# --------------------------------------------------------------------------
-
-SEARCH_SPACE = {
-    "maxDepth": ("int", 3, 10),
-    "stepSize": ("log", 0.01, 0.3),
-    "maxIter": ("int", 50, 300),
-    "subsamplingRate": ("float", 0.6, 1.0),
-    "featureSubsetStrategy": ("frac", 0.6, 1.0),
-    "minInstancesPerNode": ("int", 1, 10),
-}
-
-
-def sample_params(space: dict, rng: random.Random) -> dict:
-    import math
-
-    out = {}
-    for k, (kind, lo, hi) in space.items():
-        if kind == "int":
-            out[k] = rng.randint(lo, hi)
-        elif kind == "log":
-            out[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-        elif kind == "frac":
-            out[k] = f"{rng.uniform(lo, hi):.3f}"
-        else:
-            out[k] = rng.uniform(lo, hi)
-    return out
-
-
-def random_search(
-    train: DataFrame,
-    validation: DataFrame,
-    feature_cols: Sequence[str],
-    n_trials: int = 50,
-    seed: int = 42,
-    space: dict | None = None,
-    kind: str = "gbt",
-    label: str = "target_demand",
-    parallelism: int = 4,
-) -> DataFrame:
-    """Minimise validation RMSE over ``n_trials`` seeded draws; returns one row
-    per trial (trial, params json, rmse, best flag). Fits run ``parallelism``
-    at a time, each one a distributed Spark job."""
-    rng = random.Random(seed)
-    trials = [sample_params(space or SEARCH_SPACE, rng) for _ in range(n_trials)]
-    evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-
-    # one preparation for all trials: the frames are written once, the
-    # imputer and assembler fitted once, and only the trees fitted per trial
-    prepared = DemandModel(list(feature_cols), kind, {}, label)
-    stages = prepared.pipeline().getStages()[:-1]
-    shaped = Pipeline(stages=stages).fit(prepared._prepare(train))
-
-    def vectors(df):
-        return shaped.transform(prepared._prepare(df)).select("_features", label).checkpoint(eager=True)
-
-    fit_rows, check_rows = vectors(train), vectors(validation)
-
-    def run(i_params):
-        i, params = i_params
-        trees = _estimator(kind, params, label).fit(fit_rows)
-        scored = trees.transform(check_rows).select(
-            label, F.greatest(F.col("_raw_prediction"), F.lit(0.0)).alias("prediction")
-        )
-        return i, params, float(evaluator.evaluate(scored))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, enumerate(trials)))
-    spark = train.sparkSession
-    rows = [(i, json.dumps(p, sort_keys=True), rmse) for i, p, rmse in results]
-    df = spark.createDataFrame(rows, "trial int, params string, rmse double")
-    best = df.agg(F.min("rmse")).scalar()
-    return df.withColumn("best", F.col("rmse") == best)
-
-
 # --------------------------------------------------------------------------
 # M8 / M9: scoring request tables
 # --------------------------------------------------------------------------

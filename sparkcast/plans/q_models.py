@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from sparkcast.operators import features as fe
 from sparkcast.operators import models as M
 from sparkcast.operators import split as S
+from sparkcast.operators import tuning as T
+from sparkcast.operators.boosting import PATIENCE
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import round_doubles
 from sparkcast.plans.q_rules import requests_table
@@ -22,9 +24,11 @@ from sparkcast.sources.store import FeatureStore
 from sparkcast.sources.tables import DEMAND_SQL, demand_view
 
 HORIZON = 14
-#: Trials of the search entry; the library default is 50.
-SEARCH_TRIALS = 4
+#: Size of the search entries (the library's default is 50 trials without a
+#: bound on their rounds).
+SEARCH = {"n_trials": 8, "batch": 4, "rungs": (5, 15), "keep": 0.34, "max_rounds": 40, "stage": 5}
 _fitted: dict[tuple, M.DemandModel] = {}
+_searched: dict[tuple, T.Search] = {}
 
 
 def model_frames(spark, sf):
@@ -105,23 +109,88 @@ def m1_fit_score_forest(spark, sf):
     return round_doubles(m.predict(test).select("date", "product_id", "store_id", "target_demand", "prediction"))
 
 
-@register("m2_early_stopping")
-def m2_early_stopping(spark, sf):
+def stopped_early(spark, sf):
     """Boosting with a validation slice (the last 10 % of the train part)."""
     train, test, cols = model_frames(spark, sf)
-    fit_part, val_part = S.temporal_split(train, 0.1)
-    m = M.DemandModel(cols, "gbt").fit(fit_part, val_part, tol=0.01)
+    key = (spark.sparkContext.applicationId, sf, "early stopping")
+    if key not in _fitted:
+        fit_part, val_part = S.temporal_split(train, 0.1)
+        _fitted[key] = M.DemandModel(cols, "gbt").fit(fit_part, val_part)
+    return _fitted[key], test
+
+
+@register("m2_early_stopping")
+def m2_early_stopping(spark, sf):
+    m, test = stopped_early(spark, sf)
     trees = m.model.stages[-1].getNumTrees
     return round_doubles(M.evaluate_model(m, test).withColumn("trees", F.lit(trees).cast("bigint")))
 
 
+@register("m2_validation_curve")
+def m2_validation_curve(spark, sf):
+    """A row a round: validation RMSE, and whether the model is cut there."""
+    m, _ = stopped_early(spark, sf)
+    trees = m.model.stages[-1].getNumTrees
+    curve = spark.createDataFrame(m.curve, "round int, rmse double")
+    return round_doubles(curve.withColumn("cut_here", F.col("round") == trees))
+
+
+@register("m2_curve_rules", """
+SELECT unnest(['a row a round', 'cut at the best round', 'ended by patience or limit',
+               'no earlier end', 'no better round']) AS rule, true AS holds""")
+def m2_curve_rules(spark, sf):
+    """What the curve must show: patience of 20 rounds, the model cut at the best one."""
+    m, _ = stopped_early(spark, sf)
+    trees, limit = m.model.stages[-1].getNumTrees, M.GBT_PARAMS["maxIter"]
+    spark.createDataFrame(m.curve, "round int, rmse double").createOrReplaceTempView("_m2_curve")
+    return spark.sql(f"""
+        WITH c AS (SELECT round, rmse, min(rmse) OVER (ORDER BY round) AS least,
+                          row_number() OVER (ORDER BY round) AS at FROM _m2_curve),
+        b AS (SELECT *, min_by(round, round) OVER (PARTITION BY least) AS best FROM c),
+        s AS (SELECT count_if(round <> at) AS gaps, max(round) AS last, min_by(round, (rmse, round)) AS best,
+                     max(round - best) AS waited, max(CASE WHEN round = {trees} THEN rmse END) AS at_cut, min(rmse) AS least,
+                     max(CASE WHEN round - best >= {PATIENCE} THEN 1 ELSE 0 END
+                         * CASE WHEN round < (SELECT max(round) FROM c) THEN 1 ELSE 0 END) AS late FROM b)
+        SELECT inline(array(
+          named_struct('rule', 'a row a round', 'holds', gaps = 0),
+          named_struct('rule', 'cut at the best round', 'holds', best = {trees}),
+          named_struct('rule', 'ended by patience or limit', 'holds', waited = {PATIENCE} OR last = {limit}),
+          named_struct('rule', 'no earlier end', 'holds', late = 0),
+          named_struct('rule', 'no better round', 'holds', least = at_cut))) FROM s""")
+
+
 @register("m4_importance")
 def m4_importance(spark, sf):
     m, _, _ = fitted(spark, sf)
     return round_doubles(m.feature_importance(spark))
 
 
-@register("m5_save_load")
+@register("m4_importance_rules", """
+SELECT unnest(['a row a feature', 'none negative', 'sum of one', 'in falling order', 'names of features']) AS rule,
+       true AS holds""")
+def m4_importance_rules(spark, sf):
+    m, _, _ = fitted(spark, sf)
+    rows = [tuple(r) for r in m.feature_importance(spark).collect()]  # one row a feature
+    shares = [x for _, x in rows]
+    found = {
+        "a row a feature": len(rows) == len(m.feature_cols),
+        "none negative": min(shares) >= 0,
+        "sum of one": abs(sum(shares) - 1) < 1e-9,
+        "in falling order": shares == sorted(shares, reverse=True),
+        "names of features": {c for c, _ in rows} == set(m.feature_cols),
+    }
+    return spark.createDataFrame(list(found.items()), "rule string, holds boolean")
+
+
+#: Rows of the test part, each with one true column.
+TEST_ROWS = f"""
+WITH d AS ({DEMAND_SQL}), f AS (
+  SELECT date, product_id, store_id, row_number() OVER (ORDER BY date, product_id, store_id) AS rn,
+         count(*) OVER () AS n FROM d)
+SELECT date, product_id, store_id, true AS NAME FROM f WHERE rn > CAST(floor(n * 0.8) AS BIGINT)"""
+
+
+@register("m5_save_load", TEST_ROWS.replace("NAME", "same"))
 def m5_save_load(spark, sf):
     m, _, test = fitted(spark, sf)
     path = scratch_dir(spark, "model")
@@ -140,16 +209,70 @@ def m6_evaluate(spark, sf):
     return round_doubles(M.evaluate_model(m, test))
 
 
+def searched(spark, sf, kind="gbt"):
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _searched:
+        train, _, cols = model_frames(spark, sf)
+        fit_part, val_part = S.temporal_split(train, 0.2)
+        _searched[key] = T.tune(fit_part, val_part, cols, kind, seed=42, **SEARCH)
+    return _searched[key]
+
+
 @register("m7_search")
 def m7_search(spark, sf):
-    """The whole search space."""
-    train, test, cols = model_frames(spark, sf)
-    fit_part, val_part = S.temporal_split(train, 0.2)
-    return M.random_search(
-        fit_part, val_part, cols, n_trials=SEARCH_TRIALS, seed=42, parallelism=SEARCH_TRIALS
+    """The whole search space: Parzen sampling, poor trials stopped at rungs."""
+    return searched(spark, sf).trials
+
+
+@register("m7_search_forest")
+def m7_search_forest(spark, sf):
+    return searched(spark, sf, "forest").trials
+
+
+BOUNDS_SQL = f"""
+SELECT CAST(i AS INTEGER) AS trial, true AS in_space, true AS scored, true AS within_rounds,
+       CAST(1 AS BIGINT) AS best_trials
+FROM (SELECT unnest(range(0, {SEARCH['n_trials']})) AS i)
+"""
+
+
+def _bounds(spark, sf, kind):
+    """A row a trial: its parameters lie in the space, its error is finite, one is best."""
+    space = T.SPACES[kind]
+    names = {"int": "int", "log": "double", "float": "double", "share": "string"}
+    schema = ", ".join(f"{k} {names[v[0]]}" for k, v in space.items())
+    p = F.from_json("params", schema)
+    inside = F.lit(True)
+    for k, (_, low, high) in space.items():
+        inside = inside & F.coalesce(p[k].cast("double").between(low, high), F.lit(False))
+    trials = searched(spark, sf, kind).trials
+    best = trials.where(F.col("best") & (F.col("rmse") == trials.agg(F.min("rmse")).scalar()))
+    return trials.select(
+        "trial",
+        inside.alias("in_space"),
+        (F.col("rmse").isNotNull() & (F.col("rmse") < 1e300)).alias("scored"),
+        F.col("trees").between(1, SEARCH["max_rounds"]).alias("within_rounds"),
+        best.agg(F.count(F.lit(1))).scalar().alias("best_trials"),
     )
 
 
+@register("m7_search_bounds", BOUNDS_SQL)
+def m7_search_bounds(spark, sf):
+    return _bounds(spark, sf, "gbt")
+
+
+@register("m7_search_bounds_forest", BOUNDS_SQL)
+def m7_search_bounds_forest(spark, sf):
+    return _bounds(spark, sf, "forest")
+
+
+@register("m7_tuned_quality", BOUND_SQL)
+def m7_tuned_quality(spark, sf):
+    """The best trial's model meets the quality bound on the test part."""
+    _, train, test = fitted(spark, sf)
+    return _bounded(spark, M.evaluate_model(searched(spark, sf).model, test), train, test)
+
+
 @register("m8_batch_score")
 def m8_batch_score(spark, sf):
     m, _, _ = fitted(spark, sf)
@@ -159,11 +282,7 @@ def m8_batch_score(spark, sf):
     return scored
 
 
-@register("m8_true_features", f"""
-WITH d AS ({DEMAND_SQL}), f AS (
-  SELECT date, product_id, store_id, row_number() OVER (ORDER BY date, product_id, store_id) AS rn,
-         count(*) OVER () AS n FROM d)
-SELECT date, product_id, store_id, true AS scored FROM f WHERE rn > CAST(floor(n * 0.8) AS BIGINT)""")
+@register("m8_true_features", TEST_ROWS.replace("NAME", "scored"))
 def m8_true_features(spark, sf):
     """Batch scoring on the stored features instead of the request proxies."""
     m, _, test = fitted(spark, sf)
@@ -198,6 +317,23 @@ def m9_scenario_scores(spark, sf):
     return scored
 
 
+@register("a19_forecast_rules", f"""
+WITH d AS ({DEMAND_SQL})
+SELECT DISTINCT product_id, store_id, CAST({HORIZON} AS BIGINT) AS days, true AS ordered, true AS not_negative
+FROM d""")
+def a19_forecast_rules(spark, sf):
+    """A row a series: all days scored, least <= mean <= most, none below 0."""
+    found = a19_forecast_summary(spark, sf)
+    low, mean, high = (F.col(f"{x}_predicted") for x in ("min", "mean", "max"))
+    return found.select(
+        "product_id",
+        "store_id",
+        "days",
+        ((low <= mean + 1e-6) & (mean <= high + 1e-6)).alias("ordered"),
+        (low >= 0).alias("not_negative"),
+    )
+
+
 @register("a19_forecast_summary")
 def a19_forecast_summary(spark, sf):
     m, _, _ = fitted(spark, sf)
