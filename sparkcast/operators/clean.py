@@ -145,6 +145,31 @@ def convert_data_types(df: DataFrame, quarantine: bool = False) -> DataFrame:
     return df.select(*out)
 
 
+def convert_with_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """P7 with quarantine: (converted rows, rejected rows).
+
+    Rows with a value that does not convert go to the second table as they
+    came, with ``bad_cells`` (column, value, expected type); NULLs convert.
+    """
+    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_raw")
+    both = convert_data_types(df.select("*", raw), quarantine=True)
+    types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
+    bad = [
+        F.when(
+            F.col("_raw")[c].isNotNull() & F.col(f"`{c}`").isNull(),
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col("_raw")[c].cast("string").alias("value"),
+                F.lit(types[c]).alias("expected"),
+            ),
+        )
+        for c in df.columns
+    ]
+    marked = both.withColumn("bad_cells", F.array_compact(F.array(*bad)))
+    accepted = marked.where(F.size("bad_cells") == 0).select(*df.columns)
+    return accepted, marked.where(F.size("bad_cells") > 0).select("_raw.*", "bad_cells")
+
+
 def sort_data(df: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:
     """A global sort; use only at a sink (windows carry their own order)."""
     return df.orderBy(*by)

@@ -31,6 +31,77 @@ def s1_csv_roundtrip(spark, sf):
     return T.load_raw_csv(spark, path)
 
 
+#: Lines with a word for a price, a broken date, or a cell too many.
+_BAD_PRICE = "promotion_flag = 1 AND holiday_flag = 1"
+_BAD_DATE = "product_id % 40 = 7"
+_TOO_WIDE = "product_id % 40 = 9"
+
+
+def _defective_csv(spark, sf):
+    d = demand_view(spark, sf)
+    cells = {c: F.col(c).cast("string") for c in RAW_COLUMNS}
+    cells["price"] = F.when(F.expr(_BAD_PRICE), F.lit("n/a")).otherwise(cells["price"])
+    cells["date"] = F.when(F.expr(_BAD_DATE), F.lit("2024-13-45")).otherwise(cells["date"])
+    line = F.concat_ws(",", *cells.values())
+    lines = d.select(F.when(F.expr(_TOO_WIDE), F.concat(line, F.lit(",x"))).otherwise(line).alias("value"))
+    path = scratch_dir(spark, "csv-defects") + "/demand"
+    head = ",".join(RAW_COLUMNS)
+    # one header a file, as the reader expects it
+    lines.toDF(head).write.mode("overwrite").option("header", True).option("quote", "\u0000").option(
+        "sep", "\u0001"
+    ).csv(path)
+    return path
+
+
+@register(
+    "s1_csv_accepted",
+    f"SELECT * FROM ({DEMAND_SQL}) WHERE NOT ({_BAD_PRICE} OR {_BAD_DATE} OR {_TOO_WIDE})",
+)
+def s1_csv_accepted(spark, sf):
+    """What a CSV with bad lines keeps."""
+    return T.load_csv_with_rejects(spark, _defective_csv(spark, sf))[0]
+
+
+@register("s1_csv_rejected", f"""
+WITH b AS (SELECT {_BAD_PRICE} AS p, {_BAD_DATE} AS d, {_TOO_WIDE} AS w FROM ({DEMAND_SQL}))
+SELECT CASE WHEN p OR d THEN 'cells' ELSE 'width' END AS reason,
+       concat_ws(';', CASE WHEN d THEN 'date=2024-13-45:date' END, CASE WHEN p THEN 'price=n/a:double' END) AS cells,
+       count(*) AS lines, true AS in_a_file
+FROM b WHERE p OR d OR w GROUP BY 1, 2""")
+def s1_csv_rejected(spark, sf):
+    """The quarantined lines by reason and bad cells."""
+    rejected = T.load_csv_with_rejects(spark, _defective_csv(spark, sf))[1]
+    cell = F.transform(
+        "bad_cells", lambda c: F.concat(c["column"], F.lit("="), c["value"], F.lit(":"), c["expected"])
+    )
+    return rejected.groupBy("reason", F.array_join(cell, ";").alias("cells")).agg(
+        F.count(F.lit(1)).alias("lines"), F.bool_and(F.col("file").endswith(".csv")).alias("in_a_file")
+    )
+
+
+@register("p7_rejected", f"""
+SELECT date, product_id, store_id, 'price' AS column_name, 'free' AS value, 'double' AS expected
+FROM ({DEMAND_SQL}) WHERE {_BAD_PRICE}
+UNION ALL
+SELECT date, product_id, store_id, 'promotion_flag', 'yes', 'bigint' FROM ({DEMAND_SQL}) WHERE {_BAD_DATE}""")
+def p7_rejected(spark, sf):
+    """Cells that do not convert, each with its row's key."""
+    d = demand_view(spark, sf)
+    text = d.withColumns(
+        {
+            "price": F.when(F.expr(_BAD_PRICE), F.lit("free")).otherwise(F.col("price").cast("string")),
+            "promotion_flag": F.when(F.expr(_BAD_DATE), F.lit("yes")).otherwise(
+                F.col("promotion_flag").cast("string")
+            ),
+        }
+    )
+    rejected = clean.convert_with_rejects(text)[1]
+    cell = F.explode("bad_cells").alias("c")
+    return rejected.select("date", "product_id", "store_id", cell).select(
+        "date", "product_id", "store_id", F.col("c.column").alias("column_name"), "c.value", "c.expected"
+    )
+
+
 @register("s3_parquet_roundtrip", f"SELECT *, {', '.join(_sql_calendar_basic())} FROM ({DEMAND_SQL})")
 def s3_parquet_roundtrip(spark, sf):
     """C1 output to snappy Parquet (partitioned by year) and back (S2 + S3)."""

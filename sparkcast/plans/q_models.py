@@ -26,7 +26,7 @@ from sparkcast.sources.tables import DEMAND_SQL, demand_view
 HORIZON = 14
 #: Size of the search entries (the library's default is 50 trials without a
 #: bound on their rounds).
-SEARCH = {"n_trials": 8, "batch": 4, "rungs": (5, 15), "keep": 0.34, "max_rounds": 40, "stage": 5}
+SEARCH = {"n_trials": 8, "batch": 4, "rungs": (4,), "keep": 0.34, "max_rounds": 16, "stage": 4}
 _fitted: dict[tuple, M.DemandModel] = {}
 _searched: dict[tuple, T.Search] = {}
 

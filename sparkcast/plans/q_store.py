@@ -88,3 +88,23 @@ def k3_metadata(spark, sf):
     return st.get_feature_metadata("demand").select(
         "name", "version", "rows", "columns", "column_names", "metadata"
     )
+
+
+def _k3_dtypes_sql() -> str:
+    from sparkcast.sources.tables import RAW_SCHEMA
+
+    return "\nUNION ALL ".join(
+        f"SELECT 'v2' AS version, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS dtype"
+        for f in RAW_SCHEMA.fields
+    )
+
+
+@register("k3_dtypes", _k3_dtypes_sql())
+def k3_dtypes(spark, sf):
+    """Column types from the metadata of a version that was saved twice."""
+    st = _store(spark)
+    d = demand_view(spark, sf)
+    st.save_features(d.select("date", "price"), "demand", "v2")
+    st.save_features(d, "demand", "v2")
+    types = F.explode(F.from_json("dtypes", "map<string, string>")).alias("column_name", "dtype")
+    return st.get_feature_metadata("demand", "v2").select("version", types)

@@ -181,6 +181,54 @@ def load_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
     )
 
 
+def load_csv_with_rejects(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA
+) -> tuple[DataFrame, DataFrame]:
+    """S1 with quarantine: (accepted rows, rejected lines).
+
+    The header names the schema's columns in order; a line that is no header
+    and has a cell that is not of its declared type, or another number of
+    cells, is rejected whole: ``line``, ``file``, ``reason`` (``cells`` or
+    ``width``) and ``bad_cells`` (column, value, expected type). Accepted and
+    rejected lines together are the input; nothing is dropped.
+    """
+    if not _path_exists(spark, path):
+        raise FileNotFoundError(path)
+    corrupt = "_corrupt_line"
+    declared = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    header = ",".join(schema.names)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    lines = lines.where((F.trim("value") != "") & (F.replace("value", F.lit('"'), F.lit("")) != header))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "dateFormat": "yyyy-MM-dd"}
+    read = lines.withColumn("_row", F.from_csv("value", F.lit(declared.toDDL()), options))
+    accepted = nan_to_null(read.where(F.col("_row")[corrupt].isNull()).select("_row.*").drop(corrupt))
+    texts = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    held = read.where(F.col("_row")[corrupt].isNotNull()).select(
+        F.col("value").alias("line"), "_file", F.from_csv("value", F.lit(texts)).alias("_c")
+    )
+    bad = []
+    for f in schema.fields:
+        value = F.col("_c")[f.name]
+        fits = (
+            F.try_to_date(value, "yyyy-MM-dd")
+            if isinstance(f.dataType, T.DateType)
+            else value.try_cast(f.dataType)
+        )
+        entry = F.struct(
+            F.lit(f.name).alias("column"),
+            value.alias("value"),
+            F.lit(f.dataType.simpleString()).alias("expected"),
+        )
+        bad.append(F.when(value.isNotNull() & fits.isNull(), entry))
+    rejected = held.withColumn("bad_cells", F.array_compact(F.array(*bad)))
+    return accepted, rejected.select(
+        "line",
+        F.col("_file").alias("file"),
+        F.when(F.size("bad_cells") > 0, "cells").otherwise("width").alias("reason"),
+        "bad_cells",
+    )
+
+
 def load_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Processed Parquet; a missing path raises FileNotFoundError."""
     if not _path_exists(spark, path):
