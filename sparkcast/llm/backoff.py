@@ -38,7 +38,7 @@ ALPHA = 0.4
 FREQUENT = 1 << 18
 #: Words of the corpus for each task of exploded pairs, and buckets a task
 #: works through one after another.
-WORDS_PER_TASK, BUCKETS = 6_000_000, 16
+WORDS_PER_TASK, BUCKETS = 3_000_000, 8
 
 _U64 = np.uint64
 #: First word of a pair that has none.
@@ -277,6 +277,15 @@ def _scored(kind, a, b, score, n, seen):
     )
 
 
+def _merged(sums: list) -> list:
+    """The sums as one set, a row a document."""
+    if not sums:
+        return []
+    doc, *parts = (np.concatenate(x) for x in zip(*sums))
+    key, at = np.unique(doc, return_inverse=True)
+    return [(key, *(np.bincount(at, x, len(key)) for x in parts))]
+
+
 def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets: int = BUCKETS) -> DataFrame:
     """Scores of a task's buckets, in three kinds of rows.
 
@@ -350,11 +359,9 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets
                 before[other] = others[number[other] - _OTHER]
                 parts.append((w[a:z], n[a:z], before, keys[d[own]]))
             yield from settle(parts, f, log_n, sums)
-        if sums:
-            doc, score, n, seen = (np.concatenate(x) for x in zip(*sums))
-            key, at = np.unique(doc, return_inverse=True)
-            add = lambda x: np.bincount(at, x, len(key))
-            yield _scored(0, key, key, add(score), add(n), add(seen))
+            sums[:] = _merged(sums)
+        for key, score, n, seen in _merged(sums):
+            yield _scored(0, key, key, score, n, seen)
 
     return packed.repartitionById(tasks, "task").mapInArrow(run, _SCORED)
 
