@@ -38,7 +38,7 @@ ALPHA = 0.4
 FREQUENT = 1 << 18
 #: Words of the corpus for each task of exploded pairs, and buckets a task
 #: works through one after another.
-WORDS_PER_TASK, BUCKETS = 3_000_000, 8
+WORDS_PER_TASK, BUCKETS = 4_500_000, 12
 
 _U64 = np.uint64
 #: First word of a pair that has none.
