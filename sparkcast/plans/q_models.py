@@ -269,7 +269,7 @@ def m7_search_bounds_forest(spark, sf):
 @register("m7_tuned_quality", BOUND_SQL)
 def m7_tuned_quality(spark, sf):
     """The best trial's model meets the quality bound on the test part."""
-    _, train, test = fitted(spark, sf)
+    train, test, _ = model_frames(spark, sf)
     return _bounded(spark, M.evaluate_model(searched(spark, sf).model, test), train, test)
 
 
