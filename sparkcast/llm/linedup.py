@@ -20,9 +20,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkcast.llm.queries import register
 from sparkcast.llm.shared import read_table, saved
@@ -151,7 +153,7 @@ _ENTRY = np.dtype(
     [
         ("word", "<u8"),
         ("line", "<u8"),
-        ("prev", "<u4"),
+        ("prev", "<u8"),
         ("size", "<i4"),
         ("pos", "<u2"),
         ("fold", "<u8"),
@@ -223,7 +225,7 @@ def _prefix_entries(text: pa.Array, codes: np.ndarray, t: float) -> np.ndarray:
     out["fold"] = fold[line[take]]
     out["pos"] = np.minimum(pos[take], 65535)
     # the word before this one in the line's order, 0 for none
-    out["prev"] = np.where(pos[take] > 0, mix64(prev[take]) >> _U64(32) | _U64(1), 0)
+    out["prev"] = np.where(pos[take] > 0, prev[take], 0)
     return out
 
 
@@ -639,6 +641,19 @@ def similar_lines(
     )
 
 
+@F.pandas_udf(T.StringType())
+def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
+    """The texts without the lines of the given numbers, in one walk each."""
+
+    def cut(x, numbers):
+        if x is None:
+            return None
+        numbers = set(numbers.tolist())
+        return "\n".join(line for i, line in enumerate(x.split("\n")) if i not in numbers)
+
+    return pd.Series([cut(x, n) for x, n in zip(text, gone)], dtype=object)
+
+
 def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -657,8 +672,9 @@ def dedup_lines(
         .groupBy("doc", "key")
         .agg(F.collect_set("line_no").alias("_gone"))
     )
-    lines = F.split(F.col(f"`{text_col}`"), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    text = F.col(f"d.`{text_col}`")
+    # only texts that lose lines go to Python
+    left = _without(F.when(F.col("_gone").isNotNull(), text), F.col("_gone"))
     out = (
         docs.withColumn("_doc", F.col(f"`{id_col}`").cast("long"))
         .withColumn("_key", F.xxhash64(f"`{text_col}`"))
@@ -668,7 +684,7 @@ def dedup_lines(
             F.col("d._doc").eqNullSafe(F.col("g.doc")) & (F.col("d._key") == F.col("g.key")),
             "left",
         )
-        .withColumn("_left", F.when(F.col("_gone").isNull(), F.col(f"d.`{text_col}`")).otherwise(left))
+        .withColumn("_left", F.when(F.col("_gone").isNull(), text).otherwise(left))
     )
     cols = [
         F.col("_left").alias(c)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 
 _U64 = np.uint64
 
@@ -34,28 +35,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-# One random odd-looking 64-bit value per byte, from the mixer itself.
-_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _U64(0x9E3779B97F4A7C15))
-_BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2^64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-
-
-_kept: dict[int, np.ndarray] = {}
-#: Longest power table kept between blocks.
-_KEEP = 1 << 21
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    p = _kept.get(base)
-    if p is None or len(p) < n:
-        p = np.full(max(n, min(_KEEP, 1 << n.bit_length())), base, dtype=np.uint64)
-        p[0] = 1
-        np.multiply.accumulate(p, out=p)
-        if len(p) <= _KEEP:
-            _kept[base] = p
-    return p[:n]
-
-
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, row offsets) of a string column; NULL counts as empty."""
     if isinstance(arr, pa.ChunkedArray):
@@ -126,20 +105,44 @@ def split_lines(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, end, row
 
 
+#: Ranges of more bytes than this are hashed one by one with XXH3.
+_LANES = 64
+#: Masks that keep the first k bytes of a little-endian 64-bit load.
+_HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: What a chain starts from, by the range's size.
+_SIZE = mix64(np.arange(1, _LANES + 2, dtype=np.uint64) * _U64(0x9E3779B97F4A7C15))
+
+
 class Hasher:
-    """64-bit hashes of byte ranges, equal for equal bytes everywhere."""
+    """64-bit hashes of byte ranges, equal for equal bytes everywhere.
+
+    Short ranges chain the mixer over their 8-byte lanes, long ones take XXH3.
+    Neither is a sum over positions, so no pattern of the bytes (such as
+    Thue-Morse order) makes different ranges meet.
+    """
 
     def __init__(self, data: np.ndarray):
-        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=self.sums[1:])
+        self.bytes = np.zeros(len(data) + 8, dtype=np.uint8)
+        self.bytes[: len(data)] = data
+        # the eight bytes from every position
+        self.lanes = np.ndarray((len(data) + 1,), "<u8", buffer=self.bytes, strides=(1,))
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         if not len(start):
             return np.empty(0, np.uint64)
-        h = self.sums[end] - self.sums[start]
-        h *= _powers(_BASE_INV, len(self.sums))[start]
-        h += (end - start).astype(np.uint64)
-        return _mixed(h)
+        size = end - start
+        h = combine(_SIZE[np.minimum(size, _LANES)], self.lanes[start] & _HEAD[np.minimum(size, 8)])
+        at = np.flatnonzero((size > 8) & (size <= _LANES))
+        done = 8
+        while len(at):
+            lane = self.lanes[start[at] + done] & _HEAD[np.minimum(size[at] - done, 8)]
+            h[at] = combine(h[at], lane)
+            done += 8
+            at = at[size[at] > done]
+        whole = memoryview(self.bytes)
+        for i in np.flatnonzero(size > _LANES).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(whole[start[i] : end[i]])
+        return h
 
 
 def word_hashes(w: Words) -> np.ndarray:
@@ -148,20 +151,33 @@ def word_hashes(w: Words) -> np.ndarray:
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Order-sensitive hash of two hash columns."""
-    return mix64(a * _U64(0x9E3779B97F4A7C15) + mix64(b + _U64(0xD1B54A32D192ED03)))
+    x = a >> _U64(29)
+    x ^= a
+    x *= _U64(0xD1342543DE82EF95)
+    x += b
+    return _mixed(x)
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n values from each position (len(h) - n + 1 of them).
 
-    The caller drops windows that cross a row border.
+    Runs of 1, 2, 4, ... values are combined from halves, and a window from
+    the runs of n's binary digits. The caller drops windows that cross a row
+    border.
     """
     m = len(h) - n + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    sums = np.zeros(len(h) + 1, dtype=np.uint64)
-    np.cumsum(h * _powers(_BASE, len(h)), out=sums[1:])
-    return _mixed((sums[n:] - sums[:-n]) * _powers(_BASE_INV, m))
+    run, width, at, out = h, 1, 0, None
+    while True:
+        if n & width:
+            part = run[at : at + m]
+            out = part if out is None else combine(out, part)
+            at += width
+        if at == n:
+            return out
+        run = combine(run[:-width], run[width:])
+        width *= 2
 
 
 def gram_starts(first: np.ndarray, n: int) -> np.ndarray:
