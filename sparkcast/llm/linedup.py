@@ -425,7 +425,7 @@ def _bulk_pairs(i, j, off, words, tau, table, t) -> np.ndarray:
     return ok
 
 
-def _matrix_pairs(off, words, tau, cut: int, table, t):
+def _matrix_pairs(off, words, tau, cut: int | None, table, t):
     """Linked pairs (i < j) of one group's members; with ``cut``, only pairs
     of one of the first ``cut`` with one of the others."""
     n, size = len(off) - 1, np.diff(off)
@@ -453,7 +453,7 @@ def _matrix_pairs(off, words, tau, cut: int, table, t):
         ok = (overlap[s] >= _need(size[s, None], size[None, :], t)) & ~earlier[s]
         i, j = np.nonzero(ok)
         i = i + s.start
-        ok = (i < j) & ((i < cut) & (j >= cut) if cut else True)
+        ok = (i < j) & ((i < cut) & (j >= cut) if cut is not None else True)
         found.append((i[ok], j[ok]))
     return tuple(np.concatenate(x) for x in zip(*found))
 
@@ -488,7 +488,7 @@ def _verify(codes, t: float, sizes: Sizes):
             found(i[ok], i[ok] + s)
         for p, q in zip(cut[:-1][size > sizes.bulk], cut[1:][size > sizes.bulk]):
             own = slice(off[p], off[q])
-            left = int((block[p:q] == a[p]).sum()) if a[p] != b[p] else 0
+            left = int((block[p:q] == a[p]).sum()) if a[p] != b[p] else None
             i, j = _matrix_pairs(off[p : q + 1] - off[p], words[own], word[p], left, table, t)
             found(i + p, j + p)
         hit = links > 0

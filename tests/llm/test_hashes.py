@@ -82,3 +82,14 @@ def test_pattern_words_score_apart(spark):
     docs = spark.createDataFrame([(1, f"{one} {two}")], "doc_id long, text string")
     (row,) = backoff.backoff_scores(docs).collect()
     assert row.log_score == pytest.approx(2 * np.log(0.5) + np.log(0.4), abs=1e-5)
+
+
+def test_pairs_of_an_empty_block():
+    """Members of one block alone, met for a pair of blocks, give no pair."""
+    table = np.zeros(1 << linedup.COUNT_BITS, np.uint8)
+    words = np.sort(np.arange(1, 6, dtype=np.uint64) << np.uint64(58))
+    off = np.arange(0, 31, 5)
+    every = np.tile(words, 6)
+    for cut, n in ((None, 15), (0, 0), (6, 0), (2, 8)):
+        i, j = linedup._matrix_pairs(off, every, words[0], cut, table, 0.8)
+        assert len(i) == len(j) == n
