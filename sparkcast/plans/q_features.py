@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkcast.functions import calendar
+from sparkcast.operators import bydays
 from sparkcast.operators import features as fe
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
@@ -380,3 +381,75 @@ def w3_hot_series(spark, sf):
     return round_doubles(
         roll.select("event_id", "key", "lag_1", "lag_7", "rolling_7_min", "rolling_7_max", "rolling_7_median")
     )
+
+
+# --------------------------------------------------------------------------
+# By days instead of rows
+# --------------------------------------------------------------------------
+
+
+def _back(days: int, until: int = 1) -> str:
+    return f"RANGE BETWEEN INTERVAL {days} DAYS PRECEDING AND INTERVAL {until} DAYS PRECEDING"
+
+
+def _sql_days(value: str, over: str, lags=(), windows=(), rounded=("mean", "std")) -> list[str]:
+    out = [f"{r(f'avg({value}) OVER ({over} {_back(k, k)})')} AS lag_{k}d" for k in lags]
+    for w in windows:
+        for s in fe.DEFAULT_STATS:
+            cell = f"{SQL_AGG[s]}({value}) OVER ({over} {_back(w)})"
+            out.append(f"{r(cell) if s in rounded else cell} AS rolling_{w}d_{s}")
+    return out
+
+
+def _demand_days_sql(over: str, lags=(), windows=()) -> str:
+    outs = _sql_days("target_demand", over, lags, windows)
+    return f"SELECT {KEY_SEL}, target_demand, {', '.join(outs)} FROM ({DEMAND_SQL})"
+
+
+def _target(spark, sf):
+    return demand_view(spark, sf).select("date", "product_id", "store_id", "target_demand")
+
+
+@register("w1_lag_by_days", _demand_days_sql(SERIES_SQL, lags=fe.DEFAULT_LAGS))
+def w1_lag_by_days(spark, sf):
+    return round_doubles(bydays.create_day_lag_features(_target(spark, sf)))
+
+
+@register("w2_lag_by_days_global", _demand_days_sql("ORDER BY date", lags=fe.DEFAULT_LAGS))
+def w2_lag_by_days_global(spark, sf):
+    return round_doubles(bydays.create_day_lag_features(_target(spark, sf), group_cols=None))
+
+
+@register("w3_rolling_by_days", _demand_days_sql(SERIES_SQL, windows=fe.DEFAULT_WINDOWS))
+def w3_rolling_by_days(spark, sf):
+    return round_doubles(bydays.create_day_rolling_features(_target(spark, sf)))
+
+
+@register("w4_rolling_by_days_global", _demand_days_sql("ORDER BY date", windows=fe.DEFAULT_WINDOWS))
+def w4_rolling_by_days_global(spark, sf):
+    return round_doubles(bydays.create_day_rolling_features(_target(spark, sf), group_cols=None))
+
+
+HOT_DAYS_OVER = "PARTITION BY key ORDER BY CAST(ts AS DATE)"
+
+
+@register(
+    "w3_hot_series_by_days",
+    f"""SELECT event_id, key,
+  {", ".join(_sql_days("value", HOT_DAYS_OVER, (1, 7), (7,), fe.DEFAULT_STATS))},
+  count(value) OVER ({HOT_DAYS_OVER} {_back(7)}) AS rolling_7d_count
+FROM ({HOT_EVENTS_SQL})""",
+)
+def w3_hot_series_by_days(spark, sf):
+    """Many rows a day, and one series with a third of the table."""
+    out = bydays.day_features(
+        hot_events(spark, sf),
+        "value",
+        lags=(1, 7),
+        windows=(7,),
+        stats=(*fe.DEFAULT_STATS, "count"),
+        group_cols=("key",),
+        date_col="ts",
+    )
+    made = ["lag_1d", "lag_7d", *[f"rolling_7d_{s}" for s in (*fe.DEFAULT_STATS, "count")]]
+    return round_doubles(out.select("event_id", "key", *made))
