@@ -238,8 +238,11 @@ def _with_filled_price(df: DataFrame, price_col: str, g: list[str], date_col: st
     if strategy != "chunked":
         return df, None
     order = _order_cols(date_col, g, df)
+    price = F.col(price_col)
+    # a frame that brings the column has values for some NULL prices already
+    seed = F.coalesce(price, F.col(FILLED_PRICE)) if FILLED_PRICE in df.columns else price
     return ordered.fill_nulls_ordered(
-        df.withColumn(FILLED_PRICE, F.col(price_col)),
+        df.withColumn(FILLED_PRICE, seed),
         [FILLED_PRICE],
         order,
         group_cols=g,
@@ -362,65 +365,144 @@ def create_features(
     g = list(group_cols or [])
     price_stats = None
     if include_price and g:
-        # one row per series, written once to the checkpoint folder for the
-        # join and the global extremes below
+        price_stats = series_table(df, g)
+    out = window_features(
+        df, target_col, date_col, g, include_lags, include_rolling, include_price,
+        lags, windows, stats, strategy, chunk_rows,
+    )
+    med = None
+    roll_cols = [c for c in out.columns if c not in df.columns and c.startswith("rolling_")]
+    if roll_cols:
+        # Materialise only the base and window columns (the row-local
+        # features below are cheap to derive again) in the shared checkpoint
+        # folder, so the window stage runs once for the medians and the output.
         from sparkcast.session import checkpoint_dir
 
-        checkpoint_dir(df.sparkSession)
-        extremes = [c for c in ("price", "economic_index") if c in df.columns]
-        price_stats = group_stats_table(
-            df, "price", g, prefix="price", extremes_of=extremes
-        ).checkpoint(eager=True)
+        checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+        med = rolling_medians(out, roll_cols)
+    price_scalars = None
+    if include_price and not g:
+        # global scalars from the input (price is untouched by the windows)
+        agg = df.agg(F.struct(F.avg("price").alias("m"), F.stddev_samp("price").alias("s"))).scalar()
+        price_scalars = {"price_mean": agg["m"], "price_std": agg["s"]}
+    minmax = None
+    if include_interactions and price_stats is not None:
+        # global extremes from the per-series table (one row per series,
+        # NULL-key group included) instead of another pass over the data
+        fields = _extreme_fields(price_stats)
+        minmax = price_stats.agg(F.struct(*fields)).scalar() if fields else None
+    return complete_features(
+        out, df, date_col, g, med, price_stats, price_scalars, minmax,
+        include_time, include_price, include_interactions,
+    )
+
+
+EXTREMES_OF = ("price", "economic_index")
+
+
+def series_table(df: DataFrame, g: Sequence[str]) -> DataFrame:
+    """One row per series (price statistics, extremes), written once to the
+    checkpoint folder for the join and the global extremes."""
+    from sparkcast.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    extremes = [c for c in EXTREMES_OF if c in df.columns]
+    return group_stats_table(df, "price", g, prefix="price", extremes_of=extremes).checkpoint(eager=True)
+
+
+def _extreme_fields(price_stats: DataFrame) -> list[Column]:
+    fields = []
+    for c in EXTREMES_OF:
+        if f"_lo_{c}" in price_stats.columns:
+            fields += [F.min(f"_lo_{c}").alias(f"{c}_lo"), F.max(f"_hi_{c}").alias(f"{c}_hi")]
+    return fields
+
+
+def rolling_medians(out: DataFrame, roll_cols: Sequence[str]) -> dict:
+    """Exact median of each rolling column: the fill of its NULLs."""
+    row = ordered.quantile_columns(out, list(roll_cols), [0.5], name=lambda c, q: c).first()
+    return {c: row[c] for c in roll_cols} if row is not None else {}
+
+
+def window_features(
+    df: DataFrame,
+    target_col: str,
+    date_col: str,
+    g: list[str],
+    include_lags: bool,
+    include_rolling: bool,
+    include_price: bool,
+    lags: Sequence[int],
+    windows: Sequence[int],
+    stats: Sequence[str],
+    strategy: str = "chunked",
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """The ordered half of C3: lags, rolling stats and price changes in one
+    window pass, NULLs of short histories not filled."""
     if not g:
         strategy = "chunked"
     out, ord_rows = df, None
     if include_price:
         out, ord_rows = _with_filled_price(out, "price", g, date_col, strategy)
     filled = FILLED_PRICE if include_price and strategy == "chunked" else None
-    # lags, rolling stats and price changes share one window pass
-    halo = max(
+    if not (include_lags or include_rolling or include_price):
+        return out
+
+    def make(w, look_back):
+        cols = {}
+        if include_lags:
+            cols.update(lag_columns(w, target_col, lags, g))
+        if include_rolling:
+            cols.update(rolling_columns(w, target_col, windows, stats, g))
+        if include_price:
+            cols.update(price_change_columns(w, "price", g, look_back, filled))
+        return cols
+
+    out = ordered.ordered_window_columns(
+        out,
+        _order_cols(date_col, g, df),
+        g,
+        halo=look_back_rows(include_lags, include_rolling, include_price, lags, windows),
+        make_columns=make,
+        strategy=strategy,
+        chunk_rows=chunk_rows,
+        ordinal_rows=ord_rows,
+    )
+    return out.drop(FILLED_PRICE, ordered.ORD)
+
+
+def look_back_rows(include_lags, include_rolling, include_price, lags, windows) -> int:
+    """Rows before the current one that the window columns read."""
+    return max(
         [*(lags if include_lags else [0]), *(windows if include_rolling else [0])]
         + ([PRICE_CARRY_ROWS] if include_price else [])
     )
-    if include_lags or include_rolling or include_price:
-
-        def make(w, look_back):
-            cols = {}
-            if include_lags:
-                cols.update(lag_columns(w, target_col, lags, g))
-            if include_rolling:
-                cols.update(rolling_columns(w, target_col, windows, stats, g))
-            if include_price:
-                cols.update(price_change_columns(w, "price", g, look_back, filled))
-            return cols
-
-        out = ordered.ordered_window_columns(
-            out,
-            _order_cols(date_col, g, df),
-            g,
-            halo=halo,
-            make_columns=make,
-            strategy=strategy,
-            chunk_rows=chunk_rows,
-            ordinal_rows=ord_rows,
-        )
-        out = out.drop(FILLED_PRICE, ordered.ORD)
+
+
+def complete_features(
+    out: DataFrame,
+    df: DataFrame,
+    date_col: str,
+    g: list[str],
+    medians: dict | None,
+    price_stats: DataFrame | None,
+    price_scalars: dict | None,
+    minmax: Column | None,
+    include_time: bool,
+    include_price: bool,
+    include_interactions: bool,
+) -> DataFrame:
+    """The row-local half of C3 over ``window_features`` of ``df``: NULL fills
+    (lags 0, rolling columns their median), calendar, price statistics by join
+    or as scalars, interactions."""
     window_cols = [c for c in out.columns if c not in df.columns]
     lag_cols = [c for c in window_cols if c.startswith("lag_")]
     roll_cols = [c for c in window_cols if c.startswith("rolling_")]
-    med = None
-    if roll_cols:
-        # Materialise only the base and window columns (the row-local
-        # features below are cheap to derive again) in the shared checkpoint
-        # folder, so the window stage runs once for the medians and the output.
-        from sparkcast.session import checkpoint_dir
-
-        checkpoint_dir(out.sparkSession)
-        out = out.checkpoint(eager=True)
-        med = ordered.quantile_columns(out, roll_cols, [0.5], name=lambda c, q: c).first()
     fills = {c: F.coalesce(F.col(c), F.lit(0).cast(out.schema[c].dataType)) for c in lag_cols}
     for c in roll_cols:
-        m = med[c] if med is not None else None
+        m = (medians or {}).get(c)
         fills[c] = F.coalesce(F.col(c), F.lit(m).cast("double")) if m is not None else F.col(c)
     if fills:
         out = out.withColumns(fills)
@@ -432,35 +514,15 @@ def create_features(
     price_cols: list[str] = []
     if include_price:
         if g:
-            out = out.join(
-                price_stats.select(*g, "price_mean", "price_std", "price_min", "price_max"), g, "left"
-            )
             stat_cols = ["price_mean", "price_std", "price_min", "price_max"]
+            out = out.join(price_stats.select(*g, *stat_cols), g, "left")
         else:
-            # global scalars from the input (price is untouched by the windows)
-            agg = df.agg(F.struct(F.avg("price").alias("m"), F.stddev_samp("price").alias("s"))).scalar()
-            out = out.withColumns({"price_mean": agg["m"], "price_std": agg["s"]})
             stat_cols = ["price_mean", "price_std"]
+            out = out.withColumns({c: price_scalars[c] for c in stat_cols})
         out = out.withColumn("price_vs_mean", safe_div(F.col("price"), F.col("price_mean")))
         price_cols = [*stat_cols, "price_vs_mean", "price_change", "price_change_pct"]
-    ordered_cols = (
-        list(df.columns)
-        + time_cols
-        + lag_cols
-        + roll_cols
-        + price_cols
-    )
-    out = out.select(*ordered_cols)
+    out = out.select(*df.columns, *time_cols, *lag_cols, *roll_cols, *price_cols)
     if include_interactions:
-        minmax = None
-        if price_stats is not None:
-            # global extremes from the per-series table (one row per series,
-            # NULL-key group included) instead of another pass over the data
-            cs = [c for c in ("price", "economic_index") if f"_lo_{c}" in price_stats.columns]
-            fields = []
-            for c in cs:
-                fields += [F.min(f"_lo_{c}").alias(f"{c}_lo"), F.max(f"_hi_{c}").alias(f"{c}_hi")]
-            minmax = price_stats.agg(F.struct(*fields)).scalar() if fields else None
         out = create_interaction_features(out, stats_source=df, minmax=minmax)
     return out
 

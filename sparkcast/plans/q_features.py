@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkcast.functions import calendar
-from sparkcast.operators import bydays
+from sparkcast.operators import appending, bydays
 from sparkcast.operators import features as fe
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
+from sparkcast.session import scratch_dir
+from sparkcast.sources.store import FeatureStore
 from sparkcast.sources.tables import DEMAND_SQL, demand_view, read_table
 
 BASE = [
@@ -121,20 +123,22 @@ MINMAX = (
 )
 
 
-def _c3_sql(over: str, grouped: bool) -> str:
+def _c3_sql(over: str, grouped: bool, until: str = "true") -> str:
+    """``until``: the rows that medians, price statistics and extremes are
+    fitted on; with a condition, only the other rows are returned."""
     time_sel = ", ".join(_sql_calendar_full() + _sql_cyclic(rounded=False))
     win_sel = ", ".join(_sql_lags(over) + _sql_rolling(over) + _sql_price_change(over))
     if grouped:
         stats = (
             "g AS (SELECT product_id, store_id, avg(price) AS price_mean, "
             "stddev_samp(price) AS price_std, min(price) AS price_min, max(price) AS price_max "
-            "FROM demand GROUP BY product_id, store_id),"
+            "FROM fitted GROUP BY product_id, store_id),"
         )
-        join = "JOIN g USING (product_id, store_id)"
+        join = ("" if until == "true" else "LEFT ") + "JOIN g USING (product_id, store_id)"
         stat_cols = ["price_mean", "price_std", "price_min", "price_max"]
     else:
         stats = (
-            "g AS (SELECT avg(price) AS price_mean, stddev_samp(price) AS price_std FROM demand),"
+            "g AS (SELECT avg(price) AS price_mean, stddev_samp(price) AS price_std FROM fitted),"
         )
         join = ", g"
         stat_cols = ["price_mean", "price_std"]
@@ -163,13 +167,15 @@ def _c3_sql(over: str, grouped: bool) -> str:
     )
     return f"""
 WITH demand AS ({DEMAND_SQL}),
+fitted AS (SELECT * FROM demand WHERE {until}),
 t AS (SELECT *, {time_sel} FROM demand),
 w AS (SELECT *, {win_sel} FROM t),
 {stats}
-m AS (SELECT {med} FROM w),
-mm AS {MINMAX}
+m AS (SELECT {med} FROM w WHERE {until}),
+mm AS {MINMAX.replace("FROM demand", "FROM fitted")}
 SELECT {", ".join(out_cols)}
 FROM w {join}, m, mm
+{"" if until == "true" else f"WHERE NOT ({until})"}
 """
 
 
@@ -188,6 +194,38 @@ def c3_features_global(spark, sf):
     return round_doubles(fe.create_features(demand_view(spark, sf), group_cols=None))
 
 
+# C3 on new data: a state fitted before a day, kept in the store, meets the days
+# after it in two parts
+NEW_FROM, NEW_THEN = "1998-01-01", "1998-05-01"
+
+
+def _new_days(spark, sf, groups):
+    d = demand_view(spark, sf)
+    store = FeatureStore(spark, scratch_dir(spark, "feature-state"))
+    date = F.col("date")
+    old, first, then = (
+        d.where(date < NEW_FROM),
+        d.where((date >= NEW_FROM) & (date < NEW_THEN)),
+        d.where(date >= NEW_THEN),
+    )
+    _, state = appending.fit_features(old, group_cols=groups)
+    state.save(store, "demand", "v1")
+    state = appending.load_state(store, "demand")
+    state.advance(first).save(store, "demand", "v2")
+    later = appending.load_state(store, "demand")
+    return round_doubles(state.transform(first).unionByName(later.transform(then)))
+
+
+@register("c3_new_days", _c3_sql(SERIES_SQL, True, f"date < DATE '{NEW_FROM}'"))
+def c3_new_days(spark, sf):
+    return _new_days(spark, sf, fe.SERIES)
+
+
+@register("c3_new_days_global", _c3_sql(GLOBAL_SQL, False, f"date < DATE '{NEW_FROM}'"))
+def c3_new_days_global(spark, sf):
+    return _new_days(spark, sf, None)
+
+
 KEY_SEL = "date, product_id, store_id"
 
 
