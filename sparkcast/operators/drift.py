@@ -11,8 +11,9 @@ tests and thresholds here are our own, stated plainly:
   against reference proportions is reported alongside.
 * dataset drift: share of drifted columns >= 0.5.
 
-The two sides are unioned with a side tag, unpivoted to (column, value) and
-counted per (column, value), numeric and categorical columns apart. The
+Both sides are unpivoted to (kind, column, value) and counted by value in one
+aggregate, numeric and categorical columns together. Counts can be added, so the
+reference side may also be a stored count table (``drift_reference``). The
 cumulative distributions are chunked prefix sums over the *count* table (one
 row per distinct value), so no task holds a whole column.
 """
@@ -40,21 +41,50 @@ def column_roles(df: DataFrame, exclude: Sequence[str] = ("date", "target_demand
     return numeric, categorical
 
 
-def _tagged(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_string: bool) -> DataFrame:
-    cast = "string" if as_string else "double"
-    both = reference.select(*columns).withColumn("_ref", F.lit(True)).unionByName(
-        current.select(*columns).withColumn("_ref", F.lit(False))
+def value_rows(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], side: str) -> DataFrame:
+    """(kind, column, value, label, cr, cc): one row per cell, counted 1 on its
+    ``side`` ("reference" or "current"). Numeric cells have a ``value``,
+    categorical ones a ``label``; NULL cells have neither."""
+    no_value, no_label = F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("label")
+    cells = [
+        F.struct(F.lit("numeric").alias("kind"), F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), no_label)
+        for c in numeric
+    ] + [
+        F.struct(F.lit("categorical").alias("kind"), F.lit(c).alias("column"), no_value, F.col(c).cast("string").alias("label"))
+        for c in categorical
+    ]
+    ref = int(side == "reference")
+    return df.select(
+        F.inline(F.array(*cells)), F.lit(ref).cast("bigint").alias("cr"), F.lit(1 - ref).cast("bigint").alias("cc")
     )
-    kv = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(cast).alias("value")) for c in columns])
-    )
-    return both.select("_ref", kv.alias("_kv")).select("_ref", "_kv.*").where(F.col("value").isNotNull())
 
 
-def _value_counts(tagged: DataFrame) -> DataFrame:
-    """(column, value, cr, cc) -- one distributed, map-side combined count."""
-    return tagged.groupBy("column", "value").agg(
-        F.count_if(F.col("_ref")).alias("cr"), F.count_if(~F.col("_ref")).alias("cc")
+def sum_counts(*parts: DataFrame) -> DataFrame:
+    """Counts of both sides by value: one map-side combined aggregate over cells
+    and counts made earlier alike."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy("kind", "column", "value", "label").agg(F.sum("cr").alias("cr"), F.sum("cc").alias("cc"))
+
+
+def _both_counts(reference, current, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """The count table of two frames, each read once, written to the checkpoint
+    folder: every statistic below reads it instead of the data."""
+    checkpoint_dir(reference.sparkSession)
+    return sum_counts(
+        value_rows(reference, numeric, categorical, "reference"),
+        value_rows(current, numeric, categorical, "current"),
+    ).checkpoint(eager=True)
+
+
+def numeric_counts(counts: DataFrame) -> DataFrame:
+    return counts.where((F.col("kind") == "numeric") & F.col("value").isNotNull()).select("column", "value", "cr", "cc")
+
+
+def _categorical_counts(counts: DataFrame) -> DataFrame:
+    return counts.where((F.col("kind") == "categorical") & F.col("label").isNotNull()).select(
+        "column", F.col("label").alias("value"), "cr", "cc"
     )
 
 
@@ -62,35 +92,41 @@ def _side_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(F.sum("cr").alias("nr"), F.sum("cc").alias("nc"))
 
 
-def _running_counts(counts: DataFrame) -> DataFrame:
+def running_counts(counts: DataFrame) -> DataFrame:
     """Adds cumulative cr/cc (``ccr``, ``ccc``) and the next value per column.
 
     Prefix sums over (column, value) in chunks of consecutive values: sums
-    inside chunks, running sums of chunk totals per column, next value by a
-    join on ordinal + 1; a column with any number of distinct values is never
-    one task.
+    inside chunks, running sums of chunk totals per column, next value by
+    ``lead`` inside the chunk and the first value of the column's next chunk
+    behind it; a column with any number of distinct values is never one task.
     """
     d, n = ordered.with_ordinal_n(counts, ["column", "value"])
     chunk_rows = ordered.adaptive_chunk_rows(counts, n, 1)
     d = d.withColumn(
         "_chunk", F.floor(F.col(ordered.ORD) / F.lit(chunk_rows)).cast("bigint")
     )
-    inner = Window.partitionBy("_chunk", "column").orderBy(ordered.ORD).rowsBetween(
-        Window.unboundedPreceding, 0
+    place = Window.partitionBy("_chunk", "column").orderBy(ordered.ORD)
+    inner = place.rowsBetween(Window.unboundedPreceding, 0)
+    within = d.withColumns(
+        {
+            "_icr": F.sum("cr").over(inner),
+            "_icc": F.sum("cc").over(inner),
+            "_inner_next": F.lead("value").over(place),
+        }
     )
-    within = d.withColumns({"_icr": F.sum("cr").over(inner), "_icc": F.sum("cc").over(inner)})
-    totals = d.groupBy("column", "_chunk").agg(F.sum("cr").alias("_tr"), F.sum("cc").alias("_tc"))
-    before = Window.partitionBy("column").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy("column", "_chunk").agg(
+        F.sum("cr").alias("_tr"), F.sum("cc").alias("_tc"), F.min("value").alias("_first")
+    )
+    chunks = Window.partitionBy("column").orderBy("_chunk")
+    before = chunks.rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         "column",
         "_chunk",
         F.coalesce(F.sum("_tr").over(before), F.lit(0)).alias("_pr"),
         F.coalesce(F.sum("_tc").over(before), F.lit(0)).alias("_pc"),
+        F.lead("_first").over(chunks).alias("_next_first"),
     )
-    nxt = d.select(
-        "column", (F.col(ordered.ORD) - 1).alias(ordered.ORD), F.col("value").alias("next_value")
-    )
-    out = within.join(carry, ["column", "_chunk"]).join(nxt, ["column", ordered.ORD], "left")
+    out = within.join(carry, ["column", "_chunk"])
     return out.select(
         "column",
         "value",
@@ -98,7 +134,7 @@ def _running_counts(counts: DataFrame) -> DataFrame:
         "cc",
         (F.col("_icr") + F.col("_pr")).alias("ccr"),
         (F.col("_icc") + F.col("_pc")).alias("ccc"),
-        "next_value",
+        F.coalesce("_inner_next", "_next_first").alias("next_value"),
     )
 
 
@@ -108,19 +144,15 @@ def numeric_drift(
     columns: Sequence[str],
     threshold: float = DEFAULT_THRESHOLD,
 ) -> DataFrame:
-    """D1 numeric: per column ks (D), wasserstein, ref_std, wasserstein_normed, drift.
+    """D1 numeric: per column ks (D), wasserstein, ref_std, wasserstein_normed, drift."""
+    return numeric_drift_of(numeric_counts(_both_counts(reference, current, columns, [])), threshold)
 
-    The data is read once: the (column, value) count table is cached (one row
-    per distinct value), and the CDFs, the next-value gaps and the reference
-    moments all come from it.
-    """
-    tagged = _tagged(reference, current, columns, as_string=False)
-    # one row per (column, distinct value), written once to the checkpoint
-    # folder: every statistic below reads it instead of the data
-    checkpoint_dir(reference.sparkSession)
-    counts = _value_counts(tagged).checkpoint(eager=True)
+
+def numeric_drift_of(counts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """D1 numeric over a stored count table (column, value, cr, cc): the CDFs,
+    the next-value gaps and the reference moments all come from it."""
     totals = _side_totals(counts)
-    run = _running_counts(counts).join(totals, "column")
+    run = running_counts(counts).join(totals, "column")
     fr = F.try_divide(F.col("ccr"), F.col("nr"))
     fc = F.try_divide(F.col("ccc"), F.col("nc"))
     gap = F.abs(fr - fc)
@@ -167,8 +199,11 @@ def categorical_drift(
     threshold: float = DEFAULT_THRESHOLD,
 ) -> DataFrame:
     """D1 categorical: Jensen-Shannon distance and chi-square statistic per column."""
-    tagged = _tagged(reference, current, columns, as_string=True)
-    vc = _value_counts(tagged)
+    return categorical_drift_of(_categorical_counts(_both_counts(reference, current, [], columns)), threshold)
+
+
+def categorical_drift_of(vc: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """D1 categorical over a count table (column, value, cr, cc)."""
     counts = vc.join(_side_totals(vc), "column")
     p = F.try_divide(F.col("cr"), F.col("nr"))
     q = F.try_divide(F.col("cc"), F.col("nc"))
@@ -206,22 +241,27 @@ def column_drift(
         n0, c0 = column_roles(reference)
         numeric = n0 if numeric is None else numeric
         categorical = c0 if categorical is None else categorical
+    return column_drift_of(_both_counts(reference, current, numeric, categorical), numeric, categorical, threshold)
+
+
+def column_drift_of(
+    counts: DataFrame, numeric: Sequence[str], categorical: Sequence[str], threshold: float = DEFAULT_THRESHOLD
+) -> DataFrame:
+    """D2 over a stored count table of both sides (``sum_counts``)."""
     parts = []
     if numeric:
-        parts.append(
-            numeric_drift(reference, current, numeric, threshold).select(
-                "column", F.lit("numeric").alias("kind"), "stattest_name", "drift_score", "drift_detected"
-            )
-        )
+        of = numeric_counts(counts).where(F.col("column").isin(list(numeric)))
+        parts.append((numeric_drift_of(of, threshold), "numeric"))
     if categorical:
-        parts.append(
-            categorical_drift(reference, current, categorical, threshold).select(
-                "column", F.lit("categorical").alias("kind"), "stattest_name", "drift_score", "drift_detected"
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        of = _categorical_counts(counts).where(F.col("column").isin(list(categorical)))
+        parts.append((categorical_drift_of(of, threshold), "categorical"))
+    tables = [
+        p.select("column", F.lit(kind).alias("kind"), "stattest_name", "drift_score", "drift_detected")
+        for p, kind in parts
+    ]
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
     return out
 
 

@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkcast.operators import drift as D
+from sparkcast.operators import drift_reference as DR
 from sparkcast.operators import split as S
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import r, round_doubles
 from sparkcast.session import scratch_dir
+from sparkcast.sources.store import FeatureStore
 from sparkcast.sources.tables import DEMAND_SQL, RAW_DEFECTS_SQL, demand_view, raw_with_defects, read_table
 
 NUMERIC = ["product_id", "category_id", "store_id", "historical_sales", "price", "economic_index"]
@@ -231,3 +233,29 @@ def d6_monitoring(spark, sf):
     q = run["quality"].agg(F.count(F.lit(1)).cast("bigint").alias("quality_rows"))
     status = run["dataset"].withColumn("quality_rows", q.scalar())
     return round_doubles(status)
+
+
+def _stored_reference(spark, ref):
+    """Counted in two halves that are merged, saved and read back."""
+    store = FeatureStore(spark, scratch_dir(spark, "drift-reference"))
+    half = F.pmod("product_id", F.lit(2)) == 0
+    parts = [DR.fit_reference(ref.where(c), NUMERIC, CATEGORICAL, QUALITY_COLS) for c in (half, ~half)]
+    parts[0].merge(parts[1]).save(store, "demand", "v1")
+    return DR.load_reference(store, "demand")
+
+
+@register(
+    "d2_stored_reference",
+    _columns_sql()
+    + f""" SELECT "column", kind, stattest_name, {r('drift_score')} AS drift_score, drift_detected FROM cols""",
+)
+def d2_stored_reference(spark, sf):
+    ref, cur = demand_sides(spark, sf)
+    return round_doubles(DR.drift_against(_stored_reference(spark, ref), cur))
+
+
+@register("d6_stored_reference", _quality_sql(QUALITY_ROWS_SQL, "side"))
+def d6_stored_reference(spark, sf):
+    """The quality table of a run against the stored reference."""
+    ref, cur = demand_sides(spark, sf)
+    return round_doubles(DR.monitoring_against(_stored_reference(spark, ref), cur)["quality"])
