@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkcast.functions.calendar import day_name
 from sparkcast.functions.stats import int_float_columns
-from sparkcast.operators import ordered
+from sparkcast.operators import gram, ordered
 from sparkcast.sources.tables import KEY
 
 
@@ -142,12 +142,7 @@ def target_correlations(
     runs over one row per column, not over data.
     """
     cols = list(columns) if columns else int_float_columns(df.schema, exclude=(target_col,))
-    from sparkcast.operators.profile import _corr_exprs
-
-    pairs = [(c, target_col) for c in cols]
-    wide = df.agg(*[e.alias(f"_c{i}") for i, e in enumerate(_corr_exprs(df, pairs))])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"_c{i}").alias("correlation")) for i, c in enumerate(cols)]
-    long = wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    long = gram.correlations_with(df, cols, target_col).withColumnRenamed("r", "correlation")
     w = Window.orderBy(F.desc_nulls_last(F.abs(F.col("correlation"))), F.asc("column"))
     return long.withColumn("rank", F.row_number().over(w).cast("bigint"))
 

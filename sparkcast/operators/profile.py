@@ -17,12 +17,11 @@ from pyspark.sql import types as T
 
 from sparkcast.functions.stats import (
     NUMERIC_TYPES,
-    corr_pairwise,
     kurt_sample,
     numeric_columns,
     skew_sample,
 )
-from sparkcast.operators import ordered
+from sparkcast.operators import gram, ordered
 
 DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -209,42 +208,11 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5)
     )
 
 
-def _corr_exprs(df: DataFrame, pairs: list[tuple[str, str]]) -> list[Column]:
-    """One r per pair. Columns without NULLs share one ``stddev_pop`` across
-    all their pairs (a cheap null-count job decides); a pair that involves a
-    nullable column uses its own pairwise-complete moments."""
-    cols = sorted({c for p in pairs for c in p})
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    dense = {c for c in cols if not nulls[c]}
-    out = []
-    for a, b in pairs:
-        if a in dense and b in dense:
-            sa = F.stddev_pop(F.col(a))
-            sb = F.stddev_pop(F.col(b))
-            if a == b:
-                out.append(F.when(sa > 0, F.lit(1.0)))
-            else:
-                out.append(F.try_divide(F.covar_pop(F.col(a), F.col(b)), sa * sb))
-        else:
-            out.append(corr_pairwise(a, b))
-    return out
-
-
 def correlation_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson r for every pair (both orders and the diagonal), unrounded.
-
-    k(k+1)/2 coefficients in one aggregate; NULL where a side is constant.
-    Identical ``stddev_pop`` expressions are computed once by the optimizer.
-    """
+    """Pearson r for every pair (both orders and the diagonal), unrounded;
+    NULL where a side is constant."""
     cols = list(columns) if columns else numeric_columns(df.schema)
-    pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
-    wide = df.agg(*[e.alias(f"_c{i}") for i, e in enumerate(_corr_exprs(df, pairs))])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows.append(F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"_c{i}").alias("r")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("col1"), F.lit(a).alias("col2"), F.col(f"_c{i}").alias("r")))
-    return _explode_rows(wide, rows)
+    return gram.pair_correlations(df, cols).select("col1", "col2", "r")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -257,14 +225,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 def high_correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold: float = 0.7) -> DataFrame:
     """Upper-triangle pairs with |r| > threshold (tested before rounding)."""
     cols = list(columns) if columns else numeric_columns(df.schema)
-    upper = list(combinations(cols, 2))
-    wide = df.agg(*[e.alias(f"_c{i}") for i, e in enumerate(_corr_exprs(df, upper))])
-    rows = [
-        F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"_c{i}").alias("r"))
-        for i, (a, b) in enumerate(upper)
-    ]
     return (
-        _explode_rows(wide, rows)
+        gram.pair_correlations(df, cols)
+        .where(F.col("a") < F.col("b"))
         .where(F.abs(F.col("r")) > threshold)
         .select("col1", "col2", F.round(F.col("r"), 3).alias("correlation"))
     )
