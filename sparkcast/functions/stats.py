@@ -32,20 +32,6 @@ def kurt_sample(c: str | Column) -> Column:
     return F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
-def corr_pairwise(a: str | Column, b: str | Column) -> Column:
-    """Pearson r over rows where both are non-null; NULL for a constant side.
-
-    ``corr`` raises DIVIDE_BY_ZERO under ANSI on a constant column, and a
-    CASE around it does not help because the aggregate runs first.
-    """
-    x, y = col_(a), col_(b)
-    both = x.isNotNull() & y.isNotNull()
-    return F.try_divide(
-        F.covar_pop(x, y),
-        F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)),
-    )
-
-
 NUMERIC_TYPES = (
     T.ByteType,
     T.ShortType,
