@@ -1,15 +1,15 @@
 """Tree ensembles grown in stages, with a validation curve by round (M2, M7).
 
-A round of boosting is one regression tree on the residual column. The
-residuals of a stage are written once (``checkpoint``), so the plan of a round
-never holds more than one stage of trees, and a lost executor costs one stage
-at most. After a stage one aggregate over the validation rows gives the error
-after each of its rounds. A forest grows by whole stages of trees, whose mean
-is its prediction.
-
-The trees are those of Spark ML; a grown ensemble is an ordinary
-``GBTRegressionModel`` or ``RandomForestRegressionModel`` and is saved, loaded
-and scored like any other.
+A round of boosting is one regression tree on the residual. The rounds are those
+of Spark ML's ``GBTRegressor``, which bins the rows once for all of them; one
+pass over the validation rows gives the error after each. Spark ML cannot go on
+from a grown model, so more rounds mean a fit from the first one: equal seeds
+give the same trees again. Its trees fit twice the residual (the gradient of the
+squared error), so half the rate is the rate here. A forest grows by whole
+stages of trees, whose mean is its prediction.
+
+A grown ensemble is an ordinary ``GBTRegressionModel`` or
+``RandomForestRegressionModel`` and is saved, loaded and scored like any other.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.regression import (
     GBTRegressionModel,
+    GBTRegressor,
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
@@ -28,10 +29,13 @@ from pyspark.storagelevel import StorageLevel
 
 #: Rounds without a better validation error after which growing ends.
 PATIENCE = 20
-#: Rounds between two written residual columns.
+#: Trees a forest grows between two looks at the validation error.
 STAGE = 10
+#: Rounds of a first boosting fit; the next one has three times as many, so
+#: rounds past the end of patience and rounds grown again stay a bounded share.
+FIRST = 100
 
-FEATURES, LABEL, LEFT = "_features", "_label", "_left"
+FEATURES, LABEL, SO_FAR = "_features", "_label", "_so_far"
 
 
 def _java_ensemble(spark, kind: str, trees, weights, n_features: int):
@@ -120,45 +124,33 @@ class Ensemble:
         """Grow to ``rounds`` rounds, or until the limit or the end of patience."""
         goal = min(rounds, self.limit)
         while len(self.trees) < goal and not self.stopped:
-            n = min(self.stage, goal - len(self.trees))
             if self.kind == "gbt":
-                self._boost(n)
+                self._boost(min(goal, max(FIRST, 3 * len(self.trees))))
             else:
-                self._plant(n)
+                self._plant(min(self.stage, goal - len(self.trees)))
         return self
 
     def _boost(self, n: int) -> None:
-        start = F.col(LABEL).alias(LEFT)
-        if not self.trees:
-            self._fit_left = self._write(self.fit_rows.select(FEATURES, LABEL, start))
-            self._check_left = self.check_rows.select(FEATURES, LABEL, start)
-        fit, check = self._fit_left, self._check_left
-        before, errors = len(self.trees), []
-        for _ in range(n):
-            step = self._fit(fit, LEFT, 1)
-            # the first tree counts in full, as in Spark ML's own boosting
-            weight = float(self.params.get("stepSize", 0.1)) if self.trees else 1.0
-            self.trees.append(step.trees[0])
-            self.weights.append(weight)
-            left = F.col(LEFT) - F.lit(weight) * F.col("_step")
-            fit = step.transform(fit).select(FEATURES, LABEL, left.alias(LEFT))
-            past = [c for c in check.columns if c.startswith("_e")]
-            check = step.transform(check).select(
-                FEATURES, LABEL, left.alias(LEFT), *past, (left * left).alias(f"_e{len(past)}")
-            )
-            errors.append(F.sqrt(F.avg(f"_e{len(past)}")))
-        old = self._held[:]
-        self._check_left = self._write(check)
-        found = self._check_left.agg(*[e.alias(f"r{i}") for i, e in enumerate(errors)]).first()
-        self._check_left = self._check_left.select(FEATURES, LABEL, LEFT)
-        self._fit_left = self._write(fit)
-        self._release(old)
-        for i, error in enumerate(found):
-            if self.stopped:  # rounds after the end of patience do not count
-                del self.trees[before + i :], self.weights[before + i :]
+        """The first ``n`` rounds; those past the end of patience do not count."""
+        grown = GBTRegressor(
+            featuresCol=FEATURES,
+            labelCol=LABEL,
+            predictionCol="_step",
+            maxIter=n,
+            stepSize=float(self.params.get("stepSize", 0.1)) / 2,
+            seed=int(self.params.get("seed", 42)),
+            **self._tree_params(),
+        ).fit(self.fit_rows)
+        check = self.check_rows.where(F.col(LABEL).isNotNull())
+        errors = [math.inf] * n if check.isEmpty() else grown.evaluateEachIteration(check, "squared")
+        self.rounds, self.curve = [], []
+        for i, error in enumerate(errors, 1):
+            if self.stopped:
                 break
-            self.rounds.append(before + i + 1)
-            self.curve.append(float(error) if error is not None else math.inf)
+            self.rounds.append(i)
+            self.curve.append(math.sqrt(error))
+        self.trees = list(grown.trees[: len(self.rounds)])
+        self.weights = list(grown.treeWeights[: len(self.rounds)])
 
     def _plant(self, n: int) -> None:
         step = self._fit(self.fit_rows, LABEL, n)
@@ -166,14 +158,14 @@ class Ensemble:
         self.trees += step.trees
         self.weights += [1.0] * n
         if not before:
-            self._check_left = self.check_rows.select(FEATURES, LABEL, F.lit(0.0).alias(LEFT))
-        mean = (F.col(LEFT) * before + F.col("_step") * n) / (before + n)
+            self._check_left = self.check_rows.select(FEATURES, LABEL, F.lit(0.0).alias(SO_FAR))
+        mean = (F.col(SO_FAR) * before + F.col("_step") * n) / (before + n)
         old = self._held[:]
         self._check_left = self._write(
-            step.transform(self._check_left).select(FEATURES, LABEL, mean.alias(LEFT))
+            step.transform(self._check_left).select(FEATURES, LABEL, mean.alias(SO_FAR))
         )
         self._release(old)
-        error = self._check_left.agg(F.sqrt(F.avg(F.pow(F.col(LABEL) - F.col(LEFT), 2)))).first()[0]
+        error = self._check_left.agg(F.sqrt(F.avg(F.pow(F.col(LABEL) - F.col(SO_FAR), 2)))).first()[0]
         self.rounds.append(before + n)
         self.curve.append(float(error) if error is not None else math.inf)
 
