@@ -82,7 +82,11 @@ class DemandModel:
         after ``patience`` rounds without a better validation RMSE and is cut
         at the best round; ``curve`` holds the RMSE by round."""
         if validation is None:
-            self.model = self.pipeline().fit(self._prepare(train))
+            # the vectors are written once: the trees read their input several times
+            shaped = self.shaped(train)
+            rows = shaped.transform(self._prepare(train)).select(FEATURES, self.label).checkpoint()
+            trees = self.pipeline().getStages()[-1].fit(rows)
+            self.model = PipelineModel(stages=[*shaped.stages, trees])
         else:
             self._fit_stopping(train, validation, patience, stage)
         self.name = self.name or f"{self.kind}_model"

@@ -31,9 +31,18 @@ _fitted: dict[tuple, M.DemandModel] = {}
 _searched: dict[tuple, T.Search] = {}
 
 
-def model_frames(spark, sf):
+def written_demand(spark, sf):
+    """The daily panel, written once: the split, the windows, the statistics and
+    the scenarios read it many times, and each reading of the view would
+    aggregate ``lineitem`` again."""
+    path = scratch_dir(spark, "demand")
+    demand_view(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def model_frames(spark, sf, demand=None):
     """(train, test, feature columns): per-series features, temporal 80/20."""
-    d = demand_view(spark, sf)
+    d = demand or written_demand(spark, sf)
     mask = S.temporal_train_mask(d, 0.2)
     feats = fe.create_features(d.withColumn("_train", mask), group_cols=fe.SERIES)
     cols = [c for c in fe.training_columns(feats) if c != "_train"]
@@ -48,6 +57,15 @@ def fitted(spark, sf, kind="gbt"):
     return _fitted[key], train, test
 
 
+def fitted_model(spark, sf, kind="gbt", demand=None):
+    """The model alone: no features are built if the session has it."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _fitted:
+        train, _, cols = model_frames(spark, sf, demand)
+        _fitted[key] = M.DemandModel(cols, kind).fit(train)
+    return _fitted[key]
+
+
 def _bounded(spark, metrics, train, test, label="target_demand"):
     """(n, good): test rows, and whether the model meets the quality bound."""
     mean = train.agg(F.avg(F.col(label).cast("double"))).scalar()
@@ -83,7 +101,7 @@ FROM c, (SELECT unnest(range(1, 6)) AS f)
 @register("a18_model_cv", CV_SQL)
 def a18_model_cv(spark, sf):
     """Cross-validation of the forest on expanding folds, with its bound."""
-    d = demand_view(spark, sf)
+    d = written_demand(spark, sf)
     folds = S.time_series_folds(d, 5)
     feats = fe.create_features(folds, group_cols=fe.SERIES)
     cols = [c for c in fe.training_columns(feats) if c != "val_fold"]
@@ -161,7 +179,7 @@ def m2_curve_rules(spark, sf):
 
 @register("m4_importance")
 def m4_importance(spark, sf):
-    m, _, _ = fitted(spark, sf)
+    m = fitted_model(spark, sf)
     return round_doubles(m.feature_importance(spark))
 
 
@@ -169,7 +187,7 @@ def m4_importance(spark, sf):
 SELECT unnest(['a row a feature', 'none negative', 'sum of one', 'in falling order', 'names of features']) AS rule,
        true AS holds""")
 def m4_importance_rules(spark, sf):
-    m, _, _ = fitted(spark, sf)
+    m = fitted_model(spark, sf)
     rows = [tuple(r) for r in m.feature_importance(spark).collect()]  # one row a feature
     shares = [x for _, x in rows]
     found = {
@@ -275,7 +293,7 @@ def m7_tuned_quality(spark, sf):
 
 @register("m8_batch_score")
 def m8_batch_score(spark, sf):
-    m, _, _ = fitted(spark, sf)
+    m = fitted_model(spark, sf)
     scored, rejected = M.batch_score(
         requests_table(spark, sf), m, keep=["prediction_date", "product_id", "store_id"]
     )
@@ -311,8 +329,9 @@ def m9_scenarios(spark, sf):
 
 @register("m9_scenario_scores")
 def m9_scenario_scores(spark, sf):
-    m, _, _ = fitted(spark, sf)
-    req = M.scenario_requests(demand_view(spark, sf), HORIZON)
+    d = written_demand(spark, sf)
+    m = fitted_model(spark, sf, demand=d)
+    req = M.scenario_requests(d, HORIZON)
     scored, _ = M.batch_score(req, m, keep=["prediction_date", "product_id", "store_id"])
     return scored
 
@@ -336,7 +355,8 @@ def a19_forecast_rules(spark, sf):
 
 @register("a19_forecast_summary")
 def a19_forecast_summary(spark, sf):
-    m, _, _ = fitted(spark, sf)
-    req = M.scenario_requests(demand_view(spark, sf), HORIZON)
+    d = written_demand(spark, sf)
+    m = fitted_model(spark, sf, demand=d)
+    req = M.scenario_requests(d, HORIZON)
     scored, _ = M.batch_score(req, m, keep=["prediction_date", "product_id", "store_id"])
     return round_doubles(M.forecast_summary(scored))
