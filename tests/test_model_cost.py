@@ -79,3 +79,19 @@ def test_the_panel_is_aggregated_once(spark, tmp_path, monkeypatch):
     view = q_models.demand_view(spark, str(tmp_path))
     assert sorted(map(tuple, given[0].select(*view.columns).collect())) == sorted(map(tuple, view.collect()))
     assert train.count() + test.count() == view.count()
+
+
+def test_vectors_have_no_more_parts_than_cores_and_rows_need(spark, rows, monkeypatch):
+    model = M.DemandModel(["a", "b"], "forest")
+    shaped = model.shaped(rows)
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(25 * cores))
+        few = model.vectors(shaped, rows)
+        monkeypatch.setattr(M, "PART_ROWS", 20)
+        more = model.vectors(shaped, rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert few.rdd.getNumPartitions() == 2 * cores
+    assert more.rdd.getNumPartitions() == max(2 * cores, 20)
+    assert few.count() == more.count() == rows.count()
