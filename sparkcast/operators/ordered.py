@@ -453,6 +453,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float], by: Se
         *[c.alias(f"_lo{i}") for i, c in enumerate(low)],
         *[c.alias(f"_hi{i}") for i, c in enumerate(high)],
     ).checkpoint()
+    if not by:  # a row a column; else the join would deal all values by column
+        brackets = F.broadcast(brackets)
     same = _and_all([F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     inside, passed = F.lit(False), F.lit(0)
     for i in range(len(qs)):

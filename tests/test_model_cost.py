@@ -8,6 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from sparkcast.operators import models as M
+from sparkcast.operators import ordered
 from sparkcast.operators import split as S
 from sparkcast.operators.boosting import FEATURES, LABEL, Ensemble
 from sparkcast.plans import q_models
@@ -95,3 +96,12 @@ def test_vectors_have_no_more_parts_than_cores_and_rows_need(spark, rows, monkey
     assert few.rdd.getNumPartitions() == 2 * cores
     assert more.rdd.getNumPartitions() == max(2 * cores, 20)
     assert few.count() == more.count() == rows.count()
+
+
+def test_quantiles_do_not_deal_all_values_by_column(rows):
+    found = ordered.quantiles(rows, ["a", "b"], [0.25, 0.5, 0.75])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    a = np.array([r.a for r in rows.collect()])
+    got = {r.q: r.value for r in found.where("column = 'a'").collect()}
+    assert got == pytest.approx({q: np.quantile(a, q) for q in got}, rel=1e-12) and len(got) == 3
