@@ -70,6 +70,39 @@ def _room(pattern, capacity: int) -> int:
     return capacity - sum(n * k for n, k in pattern)
 
 
+class _Rooms(dict):
+    """Room left by each pattern met so far, and the square of each room's fill."""
+
+    #: Patterns remembered at once.
+    most = 1 << 18
+
+    def __init__(self, capacity: int):
+        super().__init__()
+        self.capacity = capacity
+        self.squares = [(1 - room / capacity) ** 2 for room in range(capacity + 1)]
+
+    def __missing__(self, pattern):
+        if len(self) >= self.most:
+            self.clear()
+        room = self[pattern] = _room(pattern, self.capacity)
+        return room
+
+
+_rooms: dict[int, _Rooms] = {}
+
+
+def _rooms_of(capacity: int) -> _Rooms:
+    if capacity not in _rooms:
+        _rooms.clear()
+        _rooms[capacity] = _Rooms(capacity)
+    return _rooms[capacity]
+
+
+def _fullest_first(bins: Counter, room: _Rooms) -> list:
+    """The patterns by room, then pattern."""
+    return [p for _, p in sorted([(room[p], p) for p in bins])]
+
+
 def _with(pattern, length: int, copies: int):
     """The pattern with more pieces of a length."""
     if not pattern or length < pattern[-1][0]:
@@ -86,24 +119,28 @@ def best_fit(bins: Counter, pieces, capacity: int) -> Counter:
     for it: a bin that takes one takes as many of that length as it can hold.
     """
     done, open_ = Counter(), {}
+    room_of = _rooms_of(capacity)
     for pattern, m in bins.items():
-        room = _room(pattern, capacity)
-        if room:
-            open_.setdefault(room, Counter())[pattern] += m
+        room = room_of[pattern]
+        if not room:
+            done[pattern] = m
+        elif room in open_:
+            open_[room][pattern] = m
         else:
-            done[pattern] += m
+            open_[room] = {pattern: m}
     rooms = sorted(open_)
 
     def put(pattern, m, room):
         if not m:
             return
         if not room:
-            done[pattern] += m
+            done[pattern] = done.get(pattern, 0) + m
             return
-        if room not in open_:
-            open_[room] = Counter()
+        held = open_.get(room)
+        if held is None:
+            held = open_[room] = {}
             bisect.insort(rooms, room)
-        open_[room][pattern] += m
+        held[pattern] = held.get(pattern, 0) + m
 
     for length, count in pieces:
         while count:
@@ -127,7 +164,7 @@ def best_fit(bins: Counter, pieces, capacity: int) -> Counter:
             if pattern:
                 put(pattern, m, room)
     for held in open_.values():
-        done.update(held)
+        dict.update(done, held)  # no pattern has two rooms
     return done
 
 
@@ -156,46 +193,62 @@ def lower_bound(counts: Counter, capacity: int) -> int:
 
 def fitness(bins: Counter, capacity: int) -> tuple[int, float]:
     """Smaller is better: sequences first, then how evenly they are filled."""
-    squares = sum(m * (1 - _room(p, capacity) / capacity) ** 2 for p, m in bins.items())
+    room = _rooms_of(capacity)
+    square = room.squares
+    squares = sum([m * square[room[p]] for p, m in bins.items()])
     return sum(bins.values()), -squares
 
 
-def crossover(a: Counter, b: Counter, counts: Counter, rng, capacity: int, well: float) -> Counter:
-    """``a`` with well-filled bins of ``b``; duplicates removed, displaced pieces refitted."""
-    good = sorted(p for p in b if _room(p, capacity) <= (1 - well) * capacity)
+def crossover(a: Counter, b: Counter, counts: Counter, rng, capacity: int, well: float, orders=None) -> Counter:
+    """``a`` with well-filled bins of ``b``; duplicates removed, displaced pieces refitted.
+
+    ``orders`` remembers the parents' patterns in order, by the parent's id.
+    """
+    room, orders = _rooms_of(capacity), {} if orders is None else orders
+    for parent in (a, b):
+        if id(parent) not in orders:
+            order = _fullest_first(parent, room)
+            orders[id(parent)] = order, sorted(p for p in order if room[p] <= (1 - well) * capacity)
+    good = orders[id(b)][1]
     chosen = rng.sample(good, rng.randint(1, len(good))) if good else []
-    child, used = Counter(), Counter()
+    child, left = {}, dict(counts)
     for p in chosen:
-        child[p] = b[p]
+        child[p] = m = b[p]
         for n, k in p:
-            used[n] += k * b[p]
+            left[n] -= k * m
     # the first parent's fullest bins stay as long as their pieces are free
-    for p in sorted(a, key=lambda p: (_room(p, capacity), p)):
-        free = min((counts[n] - used[n]) // k for n, k in p)
-        m = min(a[p], free)
+    for p in orders[id(a)][0]:
+        m = a[p]
+        for n, k in p:
+            free = left[n] // k
+            if free < m:
+                m = free
         if m > 0:
-            child[p] += m
+            child[p] = child.get(p, 0) + m
             for n, k in p:
-                used[n] += k * m
-    return _refill(child, used, counts, rng, capacity)
+                left[n] -= k * m
+    return _refill(child, left, rng, capacity)
 
 
 def mutate(a: Counter, counts: Counter, rng, capacity: int) -> Counter:
     """Dissolve the emptiest bins and a few others; refit their pieces."""
-    worst = sorted(a, key=lambda p: (-_room(p, capacity), p))
+    room = _rooms_of(capacity)
+    worst = [p for _, p in sorted([(-room[p], p) for p in a])]
     gone = set(worst[: rng.randint(1, 4)]) | set(rng.sample(worst, min(len(worst), rng.randint(1, 4))))
-    child, used = Counter(), Counter()
+    child, left = dict(a), dict.fromkeys(counts, 0)
     for p, m in a.items():
-        keep = m - (min(m, rng.randint(1, 3)) if p in gone else 0)
-        if keep:
-            child[p] = keep
+        if p in gone:
+            out = min(m, rng.randint(1, 3))
+            child[p] = m - out
+            if out == m:
+                del child[p]
             for n, k in p:
-                used[n] += k * keep
-    return _refill(child, used, counts, rng, capacity)
+                left[n] += k * out
+    return _refill(child, left, rng, capacity)
 
 
-def _refill(child, used, counts, rng, capacity):
-    left = [(n, counts[n] - used[n]) for n in sorted(counts, reverse=True) if counts[n] > used[n]]
+def _refill(child, free, rng, capacity):
+    left = [(n, free[n]) for n in sorted(free, reverse=True) if free[n] > 0]
     if rng.random() < 0.5:  # now and then not quite longest first
         left.sort(key=lambda x: -x[0] * rng.uniform(0.8, 1.25))
     return best_fit(child, left, capacity)
@@ -219,19 +272,21 @@ def evolve(population, counts, rng, capacity: int, search: Search, bound: int) -
     """One epoch of one island: tournaments, crossover, mutation, worst replaced."""
     limit = max_genes(counts)
     ranked = sorted((fitness(p, capacity), i, p) for i, p in enumerate(population))
-    number = len(ranked)
+    number, orders = len(ranked), {}
     for _ in range(search.generations):
         if ranked[0][0][0] <= bound:
             break
         for _ in range(search.population):
             a, b = (min(rng.sample(ranked, min(3, len(ranked))))[2] for _ in range(2))
-            child = crossover(a, b, counts, rng, capacity, search.well_filled)
+            child = crossover(a, b, counts, rng, capacity, search.well_filled, orders)
             if rng.random() < 0.5:
                 child = mutate(child, counts, rng, capacity)
             if len(child) <= limit:
                 number += 1
                 ranked.append((fitness(child, capacity), number, child))
         ranked = sorted(ranked, key=lambda x: x[:2])[: search.population]
+        kept = {id(p) for _, _, p in ranked}
+        orders = {i: order for i, order in orders.items() if i in kept}
     return [p for _, _, p in ranked]
 
 
