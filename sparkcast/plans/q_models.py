@@ -19,7 +19,7 @@ from sparkcast.operators.boosting import PATIENCE
 from sparkcast.plans.catalog import register
 from sparkcast.plans.common import round_doubles
 from sparkcast.plans.q_rules import requests_table
-from sparkcast.session import scratch_dir
+from sparkcast.session import scratch_dir, small_methods
 from sparkcast.sources.store import FeatureStore
 from sparkcast.sources.tables import DEMAND_SQL, demand_view
 
@@ -51,7 +51,8 @@ def model_frames(spark, sf, demand=None):
     built = fe.create_features(d.withColumn("_train", mask), group_cols=fe.SERIES)
     cols = [c for c in fe.training_columns(built) if c != "_train"]
     path = scratch_dir(spark, "features")
-    built.write.parquet(path)
+    with small_methods(spark):
+        built.write.parquet(path)
     feats = spark.read.parquet(path)
     return feats.where("_train").drop("_train"), feats.where(~F.col("_train")).drop("_train"), cols
 

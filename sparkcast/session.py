@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,22 @@ def build_session(
     return spark
 
 
+@contextmanager
+def small_methods(spark: SparkSession):
+    """Steps that run inside have no generated method of over 8,000 bytes.
+
+    The JVM never compiles longer ones (a select of some fifty columns may make
+    one), and interpreting them takes several times as long.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 8000)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 

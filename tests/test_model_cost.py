@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkcast.operators import models as M
@@ -105,3 +106,24 @@ def test_quantiles_do_not_deal_all_values_by_column(rows):
     a = np.array([r.a for r in rows.collect()])
     got = {r.q: r.value for r in found.where("column = 'a'").collect()}
     assert got == pytest.approx({q: np.quantile(a, q) for q in got}, rel=1e-12) and len(got) == 3
+
+
+def test_the_rows_of_a_fit_are_dealt_evenly(spark, rows, monkeypatch):
+    fitted_on, fit = [], M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, df: fitted_on.append(df) or fit(self, df))
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before, limits, fit_stages = spark.conf.get(key), [], M.Pipeline.fit
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, df: limits.append(spark.conf.get(key)) or fit_stages(self, df))
+    # one part holds nearly all rows
+    uneven = rows.withColumn("i", F.row_number().over(Window.orderBy("a"))).repartitionByRange(
+        3, F.when(F.col("i") <= 380, 0).otherwise(F.col("i"))
+    )
+    for _ in range(2):
+        m = M.DemandModel(["a", "b"], "gbt", {"maxDepth": 2, "maxIter": 2}).fit(uneven)
+        assert m.model.stages[-1].getLabelCol() == "target_demand"
+    sizes = fitted_on[0].rdd.glom().map(len).collect()
+    assert len(sizes) % spark.sparkContext.defaultParallelism == 0
+    assert sum(sizes) == 400 and max(sizes) <= 2 * 400 / len(sizes)
+    one, two = (df.rdd.glom().collect() for df in fitted_on)
+    assert one == two
+    assert set(limits) == {"8000"} and spark.conf.get(key) == before
