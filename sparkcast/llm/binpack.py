@@ -26,8 +26,10 @@ of slots, tells where that number goes.
 from __future__ import annotations
 
 import bisect
+import gc
 import random
 from collections import Counter
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -98,9 +100,41 @@ def _rooms_of(capacity: int) -> _Rooms:
     return _rooms[capacity]
 
 
-def _fullest_first(bins: Counter, room: _Rooms) -> list:
-    """The patterns by room, then pattern."""
-    return [p for _, p in sorted([(room[p], p) for p in bins])]
+# Hashing a pattern costs more than the work on it, so the search hands on lists
+# of genes (pattern, bins, room) and looks a pattern up as seldom as it can.
+
+
+def _genes(bins: Counter, capacity: int) -> list:
+    room = _rooms_of(capacity)
+    return [(p, m, room[p]) for p, m in bins.items()]
+
+
+def _individual(genes) -> Counter:
+    found = Counter()
+    for p, m, _ in genes:
+        found[p] = m
+    return found
+
+
+def _by_room(genes) -> dict[int, list]:
+    """Positions of the genes that leave each room."""
+    groups = {}
+    for i, (_, _, room) in enumerate(genes):
+        if room in groups:
+            groups[room].append(i)
+        else:
+            groups[room] = [i]
+    return groups
+
+
+def _ordered(genes, capacity: int, well: float) -> tuple[list, list]:
+    """The genes by room, then pattern; the well-filled ones by pattern."""
+    groups, order, end = _by_room(genes), [], 0
+    for room in sorted(groups):
+        order += sorted([genes[i] for i in groups[room]])
+        if room <= (1 - well) * capacity:
+            end = len(order)
+    return order, sorted(order[:end])
 
 
 def _with(pattern, length: int, copies: int):
@@ -118,10 +152,13 @@ def best_fit(bins: Counter, pieces, capacity: int) -> Counter:
     The same bins as placing piece by piece, each in the fullest bin with room
     for it: a bin that takes one takes as many of that length as it can hold.
     """
-    done, open_ = Counter(), {}
-    room_of = _rooms_of(capacity)
-    for pattern, m in bins.items():
-        room = room_of[pattern]
+    return _individual(_place(_genes(bins, capacity), pieces, capacity))
+
+
+def _place(genes, pieces, capacity: int) -> list:
+    """``best_fit`` into genes of different patterns."""
+    done, open_ = {}, {}
+    for pattern, m, room in genes:
         if not room:
             done[pattern] = m
         elif room in open_:
@@ -163,9 +200,10 @@ def best_fit(bins: Counter, pieces, capacity: int) -> Counter:
                 count, m = 0, m - 1
             if pattern:
                 put(pattern, m, room)
-    for held in open_.values():
-        dict.update(done, held)  # no pattern has two rooms
-    return done
+    found = [(pattern, m, 0) for pattern, m in done.items()]
+    for room, held in open_.items():
+        found += [(pattern, m, room) for pattern, m in held.items()]
+    return found
 
 
 def lower_bound(counts: Counter, capacity: int) -> int:
@@ -193,38 +231,45 @@ def lower_bound(counts: Counter, capacity: int) -> int:
 
 def fitness(bins: Counter, capacity: int) -> tuple[int, float]:
     """Smaller is better: sequences first, then how evenly they are filled."""
-    room = _rooms_of(capacity)
-    square = room.squares
-    squares = sum([m * square[room[p]] for p, m in bins.items()])
-    return sum(bins.values()), -squares
+    return _score(_genes(bins, capacity), capacity)
 
 
-def crossover(a: Counter, b: Counter, counts: Counter, rng, capacity: int, well: float, orders=None) -> Counter:
-    """``a`` with well-filled bins of ``b``; duplicates removed, displaced pieces refitted.
+def _score(genes, capacity: int) -> tuple[int, float]:
+    square = _rooms_of(capacity).squares
+    return sum([m for _, m, _ in genes]), -sum([m * square[room] for _, m, room in genes])
 
-    ``orders`` remembers the parents' patterns in order, by the parent's id.
-    """
-    room, orders = _rooms_of(capacity), {} if orders is None else orders
+
+def crossover(a: Counter, b: Counter, counts: Counter, rng, capacity: int, well: float) -> Counter:
+    """``a`` with well-filled bins of ``b``; duplicates removed, displaced pieces refitted."""
+    a, b = _genes(a, capacity), _genes(b, capacity)
+    return _individual(_crossover(a, b, counts, rng, capacity, well, {}))
+
+
+def _crossover(a, b, counts, rng, capacity, well, orders) -> list:
+    # orders remembers the parents' genes in order, by the parent's id
     for parent in (a, b):
         if id(parent) not in orders:
-            order = _fullest_first(parent, room)
-            orders[id(parent)] = order, sorted(p for p in order if room[p] <= (1 - well) * capacity)
+            orders[id(parent)] = _ordered(parent, capacity, well)
     good = orders[id(b)][1]
     chosen = rng.sample(good, rng.randint(1, len(good))) if good else []
-    child, left = {}, dict(counts)
-    for p in chosen:
-        child[p] = m = b[p]
+    child, left, at = list(chosen), dict(counts), {}
+    for i, (p, m, _) in enumerate(chosen):
+        at[p] = i
         for n, k in p:
             left[n] -= k * m
     # the first parent's fullest bins stay as long as their pieces are free
-    for p in orders[id(a)][0]:
-        m = a[p]
+    for gene in orders[id(a)][0]:
+        p, m, room = gene
         for n, k in p:
             free = left[n] // k
             if free < m:
                 m = free
         if m > 0:
-            child[p] = child.get(p, 0) + m
+            i = at.get(p)
+            if i is None:
+                child.append((p, m, room))
+            else:
+                child[i] = (p, child[i][1] + m, room)
             for n, k in p:
                 left[n] -= k * m
     return _refill(child, left, rng, capacity)
@@ -232,26 +277,36 @@ def crossover(a: Counter, b: Counter, counts: Counter, rng, capacity: int, well:
 
 def mutate(a: Counter, counts: Counter, rng, capacity: int) -> Counter:
     """Dissolve the emptiest bins and a few others; refit their pieces."""
-    room = _rooms_of(capacity)
-    worst = [p for _, p in sorted([(-room[p], p) for p in a])]
-    gone = set(worst[: rng.randint(1, 4)]) | set(rng.sample(worst, min(len(worst), rng.randint(1, 4))))
-    child, left = dict(a), dict.fromkeys(counts, 0)
-    for p, m in a.items():
-        if p in gone:
-            out = min(m, rng.randint(1, 3))
-            child[p] = m - out
-            if out == m:
-                del child[p]
-            for n, k in p:
-                left[n] += k * out
-    return _refill(child, left, rng, capacity)
+    return _individual(_mutate(_genes(a, capacity), counts, rng, capacity))
+
+
+def _mutate(genes, counts, rng, capacity) -> list:
+    child, groups = list(genes), _by_room(genes)
+    # ranks by room, the emptiest first, then by pattern
+    ranks = set(range(min(len(child), rng.randint(1, 4))))
+    ranks.update(rng.sample(range(len(child)), min(len(child), rng.randint(1, 4))))
+    gone, before = [], 0
+    for room in sorted(groups, reverse=True):
+        here = [x - before for x in ranks if before <= x < before + len(groups[room])]
+        if here:
+            ranked = sorted([(child[i][0], i) for i in groups[room]])
+            gone += [ranked[x][1] for x in here]
+        before += len(groups[room])
+    left = dict.fromkeys(counts, 0)
+    for i in sorted(gone):
+        p, m, room = child[i]
+        out = min(m, rng.randint(1, 3))
+        child[i] = (p, m - out, room)
+        for n, k in p:
+            left[n] += k * out
+    return _refill([gene for gene in child if gene[1]], left, rng, capacity)
 
 
 def _refill(child, free, rng, capacity):
     left = [(n, free[n]) for n in sorted(free, reverse=True) if free[n] > 0]
     if rng.random() < 0.5:  # now and then not quite longest first
         left.sort(key=lambda x: -x[0] * rng.uniform(0.8, 1.25))
-    return best_fit(child, left, capacity)
+    return _place(child, left, capacity)
 
 
 def max_genes(counts: Counter) -> int:
@@ -271,23 +326,24 @@ def first_population(counts: Counter, rng, size: int, capacity: int) -> list[Cou
 def evolve(population, counts, rng, capacity: int, search: Search, bound: int) -> list[Counter]:
     """One epoch of one island: tournaments, crossover, mutation, worst replaced."""
     limit = max_genes(counts)
-    ranked = sorted((fitness(p, capacity), i, p) for i, p in enumerate(population))
+    genes = [_genes(p, capacity) for p in population]
+    ranked = sorted((_score(p, capacity), i, p) for i, p in enumerate(genes))
     number, orders = len(ranked), {}
     for _ in range(search.generations):
         if ranked[0][0][0] <= bound:
             break
         for _ in range(search.population):
             a, b = (min(rng.sample(ranked, min(3, len(ranked))))[2] for _ in range(2))
-            child = crossover(a, b, counts, rng, capacity, search.well_filled, orders)
+            child = _crossover(a, b, counts, rng, capacity, search.well_filled, orders)
             if rng.random() < 0.5:
-                child = mutate(child, counts, rng, capacity)
+                child = _mutate(child, counts, rng, capacity)
             if len(child) <= limit:
                 number += 1
-                ranked.append((fitness(child, capacity), number, child))
+                ranked.append((_score(child, capacity), number, child))
         ranked = sorted(ranked, key=lambda x: x[:2])[: search.population]
         kept = {id(p) for _, _, p in ranked}
         orders = {i: order for i, order in orders.items() if i in kept}
-    return [p for _, _, p in ranked]
+    return [_individual(p) for _, _, p in ranked]
 
 
 # distributed part
@@ -312,14 +368,26 @@ def _from_rows(rows: pd.DataFrame) -> list[Counter]:
         found.append(
             Counter(
                 {
-                    tuple(zip(map(int, n), map(int, k))): int(m)
-                    for n, k, m in zip(genes["lengths"], genes["copies"], genes["bins"])
+                    tuple(zip(n.tolist(), k.tolist())): m
+                    for n, k, m in zip(genes["lengths"], genes["copies"], genes["bins"].tolist())
                 }
             )
         )
     return found
 
 
+@contextmanager
+def _no_cycles():
+    """Without the collector of cycles: a search makes millions of small tuples and no cycle."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def search_packing(
     spark, counts: Counter, capacity: int = CAPACITY, search: Search = Search()
 ) -> DataFrame:
@@ -338,12 +406,13 @@ def search_packing(
         def run(rows: pd.DataFrame) -> pd.DataFrame:
             island = int(rows["home"].iloc[0])
             rng = random.Random(f"{search.seed}/{number}/{island}")
-            if number:
-                population = _from_rows(rows)
-            else:
-                population = first_population(counts, rng, search.population, capacity)
-            population = evolve(population, counts, rng, capacity, search, bound)
-            return pd.DataFrame(list(_to_rows(island, population, capacity)), columns=columns)
+            with _no_cycles():
+                if number:
+                    population = _from_rows(rows)
+                else:
+                    population = first_population(counts, rng, search.population, capacity)
+                population = evolve(population, counts, rng, capacity, search, bound)
+                return pd.DataFrame(list(_to_rows(island, population, capacity)), columns=columns)
 
         return run
 

@@ -23,3 +23,31 @@ def test_the_room_of_a_pattern_is_summed_once(monkeypatch):
             for n, k in pattern:
                 held[n] += k * m
         assert held == counts
+
+
+def test_the_search_looks_a_pattern_up_once_a_start(monkeypatch):
+    looked_up = []
+
+    class Rooms(binpack._Rooms):
+        def __getitem__(self, pattern):
+            looked_up.append(pattern)
+            return super().__getitem__(pattern)
+
+    rooms = Rooms(100)
+    monkeypatch.setattr(binpack, "_rooms_of", lambda capacity: rooms)
+    rng = random.Random(3)
+    counts = Counter(rng.randint(20, 60) for _ in range(300))
+    population = binpack.first_population(counts, rng, 6, 100)
+    looked_up.clear()
+    found = binpack.evolve(population, counts, rng, 100, binpack.Search(population=6, generations=5), 0)
+    assert len(looked_up) <= sum(map(len, population))
+    scores = [binpack.fitness(p, 100) for p in found]
+    assert scores == sorted(scores) and scores[0] <= min(binpack.fitness(p, 100) for p in population)
+
+
+def test_a_search_leaves_the_collector_as_it_was():
+    import gc
+
+    with binpack._no_cycles():
+        assert not gc.isenabled()
+    assert gc.isenabled()
