@@ -12,7 +12,8 @@ An exploded pair travels to its second word's bucket, where both counts are
 known once the bucket's rows are sorted: no pair is looked up in a table it
 does not share a task with. The count of a pair's first word comes from the
 word table through a join, which only pairs that need it take part in. Tasks
-send pairs in packed rows.
+send pairs in packed rows, words as numbers (8 bytes a word only once a row, and
+none for a frequent one) and their columns compressed byte by byte.
 
 Words and pairs so common that they would crowd one bucket are counted ahead:
 each batch names those above 1 / FREQUENT of its words, at most FREQUENT
@@ -185,9 +186,21 @@ def _sums(doc: np.ndarray, score: np.ndarray, seen: np.ndarray):
     )
 
 
+def _dense(a: np.ndarray) -> bytes:
+    """The array's size and its bytes by significance, compressed."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _array(packed: pa.Buffer, dtype: str) -> np.ndarray:
+    """The array that ``_dense`` packed."""
+    size, dtype = int.from_bytes(packed[:8], "little"), np.dtype(dtype)
+    planes = pa.decompress(packed[8:], size, codec="zstd")
+    planes = np.frombuffer(planes, np.uint8).reshape(dtype.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
 _PACKED = "task int, words binary, counts binary, cuts binary, befores binary, others binary, docs binary, doc binary, sums binary"
-#: Numbers of first words that the broadcast table does not hold begin here.
-_OTHER = 1 << 30
 _SUM = np.dtype([("doc", "<i8"), ("score", "<f8"), ("words", "<i8"), ("seen", "<i8")])
 _NO_SUMS = np.empty(0, _SUM)
 
@@ -196,30 +209,32 @@ def exploded_pairs(docs: DataFrame, frequent, alpha: float, tasks: int, buckets:
     """Packed (second word, first word, document) rows by task.
 
     A row's entries are in order of bucket and second word: each second word
-    once with its count, ``cuts`` giving the first word of each bucket. First
-    words are numbers: of a frequent word, or (from ``_OTHER`` on) of one in
-    the row's ``others``.
+    once with its count, ``cuts`` giving the first word of each bucket. Words
+    are numbers: of a frequent word, or (after those) of one in the row's
+    ``others``. Second words ascend in a bucket and go as differences.
     """
 
     def pack(task, bucket, w, v, d, key, sums, words):
+        both = np.concatenate((w, v))
+        number = _find(words, both)
+        others, at = np.unique(both[number < 0], return_inverse=True)
+        number[number < 0] = len(words) + at
+        w, v = np.split(number.astype("<u4"), 2)
         order = np.lexsort((w, bucket))
         bucket, w, v, d = bucket[order], w[order], v[order], d[order]
         new = np.ones(len(w), dtype=bool)
         new[1:] = (w[1:] != w[:-1]) | (bucket[1:] != bucket[:-1])
         head = np.flatnonzero(new)
         used, d = np.unique(d, return_inverse=True)
-        number = _find(words, v)
-        others, at = np.unique(v[number < 0], return_inverse=True)
-        number[number < 0] = _OTHER + at
         return {
             "task": pa.array([task], pa.int32()),
-            "words": [w[head].tobytes()],
-            "counts": [np.diff(np.append(head, len(w))).astype("<u4").tobytes()],
-            "cuts": [np.searchsorted(bucket[head], np.arange(buckets + 1)).astype("<i8").tobytes()],
-            "befores": [number.astype("<u4").tobytes()],
-            "others": [others.tobytes()],
+            "words": [_dense(np.diff(w[head], prepend=np.uint32(0)))],
+            "counts": [_dense(np.diff(np.append(head, len(w))).astype("<u4"))],
+            "cuts": [_dense(np.searchsorted(bucket[head], np.arange(buckets + 1)).astype("<u4"))],
+            "befores": [_dense(v)],
+            "others": [_dense(others)],
             "docs": [key[used].tobytes()],
-            "doc": [d.astype("<u2" if len(used) <= 1 << 16 else "<u4").tobytes()],
+            "doc": [_dense(d.astype("<u2" if len(used) <= 1 << 16 else "<u4"))],
             "sums": [sums.tobytes()],
         }
 
@@ -330,6 +345,13 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets
         zero = np.zeros(len(tell))
         yield _scored(2, word[tell], zero.astype(np.int64), zero, n_word[tell], zero)
 
+    def named(number, f: Frequent, others):
+        other = number >= len(f.words)
+        word = np.empty(len(number), np.uint64)
+        word[~other] = f.words[number[~other]]
+        word[other] = others[number[other] - len(f.words)]
+        return word
+
     def run(batches):
         f: Frequent = frequent.value
         log_n = np.log(max(f.total, 1))
@@ -339,11 +361,11 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets
                 w, n, cuts, v, others, keys, d, ready = (
                     b.column(k)[c].as_buffer() for k in range(1, 9)  # no copies
                 )
-                keys, n = np.frombuffer(keys, "<i8"), np.frombuffer(n, "<u4").astype(np.int64)
-                d = np.frombuffer(d, "<u2" if len(keys) <= 1 << 16 else "<u4")
-                cuts, ends = np.frombuffer(cuts, "<i8"), np.concatenate(([0], np.cumsum(n)))
-                v, others = np.frombuffer(v, "<u4"), np.frombuffer(others, "<u8")
-                rows.append((np.frombuffer(w, "<u8"), n, v, others, keys, d, cuts, ends))
+                keys, n = np.frombuffer(keys, "<i8"), _array(n, "<u4")
+                d = _array(d, "<u2" if len(keys) <= 1 << 16 else "<u4")
+                w, v, others = _array(w, "<u4").cumsum(dtype="<u4"), _array(v, "<u4"), _array(others, "<u8")
+                cuts, ends = _array(cuts, "<u4"), np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+                rows.append((w, n, v, others, keys, d, cuts, ends))
                 if ready.size:
                     x = np.frombuffer(ready, _SUM)
                     sums.append((x["doc"], x["score"], x["words"], x["seen"]))
@@ -352,16 +374,11 @@ def score_buckets(packed: DataFrame, frequent, alpha: float, tasks: int, buckets
             for w, n, v, others, keys, d, cuts, ends in rows:
                 a, z = cuts[k], cuts[k + 1]
                 own = slice(ends[a], ends[z])
-                number = v[own].astype(np.int64)
-                other = number >= _OTHER
-                before = np.empty(len(number), np.uint64)
-                before[~other] = f.words[number[~other]]
-                before[other] = others[number[other] - _OTHER]
-                parts.append((w[a:z], n[a:z], before, keys[d[own]]))
+                parts.append((named(w[a:z], f, others), n[a:z], named(v[own], f, others), keys[d[own]]))
             yield from settle(parts, f, log_n, sums)
             sums[:] = _merged(sums)
         for key, score, n, seen in _merged(sums):
-            yield _scored(0, key, key, score, n, seen)
+            yield _scored(0, key, np.zeros(len(key), np.int64), score, n, seen)
 
     return packed.repartitionById(tasks, "task").mapInArrow(run, _SCORED)
 

@@ -398,6 +398,30 @@ def test_backoff_scores(docs, rows, frequent):
         assert a[4] == pytest.approx(b[4], abs=1e-5)
 
 
+def test_backoff_packed_arrays():
+    rng = np.random.default_rng(5)
+    for dtype in ("<u2", "<u4", "<u8"):
+        for n in (0, 1, 1000):
+            a = rng.integers(0, np.iinfo(dtype).max, n, dtype=dtype, endpoint=True)
+            got = backoff._array(pa.py_buffer(backoff._dense(a)), dtype)
+            assert got.dtype == a.dtype and (got == a).all()
+
+
+def test_backoff_pairs_travel_small(spark):
+    """A travelling pair takes few bytes: words as numbers, columns compressed."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(map(str, x)) for x in np.exp(rng.uniform(0, 14, (1000, 400))).astype(int)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string").coalesce(1)
+    count = Counter(w for t in texts for w in t.split())
+    often = pa.array([w for w, n in count.items() if n > 3])
+    hashes = np.sort(np.concatenate([backoff._tokens(often.slice(i, 1))[0] for i in range(len(often))]))
+    none = np.empty(0, np.uint64)
+    f = backoff.Frequent(400_000, hashes, np.ones(len(hashes)), none, np.empty(0), np.empty(0, bool))
+    packed = backoff.exploded_pairs(docs, spark.sparkContext.broadcast(f), 0.4, 12)
+    size = sum(len(x) for row in packed.drop("task").collect() for x in row)
+    assert size < 10 * 400_000
+
+
 # empty tables
 
 
