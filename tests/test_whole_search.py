@@ -3,11 +3,12 @@
 import datetime as dt
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from sparkcast.operators.boosting import Ensemble
-from sparkcast.plans import q_models
+from sparkcast.plans import catalog, q_models
 
 RUNGS = (10, 30, 90)
 OWN = {"gbt": "maxIter", "forest": "numTrees"}
@@ -51,10 +52,31 @@ def check_whole(trials, kind):
     assert whole and max(whole) > 90
 
 
+def check_bounds(found, sql):
+    want = duckdb.sql(sql).fetchall()
+    assert len(want) == 50 and sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_m7_search_is_whole(spark, small):
     check_whole(q_models.m7_search(spark, small), "gbt")
 
 
+def test_m7_search_bounds_is_whole(spark, small):
+    check_bounds(q_models.m7_search_bounds(spark, small), catalog.ORACLE["m7_search_bounds"])
+
+
+@pytest.mark.parametrize("kind", ["gbt"])
+def test_a_trial_that_a_bound_ends_is_seen(spark, monkeypatch, kind):
+    params = json.dumps({"maxIter": 213, "numTrees": 213})
+    rows = [(0, params, "complete", 213, 200, 1.0, True), (1, params, "budget", 16, 16, 2.0, False),
+            (2, params, "complete", 16, 16, 2.0, False), (3, params, "pruned", 10, 10, 2.0, False),
+            (4, params, "stopped", 40, 20, 2.0, False)]
+    trials = spark.createDataFrame(rows, q_models.T.TRIALS)
+    monkeypatch.setattr(q_models, "searched", lambda *_: q_models.T.Search(trials, {}, 1.0, None))
+    found = {r.trial: r.within_rounds for r in q_models._bounds(spark, "", kind).collect()}
+    assert found == {0: True, 1: False, 2: False, 3: True, 4: True}
+
+
 def test_fits_at_the_same_time_share_the_cores(spark, small):
     train, _, cols = q_models.model_frames(spark, small)
     model = q_models.M.DemandModel(cols)
