@@ -65,6 +65,17 @@ def test_m7_search_bounds_is_whole(spark, small):
     check_bounds(q_models.m7_search_bounds(spark, small), catalog.ORACLE["m7_search_bounds"])
 
 
+def test_m7_tuned_quality_takes_the_whole_search(spark, small, monkeypatch):
+    taken = []
+    monkeypatch.setattr(q_models.M, "evaluate_model", lambda model, test: taken.append(model))
+    monkeypatch.setattr(q_models, "_bounded", lambda *_: None)
+    q_models.m7_tuned_quality(spark, small)
+    search = q_models.searched(spark, small)
+    check_whole(search.trials, "gbt")
+    best = search.trials.where("best").first()
+    assert taken == [search.model] and search.model.model.stages[-1] == f"{best.trees} rounds"
+
+
 @pytest.mark.parametrize("kind", ["gbt"])
 def test_a_trial_that_a_bound_ends_is_seen(spark, monkeypatch, kind):
     params = json.dumps({"maxIter": 213, "numTrees": 213})
