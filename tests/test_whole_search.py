@@ -76,6 +76,10 @@ def test_m7_tuned_quality_takes_the_whole_search(spark, small, monkeypatch):
     assert taken == [search.model] and search.model.model.stages[-1] == f"{best.trees} rounds"
 
 
+def test_m7_search_forest_is_whole(spark, small):
+    check_whole(q_models.m7_search_forest(spark, small), "forest")
+
+
 @pytest.mark.parametrize("kind", ["gbt"])
 def test_a_trial_that_a_bound_ends_is_seen(spark, monkeypatch, kind):
     params = json.dumps({"maxIter": 213, "numTrees": 213})
