@@ -80,7 +80,11 @@ def test_m7_search_forest_is_whole(spark, small):
     check_whole(q_models.m7_search_forest(spark, small), "forest")
 
 
-@pytest.mark.parametrize("kind", ["gbt"])
+def test_m7_search_bounds_forest_is_whole(spark, small):
+    check_bounds(q_models.m7_search_bounds_forest(spark, small), catalog.ORACLE["m7_search_bounds_forest"])
+
+
+@pytest.mark.parametrize("kind", ["gbt", "forest"])
 def test_a_trial_that_a_bound_ends_is_seen(spark, monkeypatch, kind):
     params = json.dumps({"maxIter": 213, "numTrees": 213})
     rows = [(0, params, "complete", 213, 200, 1.0, True), (1, params, "budget", 16, 16, 2.0, False),
